@@ -2,8 +2,9 @@
 
 Every window of `length` bytes is a suffix cut at `length`. Windows are dealt to suffix buckets by content: the
 smallest hash of the k-byte strings inside a window (its anchor) names the bucket, so equal windows always meet.
-Each part of the input first sorts its own repeated windows and keeps one of each, then ships what is left; a
-bucket therefore gets at most one copy of a window from each part, however often a passage repeats.
+Anchors are counted before any text moves, and windows of anchors that occur once are done. Each part of the input
+then sorts its own repeated windows, keeps one of each and ships what is left; a bucket therefore gets at most one copy
+of a window from each part, however often a passage repeats.
 
 A bucket is sorted by itself: its text is laid out once, the positions p with p mod 31 in a difference cover are
 ranked on their first length - 30 bytes, its windows are sorted on their first and last 32 bytes, and windows that
@@ -289,47 +290,167 @@ def _rows_of_spans(parts: list, buckets: int):
 _PART = pa.schema([("bucket", pa.int32()), ("rid", pa.int64()), ("data", pa.binary())])
 
 
-def _segments(rids: list[int], texts: list[bytes], length: int):
+def _limits(values: tuple[int, int, int]) -> None:
+    """Workers take the driver's limits."""
+    global BLOCK, BATCH, SUFFIXES
+    BLOCK, BATCH, SUFFIXES = values
+
+
+def _segments(rid: int, text: bytes, length: int):
     """Pieces of at most BLOCK bytes that overlap by length - 1, so that each window lies in exactly one."""
-    for rid, text in zip(rids, texts):
-        at = 0
-        while len(text) - at >= length:
-            yield rid, at, text[at : at + BLOCK]
-            at += max(1, BLOCK - length + 1)
+    at = 0
+    while len(text) - at >= length:
+        yield rid, at, text[at : at + BLOCK]
+        at += max(1, BLOCK - length + 1)
 
 
-def _dedup_part(rids: list[int], texts: list[bytes], length: int, buckets: int) -> pa.RecordBatch | None:
-    """What one part of the input ships: its spans that repeat inside it, and its other windows by bucket."""
-    cols, bodies, base, block, filled = [], [], 0, [], 0
+class _Anchored:
+    """Anchors of whole texts that come one after another."""
 
-    def flush():
-        nonlocal base, block, filled
-        if not block:
+    def __init__(self, length: int):
+        self.length, self.cols, self.bodies, self.base, self.block, self.filled = length, [], [], 0, [], 0
+
+    def _flush(self):
+        if not self.block:
             return
-        text = np.frombuffer(b"".join(b for _, _, b in block), np.uint8)
-        size = np.array([len(b) for _, _, b in block], np.int64)
+        text = np.frombuffer(b"".join(b for _, _, b in self.block), np.uint8)
+        size = np.array([len(b) for _, _, b in self.block], np.int64)
         seg_at = np.cumsum(size) - size
-        key, at, lo, n = _anchors(text, seg_at, size, length)
+        key, at, lo, n = _anchors(text, seg_at, size, self.length)
         seg = np.searchsorted(seg_at, lo, "right") - 1
-        rid = np.array([r for r, _, _ in block], np.int64)[seg]
-        off = np.array([o for _, o, _ in block], np.int64)[seg]
-        cols.append((key, rid, off + lo - seg_at[seg], n, at - lo, lo + base))
-        bodies.append(text)
-        base += text.size
-        block, filled = [], 0
-
-    for s in _segments(rids, texts, length):
-        if filled + len(s[2]) > BLOCK and block:
-            flush()
-        block.append(s)
-        filled += len(s[2])
-    flush()
-    if not cols:
+        rid = np.array([r for r, _, _ in self.block], np.int64)[seg]
+        off = np.array([o for _, o, _ in self.block], np.int64)[seg]
+        self.cols.append((key, rid, off + lo - seg_at[seg], n, at - lo, lo + self.base))
+        self.bodies.append(text)
+        self.base += text.size
+        self.block, self.filled = [], 0
+
+    def add(self, rid: int, text: bytes):
+        for s in _segments(rid, text, self.length):
+            if self.filled + len(s[2]) > BLOCK and self.block:
+                self._flush()
+            self.block.append(s)
+            self.filled += len(s[2])
+
+    def records(self) -> "_Records":
+        self._flush()
+        if not self.cols:
+            none = np.zeros(0, np.int64)
+            return _Records(none.astype(np.uint64), none, none, none, none, np.zeros(0, np.uint8), none)
+        key, rid, pos, n, aoff, at = (np.concatenate(c) for c in zip(*self.cols))
+        return _Records(key, rid, pos, n, aoff, np.concatenate(self.bodies), at)
+
+
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    return ((key >> np.uint64(44)) % np.uint64(buckets)).astype(np.int64)
+
+
+_SHORT = np.uint64((1 << 40) - 1)  # with the bucket, what tells anchors apart while they are counted; a clash only adds work
+
+
+def _cuts(sorted_key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first = np.flatnonzero(np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])) if sorted_key.size else np.zeros(0, np.int64)
+    return first, np.append(first[1:], sorted_key.size)
+
+
+def _marks(rid: np.ndarray, key: np.ndarray) -> tuple[list[int], list[bytes]]:
+    by = np.argsort(rid, kind="stable")
+    first, last = _cuts(rid[by])
+    short = (key & _SHORT)[by]
+    return [int(r) for r in rid[by[first]]], [short[a:z].tobytes() for a, z in zip(first, last)]
+
+
+def _count_part(rec: _Records, buckets: int) -> pa.RecordBatch:
+    """Anchors met more than once in this part are marked at once; each anchor is shipped for its first row only."""
+    by = np.lexsort((rec.rid, rec.key))
+    key, rid = rec.key[by], rec.rid[by]
+    first, last = _cuts(key)
+    many = np.repeat(last - first > 1, last - first)
+    r_col, d_col = _marks(rid[many], key[many])
+    b_col = [r % buckets for r in r_col]
+    key, rid = key[first], rid[first]
+    bucket = _bucket(key, buckets)
+    by = np.lexsort((rid, bucket))
+    key, rid, bucket = key[by], rid[by], bucket[by]
+    for a, z in zip(*_cuts(bucket)):
+        b_col.append(int(bucket[a]))
+        r_col.append(None)
+        short = np.ascontiguousarray(key[a:z].view(np.uint8).reshape(-1, 8)[:, :5]).ravel()
+        d_col.append(pack(rid[a:z], short))
+    return pa.RecordBatch.from_arrays([pa.array(b_col, pa.int32()), pa.array(r_col, pa.int64()), pa.array(d_col, pa.binary())], schema=_PART)
+
+
+def _count_anchors(length: int, buckets: int):
+    limits = (BLOCK, BATCH, SUFFIXES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _limits(limits)
+        part, held = _Anchored(length), 0
+        for batch in batches:
+            for rid, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if not text.is_valid or len(body := text.as_buffer().to_pybytes()) < length:
+                    continue
+                if held and held + len(body) > BATCH:
+                    yield _count_part(part.records(), buckets)
+                    part, held = _Anchored(length), 0
+                part.add(rid, body)
+                held += len(body)
+        if held:
+            yield _count_part(part.records(), buckets)
+
+    return run
+
+
+def _by_bucket_rows(batches: Iterator[pa.RecordBatch]):
+    """From rows ordered by bucket: ("pass", rids, datas) for rows that only pass, ("bucket", datas) for each bucket."""
+    held, current = [], None
+    for batch in batches:
+        rids, datas = [], []
+        for b, rid, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            if rid is not None:
+                rids.append(rid)
+                datas.append(data.as_py())
+                continue
+            if b != current and held:
+                yield "bucket", held, None
+                held = []
+            current = b
+            held.append(data.as_py())
+        if rids:
+            yield "pass", rids, datas
+    if held:
+        yield "bucket", held, None
+
+
+def _out(rids: list[int], datas: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(datas, pa.binary())], names=["rid", "data"])
+
+
+def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for kind, a, b in _by_bucket_rows(batches):
+        if kind == "pass":
+            yield _out(a, b)
+            continue
+        cols = [unpack(x) for x in a]
+        rid = np.concatenate([r for r, _ in cols])
+        short = np.concatenate([k for _, k in cols]).reshape(-1, 5)
+        key = np.zeros((rid.size, 8), np.uint8)
+        key[:, :5] = short
+        key = key.view(np.uint64).ravel()
+        by = np.argsort(key)
+        first, last = _cuts(key[by])
+        many = by[np.repeat(last - first > 1, last - first)]
+        if many.size:
+            yield _out(*_marks(rid[many], key[many]))
+
+
+def _dedup_part(rec: _Records, marks: np.ndarray, length: int, buckets: int) -> pa.RecordBatch | None:
+    """What one part of the input ships: its spans that repeat inside it, and its other windows by bucket."""
+    rec = rec.take(np.flatnonzero(np.isin(_tag(rec.rid, rec.key), marks)))
+    recs = rec.take(np.lexsort((rec.pos, rec.rid)))
+    if not recs.key.size:
         return None
-    key, rid, pos, n, aoff, at = (np.concatenate(c) for c in zip(*cols))
-    by = np.lexsort((pos, rid))
-    recs = _Records(key[by], rid[by], pos[by], n[by], aoff[by], np.concatenate(bodies), at[by])
-    spans, whole, extra = [], np.ones(by.size, bool), []
+    spans, whole, extra = [], np.ones(recs.key.size, bool), []
     for own, later in _by_bucket(recs, length):
         if later.any():
             spans.append(_spans(recs, own, later, length))
@@ -341,22 +462,18 @@ def _dedup_part(rids: list[int], texts: list[bytes], length: int, buckets: int)
     keep = np.flatnonzero(whole)
     src, t, m = (np.concatenate(c) for c in zip((keep, np.zeros(keep.size, np.int64), recs.n[keep]), *extra))
     out = _Records(recs.key[src], recs.rid[src], recs.pos[src] + t, m, recs.aoff[src] - t, recs.text, recs.at[src] + t)
-    bucket = (mix64(out.key) % np.uint64(buckets)).astype(np.int64)
+    bucket = _bucket(out.key, buckets)
     by = np.lexsort((out.pos, out.rid, bucket))
-    first = np.flatnonzero(np.concatenate([[True], np.diff(bucket[by]) != 0])) if by.size else []
-    ends = np.append(first[1:], by.size) if by.size else []
     b_col, r_col, d_col = _rows_of_spans(spans, buckets)
-    for a, z in zip(first, ends):
+    for a, z in zip(*_cuts(bucket[by])):
         b_col.append(int(bucket[by[a]]))
         r_col.append(None)
         d_col.append(out.take(by[a:z]).blocks(length))
     return pa.RecordBatch.from_arrays([pa.array(b_col, pa.int32()), pa.array(r_col, pa.int64()), pa.array(d_col, pa.binary())], schema=_PART)
 
 
-def _limits(values: tuple[int, int, int]) -> None:
-    """Workers take the driver's limits."""
-    global BLOCK, BATCH, SUFFIXES
-    BLOCK, BATCH, SUFFIXES = values
+def _tag(rid: np.ndarray, key: np.ndarray) -> np.ndarray:
+    return mix64(rid.view(np.uint64)) ^ (key & _SHORT)
 
 
 def _ship(length: int, buckets: int):
@@ -364,20 +481,25 @@ def _ship(length: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _limits(limits)
-        rids, texts, held = [], [], 0
+        part, marks, held = _Anchored(length), [], 0
+
+        def flush():
+            return _dedup_part(part.records(), np.concatenate(marks), length, buckets)
+
         for batch in batches:
-            for rid, text in zip(batch.column(0), batch.column(1)):
-                text = text.as_buffer().to_pybytes() if text.is_valid else b""
-                if len(text) < length:
+            for rid, text, mark in zip(batch.column("_rid").to_pylist(), batch.column("_bytes"), batch.column("_marks")):
+                if not mark.is_valid or not len(mark) or not text.is_valid:
                     continue
-                if held and held + len(text) > BATCH:
-                    if (out := _dedup_part(rids, texts, length, buckets)) is not None:
+                body = text.as_buffer().to_pybytes()
+                if held and held + len(body) > BATCH:
+                    if (out := flush()) is not None:
                         yield out
-                    rids, texts, held = [], [], 0
-                rids.append(rid.as_py())
-                texts.append(text)
-                held += len(text)
-        if held and (out := _dedup_part(rids, texts, length, buckets)) is not None:
+                    part, marks, held = _Anchored(length), [], 0
+                part.add(rid, body)
+                short = np.frombuffer(b"".join(mark.as_py()), np.uint64)
+                marks.append(_tag(np.full(short.size, rid, np.int64), short))
+                held += len(body)
+        if held and (out := flush()) is not None:
             yield out
 
     return run
@@ -387,56 +509,40 @@ def _sort_buckets(length: int, buckets: int):
     """Rows arrive ordered by bucket; one bucket is held at a time."""
     limits = (BLOCK, BATCH, SUFFIXES)
 
-    def solve(blocks: list[bytes]):
-        recs = _Records.load(blocks, length)
-        by = np.lexsort((recs.pos, recs.rid))
-        recs = recs.take(by)
-        return _rows_of_spans([_spans(recs, own, later, length) for own, later in _by_bucket(recs, length) if later.any()], buckets)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _limits(limits)
-        held, current = [], None
+        for kind, a, b in _by_bucket_rows(batches):
+            if kind == "pass":
+                yield _out(a, b)
+                continue
+            recs = _Records.load(a, length)
+            recs = recs.take(np.lexsort((recs.pos, recs.rid)))
+            rows = _rows_of_spans([_spans(recs, own, later, length) for own, later in _by_bucket(recs, length) if later.any()], buckets)
+            if rows[1]:
+                yield _out(rows[1], rows[2])
 
-        def out(rows):
-            return pa.RecordBatch.from_arrays([pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary())], names=["rid", "data"])
+    return run
 
-        for batch in batches:
-            passed = ([], [], [])
-            for b, rid, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                if rid is not None:
-                    passed[1].append(rid)
-                    passed[2].append(data.as_py())
-                    continue
-                if b != current and held:
-                    rows = solve(held)
-                    if rows[1]:
-                        yield out(rows)
-                    held = []
-                current = b
-                held.append(data.as_py())
-            if passed[1]:
-                yield out(passed)
-        if held and (rows := solve(held))[1]:
-            yield out(rows)
 
-    return run
+def _by_row(base: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """base with the data found for each row as an array; both uses ask for the same columns, so base moves once."""
+    gathered = found.groupBy("rid").agg(F.collect_list("data").alias(name))
+    return base.join(gathered.hint("shuffle_hash"), F.col("_rid") == F.col("rid"), "left").drop("rid")
+
 
+def repeated_spans(base: DataFrame, length: int = 100) -> DataFrame:
+    """(rid, data): byte spans, as little-endian int64 pairs, covered by windows that start earlier in the corpus.
 
-def repeated_spans(docs: DataFrame, rid_col: str, text_col: str, length: int = 100) -> DataFrame:
-    """(rid, data): byte spans, as little-endian int64 pairs, covered by windows that start earlier in the corpus."""
+    base has _rid and _bytes. Anchors are counted first, so that only text around repeated anchors is shipped."""
     if length < 40:
         raise ValueError("length must be at least 40 bytes")
-    spark = docs.sparkSession
-    buckets = buckets_for(docs)
-    parts = partitions_for(spark, buckets)
-    shipped = docs.select(F.col(rid_col).alias("rid"), F.col(text_col).cast("binary").alias("text")).mapInArrow(
-        _ship(length, buckets), "bucket int, rid long, data binary"
-    )
-    return (
-        shipped.repartition(parts, "bucket")
-        .sortWithinPartitions("bucket")
-        .mapInArrow(_sort_buckets(length, buckets), "rid long, data binary")
-    )
+    buckets = buckets_for(base)
+    parts = partitions_for(base.sparkSession, buckets)
+    schema = "bucket int, rid long, data binary"
+    dealt = lambda df: df.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    marks = dealt(base.select("_rid", "_bytes").mapInArrow(_count_anchors(length, buckets), schema)).mapInArrow(_repeated_anchors, "rid long, data binary")
+    shipped = _by_row(base, marks, "_marks").mapInArrow(_ship(length, buckets), schema)
+    return dealt(shipped).mapInArrow(_sort_buckets(length, buckets), "rid long, data binary")
 
 
 def _merge(datas: list[bytes]) -> np.ndarray:
@@ -492,10 +598,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     base = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)])
     base = with_row_ids(base, "_id", "_text")
-    spans = repeated_spans(base, "_rid", "_text", length).groupBy("rid").agg(F.collect_list("data").alias("_spans"))
-    joined = base.withColumn("_bytes", F.col("_text").cast("binary")).drop("_text").join(
-        spans.hint("shuffle_hash"), F.col("_rid") == F.col("rid"), "left"
-    )
+    base = base.withColumn("_bytes", F.col("_text").cast("binary")).drop("_text")
+    joined = _by_row(base, repeated_spans(base, length), "_spans")
     names = ["_id", *[f"_c{i}" for i in range(len(carry))]]
     types = {f.name: f.dataType.simpleString() for f in base.schema}
     schema = ", ".join(f"{c} {types[c]}" for c in names)
