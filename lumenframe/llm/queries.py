@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .jaccard_join import jaccard_components
+from .source_mix import mix_sources
 from .suffix_dedup import suffix_dedup
 
 
@@ -19,9 +21,19 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"), k=5, num=3, den=4).select("doc_id", "n_shingles", "component_id")
+
+
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
+        "op3_jaccard_join": op3_jaccard_join,
+        "op10_source_mix": op10_source_mix,
     }
 
 
