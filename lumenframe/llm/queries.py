@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .block_knn import block_knn
 from .jaccard_join import jaccard_components
+from .quality_gam import quality_scores
+from .rule_forest import rule_verdicts, train_rules
 from .source_mix import mix_sources
 from .suffix_dedup import suffix_dedup
 
@@ -21,6 +24,34 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op4_rule_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return rule_verdicts(docs, train_rules(docs, _table(spark, sf_dir, "labels")))
+
+
+def op5_block_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return block_knn(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
+OP5_SQL = """
+WITH ok AS (
+  SELECT DISTINCT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+  FROM ok q JOIN ok c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), k=5, num=3, den=4).select("doc_id", "n_shingles", "component_id")
 
@@ -32,10 +63,13 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
+        "op2_quality_gam": op2_quality_gam,
         "op3_jaccard_join": op3_jaccard_join,
+        "op4_rule_forest": op4_rule_forest,
+        "op5_block_knn": op5_block_knn,
         "op10_source_mix": op10_source_mix,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_block_knn": OP5_SQL.strip()}
