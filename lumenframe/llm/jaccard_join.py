@@ -238,9 +238,16 @@ def jaccard_links(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataF
     member = near.select("rid", *key).join(cls, key).select(
         "rid", "cls", "n", ((F.col("members") > 1) & (den * F.col("r") >= num * (2 * F.col("n") - F.col("r")))).alias("inner")
     )
-    reps = written(near.join(member.filter("rid = cls").select("rid"), "rid", "left_semi").select("rid", "n", "toks", "lead"), "classes")
-    head = written(reps.select("rid", "n", F.explode(F.slice("toks", 1, F.col("lead"))).alias("tok")), "heads")
+    reps = written(near.join(member.filter("rid = cls").select("rid"), "rid", "left_semi").select("rid", "n", "r", "toks", "lead"), "classes")
+    # `left`: shingles from this place on. The smaller of two linked sets shares one of its first
+    # r - ceil(2 t n / (1 + t)) + 1 shingles, so only those (`index`) need to be met by the larger one's.
+    head = reps.select("rid", "n", "r", F.posexplode(F.slice("toks", 1, F.col("lead"))).alias("p", "tok"))
+    head = written(
+        head.select("rid", "n", "tok", (F.col("r") - F.col("p")).alias("left"), (F.col("p") <= F.col("r") - F.ceil(2 * num * F.col("n") / (num + den))).alias("index")), "heads"
+    )
     fits = lambda p, q: (den * F.col(p) >= num * F.col(q)) & (den * F.col(q) >= num * F.col(p))
+    # The first shingle that a linked pair shares has at least the needed overlap from its place on in both sets.
+    reach = lambda a, b, m, n: F.least(a, b) * (num + den) >= num * (F.col(m) + n)
     # Leaders: the least class of each leading shingle; a class tries the one it shares most of them with.
     lead = head.groupBy("tok").agg(F.min(F.struct("rid", "n")).alias("l"), F.count("*").alias("c")).filter("c > 1")
     star = (
@@ -253,17 +260,17 @@ def jaccard_links(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataF
     links = written(_verified(star, reps, num, den), "links")
     group = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
     placed = written(
-        head.join(group, head.rid == group.v, "left").select("tok", "rid", "n", F.coalesce("component", "rid").alias("g")), "placed"
+        head.join(group, head.rid == group.v, "left").select("tok", "rid", "n", "left", "index", F.coalesce("component", "rid").alias("g")), "placed"
     )
-    # The matrix's columns met by leading shingles: groups of the shingle with the sizes of their members there.
-    cell = placed.groupBy("tok", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    shared = cell.groupBy("tok").agg(F.count("*").alias("gs")).filter("gs > 1").select("tok")
-    query = (
-        placed.join(shared, "tok").join(cell.join(shared, "tok").select("tok", F.col("g").alias("h"), "least", "most"), "tok")
-        .filter("h < g").filter(den * F.col("n") >= num * F.col("least")).filter(num * F.col("n") <= den * F.col("most"))
-        .select(F.col("rid").alias("x"), "h").distinct()
+    # Cells of the matrix: the groups of a shingle with the sizes and the most that is left of their members there.
+    cell = placed.filter("index").groupBy("tok", F.col("g").alias("h")).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("left").alias("rest"))
+    query = written(
+        placed.join(
+            cell, (placed.tok == cell.tok) & (F.col("g") != F.col("h")) & (F.col("least") <= F.col("n")) & (den * F.col("most") >= num * F.col("n"))
+            & reach("left", "rest", "n", F.greatest(F.col("least"), F.ceil(num * F.col("n") / den))),
+        ).select(F.col("rid").alias("x"), "h").distinct(),
+        "queries",
     )
-    query = written(query, "queries")
     if not query.head(1):
         return group, member
     # Bound: shingles of the query inside the union of the group's shingles.
@@ -275,12 +282,12 @@ def jaccard_links(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataF
         .filter(den * F.col("o") >= num * F.col("n")).select("x", "h")
     )
     opened = written(bound, "opened")
-    # Members of opened groups that share a leading shingle with the query.
-    pairs = (
-        placed.select(F.col("rid").alias("x"), F.col("n").alias("xn"), "tok").join(opened, "x")
-        .join(placed.select(F.col("rid").alias("y"), F.col("n").alias("yn"), F.col("g").alias("h"), "tok"), ["h", "tok"])
-        .filter(fits("xn", "yn")).select("x", "y").distinct()
-    )
+    # Members of opened groups that share a leading shingle with the query and may reach the overlap from there.
+    asking = placed.select(F.col("rid").alias("x"), F.col("n").alias("xn"), F.col("left").alias("xl"), "tok").join(opened, "x")
+    inside = placed.filter("index").select(F.col("rid").alias("y"), F.col("n").alias("yn"), F.col("left").alias("yl"), F.col("g").alias("gh"), F.col("tok").alias("yt"))
+    pairs = asking.join(
+        inside, (F.col("h") == F.col("gh")) & (F.col("tok") == F.col("yt")) & (F.col("yn") <= F.col("xn")) & (den * F.col("yn") >= num * F.col("xn")) & reach("xl", "yl", "xn", F.col("yn"))
+    ).select("x", "y").distinct()
     more = _verified(pairs, reps, num, den)
     final = components(links.unionByName(more).select(F.col("x").alias("a"), F.col("y").alias("b")))
     return final, member
