@@ -7,11 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .block_knn import block_knn
+from .html_extract import extract_main_text
 from .jaccard_join import jaccard_components
+from .piece_codec import PieceModel, encode_pieces
 from .quality_gam import quality_scores
 from .rule_forest import rule_verdicts, train_rules
 from .source_mix import mix_sources
 from .suffix_dedup import suffix_dedup
+from .toxicity import toxicity_scores
+
+#: The public vocabulary used by the query; a parameter of the operator.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +62,19 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), k=5, num=3, den=4).select("doc_id", "n_shingles", "component_id")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_pieces(docs, PieceModel.load(PIECES)).select("doc_id", "n_tokens", "ids", "round_trip")
+
+
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -67,6 +86,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_jaccard_join": op3_jaccard_join,
         "op4_rule_forest": op4_rule_forest,
         "op5_block_knn": op5_block_knn,
+        "op7_toxicity": op7_toxicity,
+        "op8_piece_codec": op8_piece_codec,
+        "op9_html_extract": op9_html_extract,
         "op10_source_mix": op10_source_mix,
     }
 
