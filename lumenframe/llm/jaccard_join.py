@@ -293,6 +293,18 @@ def jaccard_links(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataF
     return final, member
 
 
+def component_rows(base: DataFrame, k: int = 5, num: int = 3, den: int = 4) -> DataFrame:
+    """(rid, n, top) for rows with _rid and _text: set size and the least row of the component."""
+    sets = written(shingle_sets(base, "_rid", "_text", k, num, den), "sets")
+    linked, member = jaccard_links(sets, num, den)
+    return (
+        sets.select("rid", "n", F.coalesce("rep", "rid").alias("r"))
+        .join(member.select(F.col("rid").alias("r"), "cls", "inner"), "r", "left")
+        .join(linked, F.col("cls") == F.col("v"), "left")
+        .select("rid", "n", F.when(F.col("component").isNotNull(), F.col("component")).when(F.col("inner"), F.col("cls")).otherwise(F.col("r")).alias("top"))
+    )
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 3, den: int = 4) -> DataFrame:
     """One row for each input row: id, n_shingles, component_id (the least id reachable by links, itself included).
 
@@ -304,17 +316,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     base = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     base = with_row_ids(base, "_id", "_text")
-    sets = written(shingle_sets(base, "_rid", "_text", k, num, den), "sets")
-    linked, member = jaccard_links(sets, num, den)
-    own = (
-        sets.select("rid", "n", F.coalesce("rep", "rid").alias("r"))
-        .join(member.select(F.col("rid").alias("r"), "cls", "inner"), "r", "left")
-        .join(linked, F.col("cls") == F.col("v"), "left")
-        .select("rid", "n", F.when(F.col("component").isNotNull(), F.col("component")).when(F.col("inner"), F.col("cls")).otherwise(F.col("r")).alias("top"))
-    )
     ids = base.select("_rid", "_id")
     return (
-        own.join(ids.select(F.col("_rid").alias("rid"), F.col("_id").alias(id_col)), "rid")
+        component_rows(base, k, num, den).join(ids.select(F.col("_rid").alias("rid"), F.col("_id").alias(id_col)), "rid")
         .join(ids.select(F.col("_rid").alias("top"), F.col("_id").alias("component_id")), "top")
-        .select(id_col, F.col("n").alias("n_shingles"), "component_id", F.col("rid").alias("row_id"), F.col("top").alias("component_row"))
+        .select(id_col, F.col("n").alias("n_shingles"), "component_id")
     )
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 3, den: int = 4) -> DataFrame:
+    """The rows of docs, all columns, of which each component has one left: that of the least id (and text)."""
+    names = docs.columns
+    plain = docs.withColumnsRenamed({c: f"_c{i}" for i, c in enumerate(names)})
+    base = with_row_ids(plain, f"_c{names.index(id_col)}", f"_c{names.index(text_col)}")
+    rows = component_rows(base.select("_rid", F.col(f"_c{names.index(text_col)}").alias("_text")), k, num, den)
+    kept = base.join(rows.filter("rid = top").select(F.col("rid").alias("_rid")), "_rid", "left_semi")
+    return kept.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .block_knn import block_knn
 from .html_extract import extract_main_text
 from .jaccard_join import jaccard_components
+from .passage_dedup import repeated_passages
 from .piece_codec import PieceModel, encode_pieces
 from .quality_gam import quality_scores
 from .rule_forest import rule_verdicts, train_rules
@@ -62,6 +63,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), k=5, num=3, den=4).select("doc_id", "n_shingles", "component_id")
 
 
+def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents"), words=50, k=5, num=3, den=4)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -86,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_jaccard_join": op3_jaccard_join,
         "op4_rule_forest": op4_rule_forest,
         "op5_block_knn": op5_block_knn,
+        "op6_passage_dedup": op6_passage_dedup,
         "op7_toxicity": op7_toxicity,
         "op8_piece_codec": op8_piece_codec,
         "op9_html_extract": op9_html_extract,
