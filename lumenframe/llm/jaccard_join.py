@@ -24,7 +24,7 @@ from .common import buckets_for, mix64, pack, partitions_for, ranges, unpack, wi
 from .components import components
 from .shingles import shingle_hashes
 
-BATCH = 4 << 20
+BATCH = 1 << 20
 _SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("data", pa.binary())])
 TOKENS, DOCS, COPIES = 0, 1, 2
 

@@ -6,7 +6,7 @@ import numpy as np
 
 from .common import mix64
 
-_MAX = 1 << 20
+_MAX = (1 << 20) + 4096
 _B = np.uint64(0x9E3779B97F4A7C15 | 1)
 _B_INV = np.uint64(pow(int(_B), -1, 1 << 64))
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from .shingles import _DOWN, _MAX, _UP, _B, _B_INV, _powers, word_hashes
 from .common import mix64
 
-BATCH = 2 << 20
+BATCH = 1 << 20
 _IS = {name: np.zeros(256, bool) for name in ("symbol", "upper", "lower", "digit", "stop", "comma", "quote", "mark", "bracket", "other")}
 _IS["symbol"][[ord(c) for c in "#*$%&|<>"]] = True
 _IS["upper"][ord("A") : ord("Z") + 1] = True
