@@ -13,6 +13,7 @@ from __future__ import annotations
 import heapq
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -65,7 +66,6 @@ class PieceModel:
     prefix: bool = True
     trim: bool = False
     index: dict[str, int] = field(default_factory=dict)
-    longest: int = 1
     unk: int = 0
     bytes_at: dict[int, int] = field(default_factory=dict)
 
@@ -104,7 +104,6 @@ class PieceModel:
 
     def indexed(self) -> "PieceModel":
         self.index = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == NORMAL}
-        self.longest = max(map(len, self.index), default=1)
         self.unk = self.kinds.index(UNKNOWN) if UNKNOWN in self.kinds else 0
         self.bytes_at = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == BYTE}
         return self
@@ -117,6 +116,13 @@ class Codec:
         self.m = model
         self.fits: dict[tuple[int, int], bool] = {}
         self.words: dict[str, bytes] = {}
+        self.cost = {p: -model.scores[k] for p, k in model.index.items()}
+        self.trie: dict = {}  # by character; "" holds a piece's id
+        for piece, k in model.index.items():
+            node = self.trie
+            for ch in piece:
+                node = node.setdefault(ch, {})
+            node[""] = k
         self.floor = min((s for s, k in zip(model.scores, model.kinds) if k == NORMAL), default=0.0) - 10.0
         text = [p.replace(MARK, " ").encode() for p in model.pieces]
         for b, i in model.bytes_at.items():
@@ -157,46 +163,74 @@ class Codec:
             offer(i, right[i])
         return [p for p in part if p]
 
+    def merged_short(self, chars: str) -> list[str]:
+        """The same for a few characters, by looking through all neighbours at each step."""
+        cost, none = self.cost, float("inf")
+        part = list(chars)
+        pair = [cost.get(x + y, none) for x, y in zip(part, part[1:])]
+        while pair:
+            low = min(pair)
+            if low == none:
+                break
+            i = pair.index(low)
+            part[i : i + 2] = [part[i] + part[i + 1]]
+            del pair[i]
+            if i:
+                pair[i - 1] = cost.get(part[i - 1] + part[i], none)
+            if i < len(pair):
+                pair[i] = cost.get(part[i] + part[i + 1], none)
+        return part
+
     def _fit(self, a: int, b: int) -> bool:
         """May piece b follow a (or stand first or after an unknown character: a is -1)?"""
         found = self.fits.get((a, b))
         if found is None:
             x, y = "" if a < 0 else self.m.pieces[a], self.m.pieces[b]
-            found = self.fits[a, b] = self.merged(x + y) == ([x, y] if x else [y])
+            found = self.fits[a, b] = self.merged_short(x + y) == ([x, y] if x else [y])
         return found
 
     def sorted_words(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:
-        """(word, ids) of sorted distinct words; -1 - c stands for a character c without a piece."""
-        index, scores, pieces, longest = self.m.index, self.m.scores, self.m.pieces, self.m.longest
-        bpe = self.m.model == BPE
-        fits, get = self.fits, self.fits.get
+        """(word, ids) of sorted distinct words; -1 - c stands for a character c without a piece.
+
+        Beside the forward states, each prefix keeps the places of the piece trie that its ends may still grow from."""
+        scores, root, floor, fit = self.m.scores, self.trie, self.floor, self._fit
+        bpe, fits = self.m.model == BPE, self.fits
         last, back, best = [-1], [0], [0.0]
+        grow: list[list[tuple[int, dict]]] = [[]]
         before = ""
         for word in words:
             same, most = 0, min(len(before), len(word))
             while same < most and before[same] == word[same]:
                 same += 1
-            del last[same + 1 :], back[same + 1 :], best[same + 1 :]
-            for i in range(same + 1, len(word) + 1):
-                found, at, score = -1 - ord(word[i - 1]), i - 1, best[i - 1] + self.floor
-                low = i - longest if i > longest else 0
-                if bpe:
-                    for j in range(low, i):
-                        k = index.get(word[j:i])
+            del last[same + 1 :], back[same + 1 :], best[same + 1 :], grow[same + 1 :]
+            for i in range(same, len(word)):
+                ch = word[i]
+                alive = [(j, n[ch]) for j, n in grow[i] if ch in n]
+                if ch in root:
+                    alive.append((i, root[ch]))
+                found, at = -1 - ord(ch), i
+                if bpe:  # the longest piece comes first
+                    for j, n in alive:
+                        k = n.get("")
                         if k is not None:
-                            p = last[j] if last[j] >= 0 else -1
-                            ok = get((p, k))
-                            if ok or ok is None and self._fit(p, k):
+                            p = last[j]
+                            if p < 0:
+                                p = -1
+                            ok = fits.get((p, k))
+                            if ok or ok is None and fit(p, k):
                                 found, at = k, j
                                 break
+                    best.append(0.0)
                 else:
-                    for j in range(low, i):
-                        k = index.get(word[j:i])
+                    score = best[i] + floor
+                    for j, n in alive:
+                        k = n.get("")
                         if k is not None and best[j] + scores[k] > score:
                             found, at, score = k, j, best[j] + scores[k]
+                    best.append(score)
                 last.append(found)
                 back.append(at)
-                best.append(score)
+                grow.append(alive)
             ids, i = [], len(word)
             while i:
                 ids.append(last[i])
@@ -215,7 +249,7 @@ class Codec:
             elif not unknown:  # neighbouring unknown characters are one unknown piece
                 out.append(self.m.unk)
                 unknown = True
-        return np.array(out, np.int32).tobytes()
+        return array("i", out).tobytes()
 
     def units(self, text: str) -> list[str]:
         if self.m.trim:
