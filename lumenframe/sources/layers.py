@@ -41,10 +41,19 @@ def zip_entries(spark: SparkSession, path: str) -> DataFrame:
 
 
 def directory_entries(spark: SparkSession, path: str) -> DataFrame:
-    """(package, entry, content) of one exported directory."""
+    """(package, entry, content) of one exported directory. Files are read where they lie; empty ones, which file scans
+    leave out, come from the directory's listing."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     root = F.regexp_extract("path", f"^(.*?{_quoted(path.rstrip('/'))})/", 1)
-    return files.select(F.lit(path).alias("package"), F.substring("path", F.length(root) + 2, F.length("path")).alias("entry"), "content")
+    found = files.select(F.lit(path).alias("package"), F.substring("path", F.length(root) + 2, F.length("path")).alias("entry"), "content")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listing = where.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(where, True)
+    empty, prefix = [], re.compile(f"^.*?{_quoted(path.rstrip('/'))}/")
+    while listing.hasNext():
+        status = listing.next()
+        if status.getLen() == 0:
+            empty.append((path, prefix.sub("", status.getPath().toString()), bytearray()))
+    return found.unionByName(spark.createDataFrame(empty, "package string, entry string, content binary")) if empty else found
 
 
 def _quoted(text: str) -> str:
