@@ -22,7 +22,7 @@ from .common import fit_rows, held_out
 
 MAX_FIT_ROWS = 20_000  # labelled rows at most that lexicon and weights are learned from
 MAX_LEXICON = 20_000  # entries at most
-MIN_ROWS = 4  # toxic rows that an entry needs
+MIN_ROWS = 3  # toxic rows that an entry needs
 SHORTEST, LONGEST = 4, 10  # letters of a beginning
 
 #: Letters that look alike, and digits and signs that stand for letters.
