@@ -3,10 +3,15 @@ from pyspark.sql import functions as F
 from lumenframe.streaming import windows
 
 
-def run(spark, tmp_path, df, name, mode="append"):
+def run(spark, tmp_path, df, name, mode="append", rows=None):
     q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / f"ck_{name}")).start()
     try:
-        q.processAllAvailable()
+        if rows is None:
+            q.processAllAvailable()
+        else:  # queries with processing-time timeouts never come to rest
+            for _ in range(240):
+                if spark.table(name).count() >= rows or q.awaitTermination(0.5):
+                    break
     finally:
         q.stop()
     return spark.table(name)
@@ -26,5 +31,5 @@ def test_windows(spark, tmp_path):
 def test_merged_spans(spark, tmp_path):
     spark.createDataFrame([("a", 0, 10), ("a", 10, 12), ("a", 13, 20), ("a", 30, 31), ("b", 1, 1)], "target_id string, start_us long, end_us long").coalesce(1).write.json(str(tmp_path / "in"))
     source = spark.readStream.schema("target_id string, start_us long, end_us long").json(str(tmp_path / "in"))
-    got = run(spark, tmp_path, windows.merged_spans(source, idle_ms=10**8), "merged").orderBy("start_us").collect()
+    got = run(spark, tmp_path, windows.merged_spans(source, idle_ms=10**8), "merged", rows=2).orderBy("start_us").collect()
     assert [(r.start_us, r.end_us, r.parts) for r in got] == [(0, 12, 2), (13, 20, 1)]
