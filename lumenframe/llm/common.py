@@ -79,9 +79,10 @@ def fit_rows(docs: DataFrame, labels: DataFrame, label: str, most: int, id_col:
         F.max(label).cast("int").alias("y")
     )
     picked = y.filter(~held_out(id_col)).orderBy(F.xxhash64(F.col(id_col), F.lit(11)), F.col(id_col)).limit(most)
-    return docs.select(F.col(id_col), F.col("text")).join(picked, id_col)
-
-
+    # The picked ids are at most `most` rows by the limit, so they are broadcast and the texts of all others stay where
+    # they are; an id that many rows repeat gives one row.
+    rows = docs.select(F.col(id_col), F.col("text")).join(F.broadcast(picked), id_col)
+    return rows.groupBy(id_col).agg(F.min("text").alias("text"), F.first("y").alias("y"))
 
 
 def pack(*arrays: np.ndarray) -> bytes:
