@@ -509,18 +509,48 @@ def text_similarity(spark, d):
     return p.join(q, "p_partkey").select("p_partkey", F.round(tx.similarity(F.col("a"), F.col("b"), 0.6), 9).alias("similarity"))
 
 
-@query()
+def _near_sql(a: str, b: str) -> str:
+    """near_identical of two ASCII keys."""
+    short, long = f"CASE WHEN length({a}) <= length({b}) THEN {a} ELSE {b} END", f"CASE WHEN length({a}) <= length({b}) THEN {b} ELSE {a} END"
+    clipped = " OR ".join(f"(length(s) > {f + k} AND 2 * (length(s) - {f + k}) >= length(l) AND position(substr(s, {f + 1}, length(s) - {f + k}) IN l) > 0)" for f in range(3) for k in range(3))
+    return f"""SELECT p_partkey, (s = l OR (regexp_replace(s, '[^0-9]', '', 'g') = regexp_replace(l, '[^0-9]', '', 'g') AND ({clipped}
+  OR CASE WHEN length(l) = 0 THEN true ELSE levenshtein(s, l) <= floor((1.0 - 0.8)::DOUBLE * length(l)) AND 1.0 - levenshtein(s, l)::DOUBLE / length(l) >= 0.8 END))) AS near
+FROM (SELECT p_partkey, {short} AS s, {long} AS l FROM k)"""
+
+
+_KEY = LOWER.format("regexp_replace({0}, '[^A-Za-z0-9]', '', 'g')")
+
+
+@query(f"""
+WITH p AS (SELECT p_partkey, p_name || (p_partkey % 3) AS a FROM part), q AS (SELECT x.p_partkey, x.a, substr(y.a, 1 + x.p_partkey % 3, 40) AS b FROM p x JOIN p y ON y.p_partkey = x.p_partkey + x.p_partkey % 2),
+k AS (SELECT p_partkey, {_KEY.format('a')} AS a, {_KEY.format('b')} AS b FROM q) {_near_sql('a', 'b')}
+""")
 def near_identical_readings(spark, d):
-    p = table(spark, d, "part").select("p_partkey", F.col("p_name").alias("a"))
-    q = p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("a").alias("b"))
-    a, b = (tx.alphanumeric_key(tx.read_digit_lookalikes(F.col(c))) for c in ("a", "b"))
-    return p.join(q, "p_partkey").select("p_partkey", tx.near_identical(a, b).alias("near"))
+    p = table(spark, d, "part").select("p_partkey", F.concat("p_name", F.col("p_partkey") % 3).alias("a"))
+    y = p.select(F.col("p_partkey").alias("other"), F.col("a").alias("b"))
+    q = p.join(y, F.col("other") == F.col("p_partkey") + F.col("p_partkey") % 2).withColumn("b", F.substring("b", (F.col("p_partkey") % 3 + 1).cast("int"), F.lit(40)))
+    return q.select("p_partkey", tx.near_identical(tx.alphanumeric_key(F.col("a")), tx.alphanumeric_key(F.col("b"))).alias("near"))
 
 
-@query()
+@query("""
+SELECT doc_id, md5(array_to_string(list_transform(regexp_extract_all(text, '[A-Za-z0-9$,.]+|[^A-Za-z0-9$,.]+'), lambda t:
+  CASE WHEN regexp_matches(t, '[0-9]') AND NOT regexp_matches(t, '[AC-HJ-NP-RT-Za-kmnp-z]') THEN CASE WHEN starts_with(t, 'S') THEN 'S' || translate(substr(t, 2), 'OoIlSB', '001158') ELSE translate(t, 'OoIlSB', '001158') END ELSE t END), '')) AS read_md5
+FROM documents
+""")
+def digit_lookalikes(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.md5(tx.read_digit_lookalikes(F.col("text")).cast("binary")).alias("read_md5"))
+
+
+@query(r"""
+WITH v AS (SELECT doc_id, text, 'x ' || (doc_id % 7) || ' $' || doc_id || ',' || lpad(CAST(doc_id % 1000 AS VARCHAR), 3, '0') || ' and ' || (doc_id % 90) || '.' || (doc_id % 10) || ', ' || (doc_id % 30) || ',500 sold' AS t FROM documents),
+m AS (SELECT doc_id, unnest(regexp_extract_all(t, '\$(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\s*\d+)?|\b\d{1,3}(?:,\d{3})+(?:\.\d+)?\b|\b\d+\.\d+\b')) AS raw_text FROM v)
+SELECT doc_id, raw_text, regexp_replace(raw_text, '[$,\s]', '', 'g') AS numeric_value, CASE WHEN starts_with(raw_text, '$') THEN 'currency_unknown' END AS unit FROM m
+""")
 def numeric_values(spark, d):
-    n = table(spark, d, "documents").select("doc_id", F.posexplode(tx.parse_numeric_values("text")).alias("pos", "n"))
-    return n.select("doc_id", "pos", "n.raw_text", "n.numeric_value", "n.number_kind", "n.unit")
+    i = F.col("doc_id")
+    t = F.concat(F.lit("x "), i % 7, F.lit(" $"), i, F.lit(","), F.lpad((i % 1000).cast("string"), 3, "0"), F.lit(" and "), i % 90, F.lit("."), i % 10, F.lit(", "), i % 30, F.lit(",500 sold"))
+    n = table(spark, d, "documents").select("doc_id", F.explode(tx.parse_numeric_values(t)).alias("n"))
+    return n.select("doc_id", "n.raw_text", "n.numeric_value", "n.unit")
 
 
 _LIN = "CASE WHEN {0} / 255.0 <= 0.04045 THEN {0} / 255.0 / 12.92 ELSE pow(({0} / 255.0 + 0.055) / 1.055, 2.4) END"
@@ -691,7 +721,11 @@ def row_stream(spark, d):
     return index.row_digests(table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey"))
 
 
-@query()
+_T = "{1}' || length(CAST({0} AS VARCHAR)) || ':' || {0} || '"
+_PARTS = " || '|' || ".join(f"CAST(coalesce(sum(CAST('0x' || substr(h, {1 + 12 * i}, 12) AS BIGINT)), 0) AS VARCHAR)" for i in range(5))
+
+
+@query(f"WITH r AS (SELECT sha256('{_T.format('o_orderkey', 'i')},{_T.format('o_custkey', 'i')},{_T.format('o_orderstatus', 't')}') AS h FROM orders) SELECT 'orders' AS \"table\", count(*) AS rows, sha256({_PARTS}) AS digest FROM r")
 def table_digest(spark, d):
     return index.table_digest(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), "orders")
 
