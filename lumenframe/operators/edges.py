@@ -7,10 +7,11 @@ with the fields of the format; each has line_no, the place in its layer, and ord
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geometry import box_iou, center, center_distance
 from ..sources.blocks import rle_decode
+from .export import with_line_numbers
 from .intervals import first_match, overlap_join, point_join
 
 #: Thresholds of the spatial rules.
@@ -18,13 +19,14 @@ NEAR, MASK_IOU, CONTAINMENT, STATIONARY, MOVES_WITH = 0.15, 0.1, 0.8, 0.02, 0.05
 BIN = 1_000_000  # microseconds; about the length of a spoken segment
 
 
-def _edge(builder: int, prefix: str, kind: str | Column, source: Column, target: Column, start: Column, end: Column, order: list[Column], confidence: Column | None = None) -> list[Column]:
+def _edge(builder: int, prefix: str, kind: str | Column, source: Column, target: Column, start: Column, end: Column, order: list[Column], confidence: Column | None = None, name: Column | None = None) -> list[Column]:
+    name = F.lit(None).cast("string") if name is None else name
     kind = F.lit(kind) if isinstance(kind, str) else kind
     prefix = F.lit(prefix) if isinstance(prefix, str) else prefix
     return [
         F.lit(builder).alias("builder"), prefix.alias("prefix"), kind.alias("type"), source.alias("source_id"), target.alias("target_id"),
         start.cast("long").alias("start_us"), end.cast("long").alias("end_us"), F.coalesce(confidence if confidence is not None else F.lit(1.0), F.lit(1.0)).alias("confidence"),
-        F.struct(*[o.cast("long").alias(f"o{i}") for i, o in enumerate([*order, *[F.lit(None)] * (2 - len(order))])]).alias("ord"),
+        F.struct(F.coalesce(name, F.lit("")).alias("name"), *[o.cast("long").alias(f"o{i}") for i, o in enumerate([*order, *[F.lit(None)] * (2 - len(order))])]).alias("ord"),
     ]
 
 
@@ -94,10 +96,8 @@ def enters_exits(builder: int, regions: DataFrame, entities: DataFrame, frames:
     ends = rows.groupBy("entity_id").agg(
         F.min(F.struct("pts_us", "line_no", "frame_id")).alias("first"), F.max(F.struct("pts_us", F.negative("line_no").alias("m"), "frame_id")).alias("last")
     )
-    order = Window.orderBy("entity_id")  # one row an entity
-    ends = ends.withColumn("seq", F.row_number().over(order))
-    enters = ends.select(*_edge(builder, "rel_entity_enters_", "enters_frame", F.col("entity_id"), F.col("first.frame_id"), F.col("first.pts_us"), F.col("first.pts_us"), [F.col("seq"), F.lit(0)]))
-    exits = ends.filter("last.frame_id <> first.frame_id").select(*_edge(builder, "rel_entity_exits_", "exits_frame", F.col("entity_id"), F.col("last.frame_id"), F.col("last.pts_us"), F.col("last.pts_us"), [F.col("seq"), F.lit(1)]))
+    enters = ends.select(*_edge(builder, "rel_entity_enters_", "enters_frame", F.col("entity_id"), F.col("first.frame_id"), F.col("first.pts_us"), F.col("first.pts_us"), [F.lit(0)], name=F.col("entity_id")))
+    exits = ends.filter("last.frame_id <> first.frame_id").select(*_edge(builder, "rel_entity_exits_", "exits_frame", F.col("entity_id"), F.col("last.frame_id"), F.col("last.pts_us"), F.col("last.pts_us"), [F.lit(1)], name=F.col("entity_id")))
     return enters.unionByName(exits)
 
 
@@ -147,19 +147,18 @@ def motion(builder: int, regions: DataFrame, entities: DataFrame) -> DataFrame:
     (fx, fy), (lx, ly) = center(F.col("f.box_norm")), center(F.col("l.box_norm"))
     m = m.withColumn("dx", lx - fx).withColumn("dy", ly - fy).withColumn("d", F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")))
     m = m.select("entity_id", "dx", "dy", "d", F.coalesce("f.pts_us", F.lit(0)).alias("first"), F.coalesce("l.pts_us", F.lit(0)).alias("last"))
-    m = m.withColumn("seq", F.row_number().over(Window.orderBy("entity_id")))  # one row an entity
     still = m.filter(F.col("d") <= STATIONARY).select(
-        *_edge(builder, "rel_stationary_", "stationary_relative_to_camera", F.col("entity_id"), F.col("entity_id"), F.col("first"), F.col("last"), [F.lit(0), F.col("seq")])
+        *_edge(builder, "rel_stationary_", "stationary_relative_to_camera", F.col("entity_id"), F.col("entity_id"), F.col("first"), F.col("last"), [F.lit(0)], name=F.concat(F.lit("0"), F.col("entity_id")))
     )
     cell = lambda c: F.floor(F.col(c) / MOVES_WITH).cast("long")
     moving = m.filter(F.col("d") > STATIONARY).withColumn("cx", cell("dx")).withColumn("cy", cell("dy"))
-    b = moving.select(*[F.col(c).alias(f"b_{c}") for c in ("entity_id", "dx", "dy", "first", "last", "seq")], "cx", "cy")
+    b = moving.select(*[F.col(c).alias(f"b_{c}") for c in ("entity_id", "dx", "dy", "first", "last")], "cx", "cy")
     near = F.explode(F.array(*[F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
     a = moving.withColumn("c", near).drop("cx", "cy").select("*", "c.cx", "c.cy")
     gap = F.sqrt((F.col("dx") - F.col("b_dx")) ** 2 + (F.col("dy") - F.col("b_dy")) ** 2)
-    pairs = a.join(b, ["cx", "cy"]).filter(F.col("seq") < F.col("b_seq")).filter(gap <= MOVES_WITH)
+    pairs = a.join(b, ["cx", "cy"]).filter(F.col("entity_id") < F.col("b_entity_id")).filter(gap <= MOVES_WITH)
     return still.unionByName(
-        pairs.select(*_edge(builder, "rel_moves_with_", "moves_with", F.col("entity_id"), F.col("b_entity_id"), F.least("first", "b_first"), F.greatest("last", "b_last"), [F.lit(1), F.col("seq") * F.lit(1 << 20) + F.col("b_seq")]))
+        pairs.select(*_edge(builder, "rel_moves_with_", "moves_with", F.col("entity_id"), F.col("b_entity_id"), F.least("first", "b_first"), F.greatest("last", "b_last"), [F.lit(1)], name=F.concat(F.lit("1"), F.col("entity_id"), F.lit("\0"), F.col("b_entity_id"))))
     )
 
 
@@ -219,14 +218,6 @@ def depth_relations(depths: DataFrame, polarity: str = "reference") -> DataFrame
 
 
 def number(edges: DataFrame, width: int = 6) -> DataFrame:
-    """Number all edges from 1 by builder and order, and make their ids.
-
-    Local numbers come from one window per builder and slice of the order; slices are counted first, so no window holds
-    all edges."""
-    e = edges.withColumn("slice", F.floor(F.coalesce("ord.o0", F.lit(0)) / 10000))
-    counts = e.groupBy("builder", "slice").agg(F.count("*").alias("c"))
-    before = Window.orderBy("builder", "slice").rowsBetween(Window.unboundedPreceding, -1)  # one row a slice
-    offset = counts.select("builder", "slice", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("offset"))
-    own = Window.partitionBy("builder", "slice").orderBy("ord", "type", "source_id", "target_id")
-    out = e.withColumn("_n", F.row_number().over(own)).join(offset, ["builder", "slice"]).withColumn("seq", F.col("_n") + F.col("offset"))
+    """Number all edges from 1 by builder and order, and make their ids; no task holds all edges."""
+    out = with_line_numbers(edges, ["builder", "ord", "type", "source_id", "target_id"]).withColumnRenamed("line_no", "seq")
     return out.select(F.concat("prefix", F.lpad(F.col("seq").cast("string"), width, "0")).alias("id"), "seq", "type", "source_id", "target_id", "start_us", "end_us", "confidence")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .lineage import settled
+
 
 def _lookup(owner: DataFrame, key: str, order: str | None, fields: list[str]) -> DataFrame:
     """One row for each id, the first in file order."""
@@ -57,8 +59,8 @@ def counts_manifest(tables: dict[str, DataFrame]) -> DataFrame:
 
 def with_line_numbers(df: DataFrame, order: list[str]) -> DataFrame:
     """Number the rows of one layer from 1: ranges of the order are counted, then numbered each by itself."""
-    parts = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    parts = settled(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
     counts = parts.groupBy("_p").agg(F.count("*").alias("_c"))
     before = counts.select("_p", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
     own = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
-    return parts.withColumn("_r", own).join(F.broadcast(before), "_p").withColumn("line_no", (F.col("_r") + F.col("_b")).cast("long")).drop("_p", "_r", "_b")
+    return parts.withColumn("_r", own).join(before, "_p").withColumn("line_no", (F.col("_r") + F.col("_b")).cast("long")).drop("_p", "_r", "_b")

@@ -6,25 +6,13 @@ come first is the same for any number of partitions. A level's edges join the fr
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .intervals import in_window
+from .lineage import settled
 from .search import relationship_class
 
 
-def _settled(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a level: written to the shared checkpoint folder where one is set, else kept by lineage."""
-    spark = df.sparkSession
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        where = f"{path.rstrip('/')}/levels/{uuid.uuid4().hex}"
-        df.write.parquet(where)
-        return spark.read.schema(df.schema).parquet(where)
-    return df.persist()
-
-
 def select_edges(edges: DataFrame, of_class: str | None = None, of_type: str | None = None, at_us: int | None = None, start_us: int | None = None, end_us: int | None = None) -> DataFrame:
     """Edges with both ends, of a class (all: any) and exact type, whose time matches; relationship_class is added."""
     df = edges.filter((F.coalesce("source_id", F.lit("")) != "") & (F.coalesce("target_id", F.lit("")) != ""))
@@ -75,7 +63,7 @@ def traverse(edges: DataFrame, start: str, depth: int = 2, direction: str = "bot
             old = found.filter("relationship_id <> ''").select("relationship_id").distinct().withColumn("_old", F.lit(1))
             new = new.join(old, "relationship_id", "left").withColumn("_first", F.when(F.col("_old").isNull(), F.col("_first")).otherwise(2)).drop("_old")
         new = new.withColumn("_n", F.sum((F.col("_first") == 1).cast("long")).over(Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)))
-        new = _settled(new)
+        new = settled(new)
         emitted = new.filter("_first = 1").filter(F.lit(True) if limit is None else F.col("_n") <= limit - count)
         total = new.agg(F.max("slot").alias("slots"), F.coalesce(F.max("_n"), F.lit(0)).alias("n"), F.min(F.when(F.col("_n") >= (limit or 0) - count, F.col("slot"))).alias("full")).first()
         if limit is not None and total["slots"]:
@@ -84,7 +72,7 @@ def traverse(edges: DataFrame, start: str, depth: int = 2, direction: str = "bot
         level_edges = emitted.select("edge_idx", "relationship_id", "dir", F.lit(level + 1).alias("depth"), (F.col("_n") + count).alias("edge_rank"), "node", "next")
         found = level_edges if found is None else found.unionByName(level_edges)
         fresh = emitted.groupBy(F.col("next").alias("node")).agg(F.min("slot").alias("_slot")).join(nodes.select("node"), "node", "left_anti")
-        frontier = _settled(
+        frontier = settled(
             fresh.withColumn("node_rank", (F.row_number().over(Window.orderBy("_slot")) + rank - 1).cast("long")).select("node", F.lit(level + 1).alias("depth"), "node_rank")
         )
         nodes = nodes.unionByName(frontier)
