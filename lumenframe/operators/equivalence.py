@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geometry import box_iou, cosine_similarity
@@ -90,3 +91,35 @@ def entry_sets(a: DataFrame, b: DataFrame) -> DataFrame:
     """Entries of only one of two packages: (entry, side)."""
     x, y = a.select("entry").distinct(), b.select("entry").distinct()
     return x.exceptAll(y).withColumn("side", F.lit("left")).unionByName(y.exceptAll(x).withColumn("side", F.lit("right")))
+
+
+def squared_distance(on: np.ndarray) -> np.ndarray:
+    """Exact squared Euclidean distance of every pixel to the nearest set one: column distances, then, row by row, the
+    least of column distance and offset."""
+    h, w = on.shape
+    far = float(h * h + w * w + 1)
+    rows = np.arange(h)[:, None]
+    above = np.maximum.accumulate(np.where(on, rows, -h - w), 0)
+    below = np.minimum.accumulate(np.where(on, rows, 2 * h + w)[::-1], 0)[::-1]
+    col = np.minimum(np.minimum(rows - above, below - rows).astype(float) ** 2, far)
+    x = np.arange(w)
+    offset = (x[:, None] - x[None, :]).astype(float) ** 2
+    return np.stack([(col[r][None, :] + offset).min(1) for r in range(h)]) if h else col
+
+
+def boundary(mask: np.ndarray) -> np.ndarray:
+    """Set pixels with an unset neighbour (or the raster's edge) on one of four sides."""
+    p = np.pad(mask, 1)
+    return mask & ~(p[:-2, 1:-1] & p[2:, 1:-1] & p[1:-1, :-2] & p[1:-1, 2:])
+
+
+def mask_metrics(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
+    """IoU, and the nearest-rank 95th percentile of the distances from either boundary to the other."""
+    either = int((a | b).sum())
+    if not either:
+        return 1.0, 0.0
+    if not a.any() or not b.any():
+        return 0.0, float("inf")
+    x, y = boundary(a), boundary(b)
+    d = np.sort(np.sqrt(np.concatenate([squared_distance(y)[x], squared_distance(x)[y]])))
+    return int((a & b).sum()) / either, float(d[max(0, int(np.ceil(0.95 * d.size)) - 1)])

@@ -64,3 +64,21 @@ def with_line_numbers(df: DataFrame, order: list[str]) -> DataFrame:
     before = counts.select("_p", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
     own = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
     return parts.withColumn("_r", own).join(before, "_p").withColumn("line_no", (F.col("_r") + F.col("_b")).cast("long")).drop("_p", "_r", "_b")
+
+
+def export_package(layers: dict[str, DataFrame], path: str, order: str = "line_no", drop: tuple[str, ...] = ("line_no",)) -> None:
+    """Write each layer (entry -> rows) as JSON lines under a staging folder and publish it by one rename.
+
+    Fails if the target is there already; a failed run leaves the target untouched."""
+    spark = next(iter(layers.values())).sparkSession
+    target = path.rstrip("/")
+    stage = f"{target}.staging"
+    jvm = spark._jvm.org.apache.hadoop.fs.Path
+    fs = jvm(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(jvm(target)):
+        raise FileExistsError(target)
+    fs.delete(jvm(stage), True)
+    for entry, rows in layers.items():
+        write_jsonl(rows, f"{stage}/{entry}", [order], [c for c in rows.columns if c not in drop])
+    if not fs.rename(jvm(stage), jvm(target)):
+        raise OSError(f"{stage} could not be renamed")

@@ -128,17 +128,17 @@ def health(edges: DataFrame, objects: DataFrame) -> DataFrame:
     """One row: edges, distinct ends, ends (with repeats) without an object, objects without an edge, edges by class."""
     ends = endpoints(edges)
     known = objects.select(F.col("id").alias("node")).distinct()
-    parts = [
-        edges.agg(F.count("*").alias("total_edges"), *[F.count_if(F.col("relationship_class") == c).alias(f"{c}_edges") for c in ("support", "semantic", "unknown")]),
-        ends.distinct().agg(F.count("*").alias("total_nodes")),
-        ends.join(known, "node", "left_anti").agg(F.count("*").alias("unresolved_endpoints")),
-        known.join(ends, "node", "left_anti").agg(F.count("*").alias("orphan_objects")),
-        objects.select("id").distinct().agg(F.count("*").alias("total_objects")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.crossJoin(p)  # single rows
-    return out
+    classes = ("support", "semantic", "unknown")
+    counts = {
+        "total_nodes": ends.distinct(), "unresolved_endpoints": ends.join(known, "node", "left_anti"),
+        "orphan_objects": known.join(ends, "node", "left_anti"), "total_objects": known,
+    }
+    named = edges.groupBy(F.concat("relationship_class", F.lit("_edges")).alias("name")).agg(F.count("*").alias("n"))
+    for name, df in counts.items():
+        named = named.unionByName(df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n"))
+    of = lambda name: F.coalesce(F.sum(F.when(F.col("name") == name, F.col("n"))), F.lit(0)).cast("long")
+    total = F.coalesce(F.sum(F.when(F.col("name").endswith("_edges"), F.col("n"))), F.lit(0)).cast("long")
+    return named.agg(total.alias("total_edges"), *[of(f"{c}_edges").alias(f"{c}_edges") for c in classes], *[of(name).alias(name) for name in counts])
 
 
 def orphans_by_layer(edges: DataFrame, objects: DataFrame) -> DataFrame:

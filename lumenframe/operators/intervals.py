@@ -123,3 +123,12 @@ def context_windows(counts: DataFrame, count: str, size: int, margin: int) -> Da
         .withColumn("process_start", F.greatest(F.col("start") - margin, F.lit(0)))
         .withColumn("process_end", F.least(F.col("end") + margin, n))
     )
+
+
+def band_join(left: DataFrame, right: DataFrame, delta: int, at: tuple[str, str], on: list[str] | None = None) -> DataFrame:
+    """Pairs of moments at most `delta` apart, by bins as wide as delta joined to themselves and their neighbours."""
+    width = max(1, delta)
+    a = left.withColumn("_bin", F.floor(F.col(at[0]) / F.lit(width)).cast("long"))
+    own = F.floor(F.col(at[1]) / F.lit(width)).cast("long")
+    b = right.withColumn("_bin", F.explode(F.array(own - 1, own, own + 1)))
+    return a.join(b, ["_bin", *(on or [])]).filter(F.abs(F.col(at[0]) - F.col(at[1])) <= delta).drop("_bin")

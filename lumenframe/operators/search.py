@@ -67,10 +67,9 @@ def relationship_summary(edges: DataFrame) -> DataFrame:
     )
 
 
-def transcript_summary(document: DataFrame, words: DataFrame, speakers: DataFrame, segments: DataFrame) -> DataFrame:
-    """The document with the three layers' row counts, which are null unless it parsed."""
-    out = document
+def transcript_summary(documents: DataFrame, words: DataFrame, speakers: DataFrame, segments: DataFrame) -> DataFrame:
+    """Each package's transcript document with its three layers' row counts, which are null unless the document parsed."""
+    out = documents
     for name, df in (("word_rows", words), ("speaker_rows", speakers), ("segment_rows", segments)):
-        out = out.crossJoin(F.broadcast(df.agg(F.count("*").alias(name))))  # one row each
-        out = out.withColumn(name, F.when(F.col("parsed"), F.col(name)))
+        out = count_left(out, df, "package", name).withColumn(name, F.when(F.col("parsed"), F.col(name)))
     return out

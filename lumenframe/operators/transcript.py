@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import longest_common_run
-from .intervals import overlap_join
+from .intervals import overlap_join, union_length
 
 TOLERANCE_US, GAP_US, EXPANSION_WORDS = 500_000, 750_000, 8
 BIN = 1_000_000
@@ -45,7 +45,7 @@ def assign_speakers(words: DataFrame, segments: DataFrame, key: list[str] | None
 
 
 def ends_utterance(text: Column) -> Column:
-    return F.coalesce(text.rlike(r"[.?!]$"), F.lit(False))
+    return F.coalesce(text.rlike(r"[.?!]\s*$"), F.lit(False))
 
 
 def utterances(words: DataFrame, key: list[str]) -> DataFrame:
@@ -246,3 +246,18 @@ def speaker_shares(segments: DataFrame, key: list[str], dominant: float = 0.95)
     us = segments.groupBy(*key, "speaker_id").agg(F.sum(F.col("end_us") - F.col("start_us")).alias("us"))
     total = Window.partitionBy(*key)
     return us.withColumn("share", F.col("us") / F.sum("us").over(total)).withColumn("collapse", F.max("share").over(total) >= dominant)
+
+
+def word_records(words: DataFrame, key: list[str]) -> DataFrame:
+    """Words numbered by start within their stream, with ids."""
+    n = F.row_number().over(Window.partitionBy(*key).orderBy("start_us", "end_us", "word_no"))
+    return words.withColumn("id", F.format_string("word_%06d", n))
+
+
+def speaker_records(words: DataFrame, segments: DataFrame, key: list[str]) -> DataFrame:
+    """(key, speaker_id, total_speech_us, word_count, rank): time covered by a speaker's segments, words, and the rank by
+    words, then name."""
+    covered = union_length(segments, [*key, "speaker_id"], "start_us", "end_us").withColumnRenamed("covered_us", "total_speech_us")
+    said = words.groupBy(*key, "speaker_id").agg(F.count("*").alias("word_count"))
+    out = covered.join(said, [*key, "speaker_id"], "full_outer").fillna(0, ["total_speech_us", "word_count"])
+    return out.withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("word_count"), "speaker_id")))

@@ -91,13 +91,12 @@ def layer_counts(lines: DataFrame) -> DataFrame:
 
 def list_layers(entries: DataFrame) -> DataFrame:
     """Each known layer of each package: present, record_count, malformed_count; documents count as one record."""
-    spark = entries.sparkSession
-    known = spark.createDataFrame([(i, s, e) for i, (s, e) in enumerate(KNOWN_LAYERS)], "seq int, section string, entry string")
-    packages = entries.select("package").distinct()
+    known = F.array(*[F.struct(F.lit(i).alias("seq"), F.lit(s).alias("section"), F.lit(e).alias("entry")) for i, (s, e) in enumerate(KNOWN_LAYERS)])
+    wanted = entries.select("package").distinct().select("package", F.explode(known).alias("k")).select("package", "k.*")
     counts = layer_counts(read_jsonl(entries))
     there = entries.select("package", "entry").distinct().withColumn("present", F.lit(True))
     return (
-        packages.join(F.broadcast(known)).join(there, ["package", "entry"], "left").join(counts, ["package", "entry"], "left")
+        wanted.join(there, ["package", "entry"], "left").join(counts, ["package", "entry"], "left")
         .select(
             "package", "seq", "section", "entry", F.coalesce("present", F.lit(False)).alias("present"),
             F.when(F.col("entry").endswith(".jsonl"), F.coalesce("records", F.lit(0))).otherwise(F.coalesce("present", F.lit(False)).cast("int")).cast("long").alias("record_count"),

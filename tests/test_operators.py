@@ -25,6 +25,13 @@ def test_limits_and_colours(spark):
     assert [r.line_no for r in search.list_relationships(e, "unknown").collect()] == [3]
 
 
+def test_transcript_summary(spark):
+    doc = spark.createDataFrame([("p", True), ("q", False)], "package string, parsed boolean")
+    w = spark.createDataFrame([("p",), ("p",), ("q",)], "package string")
+    got = rows(search.transcript_summary(doc, w, w.limit(0), w.filter("package = 'p'")), "package")
+    assert got == [("p", True, 2, 0, 2), ("q", False, None, None, None)]
+
+
 def test_time_windows(spark):
     e = spark.createDataFrame([(1, 5, 5), (2, 0, 5), (3, 5, 9), (4, 9, 9)], "i int, start_us long, end_us long")
     f = lambda **k: [r.i for r in e.filter(intervals.in_window(F.col("start_us"), F.col("end_us"), **k)).orderBy("i").collect()]
