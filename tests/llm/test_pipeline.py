@@ -66,3 +66,18 @@ def test_run(stages):
     got = pipeline.run(spark, d).collect()
     assert sorted((r.doc_id, r.n_tokens) for r in got) == sorted((r.doc_id, r.n_tokens) for r in out[-1])
     assert source_mix.mixed_documents(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    t = "a good long line of plain words that goes on and on until there are more than enough of them here"
+    rows = [(None, t, "en", None, None), (1, None, None, "a", 0), (2, "", "en", "a", 0), (3, t, "en", "b", 5), (3, t, "en", "b", 5), (3, t + " end", None, "b", None), (4, "x " * 60_000, "en", "b", 1), (5, "é" * 5000, "de", None, 2)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(3, None, 0), (3, 1, None), (None, 1, 1), (4, 0, 0), (77, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for n, docs in enumerate((spark.createDataFrame(rows, schema), spark.createDataFrame([], schema))):
+        docs = docs.withColumns({"_rid": source_mix.F.lit(1), "rid": source_mix.F.lit(2), "score": source_mix.F.lit("x")})
+        for i, (_, f) in enumerate(pipeline.STAGES):
+            f(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / f"odd{n}_{i}"))
+            docs = spark.read.parquet(str(tmp_path / f"odd{n}_{i}"))
+        assert docs.count() == 0 if n else docs.filter("not round_trip").count() == 0
+    kept = spark.read.parquet(str(tmp_path / "odd0_1"))
+    assert kept.filter("doc_id = 3").count() == 0 and kept.filter("doc_id is null").count() == 1  # one of the equal texts stays
