@@ -758,3 +758,79 @@ def reconcile_detections(spark, d):
 @query("SELECT 'orders' AS \"table\", count(*) AS rows FROM orders UNION ALL SELECT 'documents', count(*) FROM documents UNION ALL SELECT 'events', count(*) FROM events")
 def table_counts(spark, d):
     return export.counts_manifest({n: table(spark, d, n) for n in ("orders", "documents", "events")})
+
+
+# --- further operators ----------------------------------------------------------------------------------------------
+@query(f"SELECT a.event_id AS a, b.event_id AS b FROM {_span_sql(0, 'purchase')} a JOIN {_span_sql(0, 'view')} b ON a.user_id = b.user_id AND abs(a.s - b.s) <= {20 * MIN}")
+def band_join(spark, d):
+    a = _spans(spark, d, 0, "purchase").select("user_id", F.col("event_id").alias("a"), F.col("start").alias("at"))
+    b = _spans(spark, d, 0, "view").select("user_id", F.col("event_id").alias("b"), F.col("start").alias("bt"))
+    return iv.band_join(a, b, 20 * MIN, ("at", "bt"), ["user_id"]).select("a", "b")
+
+
+@query("""
+WITH t AS (SELECT user_id, count(*) AS d FROM events GROUP BY 1), g AS (SELECT user_id, d, greatest(1, least(25, d // 4)) AS step FROM t)
+SELECT user_id, unnest(range(0, d, step)) AS at_us FROM g
+""")
+def sampling_grid(spark, d):
+    t = events(spark, d).groupBy("user_id").agg(F.count("*").alias("d"))
+    return timeline.sampling_grid(t, "d", 25, 4).select("user_id", "at_us")
+
+
+@query("""
+WITH v AS (SELECT user_id, event_id, (event_id * 37 % 100) / 100.0::DOUBLE AS x FROM events),
+w AS (SELECT *, min(x) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING) AS kept FROM v),
+o AS (SELECT *, x >= 0.35 OR (x >= 0.2 AND coalesce(kept, 0) >= 0.1) AS over_ FROM w)
+SELECT event_id, over_ AND NOT coalesce(lag(over_) OVER (PARTITION BY user_id ORDER BY event_id), false) AS cut FROM o
+""")
+def visual_cuts(spark, d):
+    f = events(spark, d).select("user_id", "event_id", ((F.col("event_id") * 37 % 100) / 100.0).alias("x"))
+    return timeline.visual_cuts(f, ["user_id"], "event_id", "x").select("event_id", "cut")
+
+
+@query("""
+WITH r AS (SELECT user_id, event_type, epoch_us(ts) AS s, epoch_us(ts) + 10 AS e, value FROM events WHERE user_id % 2 = 1),
+g AS (SELECT user_id, event_type, min(s) AS first_seen_us, max(e) AS last_seen_us, count(*) AS regions FROM r GROUP BY ALL)
+SELECT user_id AS package_id, event_type AS normalized_text, first_seen_us, last_seen_us, regions, printf('entity_%06d', row_number() OVER (PARTITION BY user_id ORDER BY first_seen_us, event_type)) AS entity_id FROM g
+""")
+def text_entities(spark, d):
+    e = events(spark, d)
+    r = e.select(F.col("user_id").alias("package_id"), F.col("event_id").cast("string").alias("text_region_id"), F.col("event_type").alias("normalized_text"), F.col("at_us").alias("start_us"), (F.col("at_us") + 10).alias("end_us"), F.lit(1.0).alias("confidence"), "value").withColumnRenamed("value", "area")
+    visual = e.filter("user_id % 2 = 0").select(F.col("user_id").alias("package_id"))
+    return ocr.text_entities(r, visual).select("package_id", "normalized_text", "first_seen_us", "last_seen_us", F.size("text_region_ids").cast("long").alias("regions"), "entity_id")
+
+
+@query("""
+WITH o AS (SELECT user_id, event_id, event_type, CASE WHEN lag(event_type) OVER w IS NOT DISTINCT FROM event_type THEN 0 ELSE 1 END AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+r AS (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM o),
+g AS (SELECT user_id, run, count(*) AS c, any_value(event_type) AS t FROM r GROUP BY ALL),
+f AS (SELECT *, lag(t) OVER (PARTITION BY user_id ORDER BY run) AS p, lead(t) OVER (PARTITION BY user_id ORDER BY run) AS q FROM g)
+SELECT r.event_id, CASE WHEN f.c <= 2 AND p = q THEN p ELSE r.event_type END AS speaker_id FROM r JOIN f USING (user_id, run)
+""")
+def speaker_islands(spark, d):
+    w = events(spark, d).select("user_id", F.col("event_id").alias("word_no"), F.col("event_type").alias("speaker_id"))
+    return transcript.smooth_islands(w, ["user_id"]).select(F.col("word_no").alias("event_id"), "speaker_id")
+
+
+@query(f"""
+WITH s AS (SELECT user_id, event_type AS k, epoch_us(ts) AS s, epoch_us(ts) + {HOUR} AS e FROM events),
+i AS (SELECT user_id, k, min(s) AS s, max(e) AS e FROM (SELECT *, sum(n) OVER (PARTITION BY user_id, k ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS g FROM (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY user_id, k ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS n FROM s)) GROUP BY user_id, k, g),
+t AS (SELECT user_id, k, CAST(sum(e - s) AS BIGINT) AS us FROM i GROUP BY ALL), c AS (SELECT user_id, event_type AS k, count(*) AS n FROM events GROUP BY ALL)
+SELECT user_id, k AS speaker_id, us AS total_speech_us, n AS word_count, CAST(row_number() OVER (PARTITION BY user_id ORDER BY n DESC, k) AS INTEGER) AS rank FROM t JOIN c USING (user_id, k)
+""")
+def speaker_records(spark, d):
+    w = events(spark, d).select("user_id", F.col("event_type").alias("speaker_id"), F.col("at_us").alias("start_us"), (F.col("at_us") + HOUR).alias("end_us"))
+    return transcript.speaker_records(w, w, ["user_id"])
+
+
+@query("""
+WITH c AS (SELECT o_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey) AS refs FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey % 10 = 0 GROUP BY 1)
+SELECT o_orderkey, array_to_string(list_transform(refs, lambda r: r || CASE WHEN r % 3 <> 0 THEN ':yes' ELSE ':no' END), ',') AS resolved FROM c
+""")
+def resolve_reference_lists(spark, d):
+    o = table(spark, d, "lineitem").filter("l_orderkey % 10 = 0").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("s"))
+    rows = o.select("o_orderkey", F.transform("s", lambda x: x["l_partkey"]).alias("refs"))
+    owner = table(spark, d, "part").filter("p_partkey % 3 <> 0").select("p_partkey", "p_name")
+    r = export.resolve_list(rows, "o_orderkey", "refs", owner, "p_partkey", ["p_name"], "items")
+    text = F.transform("items", lambda x: F.concat(x["ref"].cast("string"), F.when(x["found"], ":yes").otherwise(":no")))
+    return r.select("o_orderkey", F.array_join(text, ",").alias("resolved"))
