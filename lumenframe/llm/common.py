@@ -27,16 +27,27 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write to the shared folder as Parquet and read back; removed when the application ends."""
+def written(df: DataFrame, name: str, scratch: list[str] | None = None) -> DataFrame:
+    """Cut lineage: write to the shared folder as Parquet and read back; removed when the application ends.
+
+    The path is added to `scratch`, so that `discard` can remove it once nothing that is still to run reads it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/lumenframe/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+    if scratch is not None:
+        scratch.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, scratch: list[str]) -> None:
+    for path in scratch:
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+    scratch.clear()
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Spark's own estimate of the size of a plan's input; used only to choose how many parts to make."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import buckets_for, mix64, pack, partitions_for, ranges, unpack, with_row_ids, written
+from .common import buckets_for, discard, mix64, pack, partitions_for, ranges, unpack, with_row_ids, written
 from .components import components
 from .shingles import shingle_hashes
 
@@ -232,18 +232,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 def jaccard_links(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """(v, component) of linked classes and (rid, cls, inner, n) of all documents that may have partners."""
+    scratch: list[str] = []
     near = sets.filter("toks is not null")
     key = ["a", "b", "n", "r"]
     cls = near.groupBy(*key).agg(F.min("rid").alias("cls"), F.count("*").alias("members"))
     member = near.select("rid", *key).join(cls, key).select(
         "rid", "cls", "n", ((F.col("members") > 1) & (den * F.col("r") >= num * (2 * F.col("n") - F.col("r")))).alias("inner")
     )
-    reps = written(near.join(member.filter("rid = cls").select("rid"), "rid", "left_semi").select("rid", "n", "r", "toks", "lead"), "classes")
+    reps = written(near.join(member.filter("rid = cls").select("rid"), "rid", "left_semi").select("rid", "n", "r", "toks", "lead"), "classes", scratch)
     # `left`: shingles from this place on. The smaller of two linked sets shares one of its first
     # r - ceil(2 t n / (1 + t)) + 1 shingles, so only those (`index`) need to be met by the larger one's.
     head = reps.select("rid", "n", "r", F.posexplode(F.slice("toks", 1, F.col("lead"))).alias("p", "tok"))
     head = written(
-        head.select("rid", "n", "tok", (F.col("r") - F.col("p")).alias("left"), (F.col("p") <= F.col("r") - F.ceil(2 * num * F.col("n") / (num + den))).alias("index")), "heads"
+        head.select("rid", "n", "tok", (F.col("r") - F.col("p")).alias("left"), (F.col("p") <= F.col("r") - F.ceil(2 * num * F.col("n") / (num + den))).alias("index")), "heads", scratch
     )
     fits = lambda p, q: (den * F.col(p) >= num * F.col(q)) & (den * F.col(q) >= num * F.col(p))
     # The first shingle that a linked pair shares has at least the needed overlap from its place on in both sets.
@@ -257,10 +258,10 @@ def jaccard_links(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataF
         .groupBy("x").agg(F.max(F.struct("c", F.negative("y").alias("m"))).alias("best"))
         .select("x", F.negative("best.m").alias("y"))
     )
-    links = written(_verified(star, reps, num, den), "links")
+    links = written(_verified(star, reps, num, den), "links", scratch)
     group = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
     placed = written(
-        head.join(group, head.rid == group.v, "left").select("tok", "rid", "n", "left", "index", F.coalesce("component", "rid").alias("g")), "placed"
+        head.join(group, head.rid == group.v, "left").select("tok", "rid", "n", "left", "index", F.coalesce("component", "rid").alias("g")), "placed", scratch
     )
     # Cells of the matrix: the groups of a shingle with the sizes and the most that is left of their members there.
     cell = placed.filter("index").groupBy("tok", F.col("g").alias("h")).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("left").alias("rest"))
@@ -270,8 +271,10 @@ def jaccard_links(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataF
             & reach("left", "rest", "n", F.greatest(F.col("least"), F.ceil(num * F.col("n") / den))),
         ).select(F.col("rid").alias("x"), "h").distinct(),
         "queries",
+        scratch,
     )
     if not query.head(1):
+        discard(reps.sparkSession, scratch)
         return group, member
     # Bound: shingles of the query inside the union of the group's shingles.
     grouped = reps.join(group, reps.rid == group.v, "left").select("rid", "toks", F.coalesce("component", "rid").alias("h"))
@@ -281,7 +284,7 @@ def jaccard_links(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataF
         .join(union, ["h", "tok"]).groupBy("x", "h", "n").agg(F.count("*").alias("o"))
         .filter(den * F.col("o") >= num * F.col("n")).select("x", "h")
     )
-    opened = written(bound, "opened")
+    opened = written(bound, "opened", scratch)
     # Members of opened groups that share a leading shingle with the query and may reach the overlap from there.
     asking = placed.select(F.col("rid").alias("x"), F.col("n").alias("xn"), F.col("left").alias("xl"), "tok").join(opened, "x")
     inside = placed.filter("index").select(F.col("rid").alias("y"), F.col("n").alias("yn"), F.col("left").alias("yl"), F.col("g").alias("gh"), F.col("tok").alias("yt"))
@@ -290,6 +293,7 @@ def jaccard_links(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataF
     ).select("x", "y").distinct()
     more = _verified(pairs, reps, num, den)
     final = components(links.unionByName(more).select(F.col("x").alias("a"), F.col("y").alias("b")))
+    discard(reps.sparkSession, scratch)  # what is returned reads the sets and the last labels only
     return final, member
 
 
