@@ -29,12 +29,16 @@ def resolve_list(rows: DataFrame, row_key: str, column: str, owner: DataFrame, k
     return rows.join(lists, row_key, "left")
 
 
-def svp_export(rows: DataFrame, resolved: list[str], text: str = "value") -> DataFrame:
+#: Fixed value: the member that exported records carry.
+MEMBER = "svp_export"
+
+
+def append_resolved(rows: DataFrame, resolved: list[str], text: str = "value") -> DataFrame:
     """Append the resolved references to each record's JSON text as its last member."""
     extra = F.to_json(F.struct(*resolved))
     body = F.rtrim(F.col(text))
     empty = F.regexp_replace(body, r"\s", "") == "{}"
-    return rows.withColumn(text, F.concat(F.expr(f"substring(rtrim({text}), 1, length(rtrim({text})) - 1)"), F.when(empty, "").otherwise(","), F.lit('"svp_export":'), extra, F.lit("}")))
+    return rows.withColumn(text, F.concat(F.expr(f"substring(rtrim({text}), 1, length(rtrim({text})) - 1)"), F.when(empty, "").otherwise(","), F.lit(f'"{MEMBER}":'), extra, F.lit("}")))
 
 
 def write_jsonl(rows: DataFrame, path: str, order: list[str], columns: list[str] | None = None) -> None:

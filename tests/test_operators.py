@@ -296,7 +296,7 @@ def test_export(spark, tmp_path):
     assert [(x.frame.found, x.frame.name) for x in one.orderBy("i").collect()] == [(True, "A"), (False, None)]
     many = export.resolve_list(one, "i", "refs", o, "fid", ["name"], "frames", "line_no").orderBy("i").collect()
     assert [(x.ref, x.found, x.name) for x in many[0].frames] == [("f1", True, "A"), ("x", False, None)] and many[1].frames is None
-    out = [x.value for x in export.svp_export(one, ["frame"]).orderBy("i").collect()]
+    out = [x.value for x in export.append_resolved(one, ["frame"]).orderBy("i").collect()]
     assert out == ['{"id":1,"svp_export":{"frame":{"found":true,"name":"A"}}}', '{"svp_export":{"frame":{"found":false}}}']
     export.write_jsonl(r.select("i", "ref"), str(tmp_path / "o"), ["i"])
     assert [x.value for x in spark.read.text(str(tmp_path / "o")).collect()] == ['{"i":1,"ref":"f1"}', '{"i":2,"ref":"q"}']

@@ -22,7 +22,7 @@ def package(tmp_path):
         p = root / name
         p.parent.mkdir(parents=True, exist_ok=True)
         p.write_text(text)
-    z = tmp_path / "pkg.svpi"
+    z = tmp_path / "pkg.zip"
     with zipfile.ZipFile(z, "w") as out:
         for name, text in files.items():
             out.writestr(name, text)
