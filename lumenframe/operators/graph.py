@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .export import with_line_numbers
 from .intervals import in_window
 from .lineage import settled
 from .search import relationship_class
@@ -45,7 +46,7 @@ def traverse(edges: DataFrame, start: str, depth: int = 2, direction: str = "bot
     """Breadth-first from `start`: out-edges before in-edges, edges in edge_idx order; an edge with an id once.
 
     The limit is on edges and is met when a further slot is looked at after the last edge it allows. Nodes at the full
-    depth are listed and not followed. Ranks within a level are made over that level's rows only."""
+    depth are listed and not followed. Ranks within a level are made by ranges of the order, so no task holds a level."""
     if not start:
         raise ValueError("a start id is needed")
     spark = edges.sparkSession
@@ -54,27 +55,25 @@ def traverse(edges: DataFrame, start: str, depth: int = 2, direction: str = "bot
     nodes, found = frontier, None
     count, rank, hit = 0, 1, False
     for level in range(depth):
-        order = Window.orderBy("node_rank", "dir", "edge_idx")
-        seen = slots.join(frontier.select("node", "node_rank"), "node").withColumn("slot", F.row_number().over(order))
-        # The first slot of each id counts; slots without an id always do.
-        first = F.row_number().over(Window.partitionBy("relationship_id").orderBy("slot"))
-        new = seen.withColumn("_first", F.when(F.col("relationship_id") == "", 1).otherwise(first))
+        seen = with_line_numbers(slots.join(frontier.select("node", "node_rank"), "node"), ["node_rank", "dir", "edge_idx"]).withColumnRenamed("line_no", "slot")
+        # The first slot of each id counts; slots without an id always do, and stand alone.
+        alone = F.when(F.col("relationship_id") == "", F.col("slot"))
+        new = seen.withColumn("_first", F.row_number().over(Window.partitionBy("relationship_id", alone).orderBy("slot"))).filter("_first = 1")
         if found is not None:
-            old = found.filter("relationship_id <> ''").select("relationship_id").distinct().withColumn("_old", F.lit(1))
-            new = new.join(old, "relationship_id", "left").withColumn("_first", F.when(F.col("_old").isNull(), F.col("_first")).otherwise(2)).drop("_old")
-        new = new.withColumn("_n", F.sum((F.col("_first") == 1).cast("long")).over(Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)))
-        new = settled(new)
-        emitted = new.filter("_first = 1").filter(F.lit(True) if limit is None else F.col("_n") <= limit - count)
-        total = new.agg(F.max("slot").alias("slots"), F.coalesce(F.max("_n"), F.lit(0)).alias("n"), F.min(F.when(F.col("_n") >= (limit or 0) - count, F.col("slot"))).alias("full")).first()
-        if limit is not None and total["slots"]:
-            hit = limit - count <= 0 or (total["full"] is not None and total["slots"] > total["full"])
-        took = total["n"] if limit is None else max(0, min(total["n"], limit - count))
+            old = found.filter("relationship_id <> ''").select("relationship_id").distinct()
+            new = new.join(old, "relationship_id", "left_anti")
+        new = settled(with_line_numbers(new, ["slot"]).withColumnRenamed("line_no", "_n"))
+        slot_count, total = seen.count(), new.count()
+        room = total if limit is None else max(0, limit - count)
+        emitted = new.filter(F.col("_n") <= room)
+        if limit is not None and slot_count:
+            last = new.filter(F.col("_n") == room).select("slot").first()
+            hit = room == 0 or (last is not None and slot_count > last["slot"])
+        took = min(total, room)
         level_edges = emitted.select("edge_idx", "relationship_id", "dir", F.lit(level + 1).alias("depth"), (F.col("_n") + count).alias("edge_rank"), "node", "next")
         found = level_edges if found is None else found.unionByName(level_edges)
         fresh = emitted.groupBy(F.col("next").alias("node")).agg(F.min("slot").alias("_slot")).join(nodes.select("node"), "node", "left_anti")
-        frontier = settled(
-            fresh.withColumn("node_rank", (F.row_number().over(Window.orderBy("_slot")) + rank - 1).cast("long")).select("node", F.lit(level + 1).alias("depth"), "node_rank")
-        )
+        frontier = settled(with_line_numbers(fresh, ["_slot"]).select("node", F.lit(level + 1).alias("depth"), (F.col("line_no") + rank - 1).alias("node_rank")))
         nodes = nodes.unionByName(frontier)
         count += took
         size = frontier.count()
