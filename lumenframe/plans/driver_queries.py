@@ -35,8 +35,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def micros(c: str) -> Column:
-    """Microseconds since 1970 of a timestamp without a time zone."""
-    return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', cast({c} as timestamp_ntz))")
+    """Microseconds since 1970 of a timestamp without a time zone, whatever the session's zone."""
+    t = F.col(c).cast("timestamp_ntz")
+    day = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    return day * 86_400_000_000 + F.hour(t).cast("long") * 3_600_000_000 + F.minute(t).cast("long") * 60_000_000 + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("long")
 
 
 def events(spark: SparkSession, d: str) -> DataFrame:
