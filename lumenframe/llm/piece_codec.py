@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 MARK = "▁"
 BLOCK = 2 << 20
-CACHED_WORDS, LONGEST_CACHED = 400_000, 64
+CACHED_WORDS, CACHED_PAIRS, LONGEST_CACHED = 250_000, 400_000, 64
 _UNITS = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # kinds of pieces in model files
@@ -261,6 +261,8 @@ class Codec:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as packed int32."""
         units = [self.units(t) for t in texts]
+        if len(self.fits) > CACHED_PAIRS:
+            self.fits.clear()
         known = self.words
         new = {w for u in units for w in u} - known.keys()
         if len(known) + len(new) > CACHED_WORDS:
