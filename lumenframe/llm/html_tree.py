@@ -21,6 +21,8 @@ CLOSES = {
 ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split()
 )
+#: All that can stand in a head; another opening tag ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 SCOPE = frozenset("html body div article section aside main nav header footer td th li blockquote button form figure table dd".split())
 
 _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
@@ -94,6 +96,14 @@ def parse(html: str) -> Tree:
                 if name not in BLOCK and tag[open_[i]] in SCOPE:
                     break
             continue
+        if name not in IN_HEAD and name != "head":
+            for i in range(len(open_) - 1, 0, -1):
+                t = tag[open_[i]]
+                if t == "head":
+                    del open_[i:]
+                    break
+                if t not in IN_HEAD or t == "template":
+                    break
         if name in CLOSES:
             ends, hold = CLOSES[name]
             for i in range(len(open_) - 1, 0, -1):

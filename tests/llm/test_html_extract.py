@@ -68,3 +68,14 @@ def test_rows(spark):
     assert got.columns == ["page_id", "url", "_html", "text", "n_chars"]
     assert sorted((r.text, r.n_chars) for r in got.collect()) == [("", 0), ("", 0), ("One two three four five six.", 28)]
     assert m.extract_main_text(df.limit(0)).count() == 0
+
+
+def test_head_without_end_tag():
+    model = m.default_model()
+    main = "<article><h1>The title</h1><p>A long sentence of the main text goes on and on, they said to all of us.</p></article>"
+    for head in ("<head><title>T</title><meta charset=utf-8>", "<head><style>p{}</style><noscript><link href=x></noscript>"):
+        whole = m.main_text(f"<html>{head}</head><body>{main}</body></html>", model)
+        assert "main text goes on" in whole
+        assert m.main_text(f"<html>{head}<body>{main}</body></html>", model) == whole
+        assert "main text goes on" in m.main_text(f"<html>{head}{main}</html>", model)
+    assert parse("<head><template><div>x</div></template><p>y").parent[4] == 0
