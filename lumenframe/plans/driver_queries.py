@@ -836,3 +836,9 @@ def resolve_reference_lists(spark, d):
     r = export.resolve_list(rows, "o_orderkey", "refs", owner, "p_partkey", ["p_name"], "items")
     text = F.transform("items", lambda x: F.concat(x["ref"].cast("string"), F.when(x["found"], ":yes").otherwise(":no")))
     return r.select("o_orderkey", F.array_join(text, ",").alias("resolved"))
+
+
+@query()
+def numeric_values_of_texts(spark, d):
+    n = table(spark, d, "documents").select("doc_id", F.posexplode(tx.parse_numeric_values("text")).alias("pos", "n"))
+    return n.select("doc_id", "pos", "n.raw_text", "n.numeric_value", "n.number_kind", "n.unit")
