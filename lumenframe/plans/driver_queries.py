@@ -842,3 +842,16 @@ def resolve_reference_lists(spark, d):
 def numeric_values_of_texts(spark, d):
     n = table(spark, d, "documents").select("doc_id", F.posexplode(tx.parse_numeric_values("text")).alias("pos", "n"))
     return n.select("doc_id", "pos", "n.raw_text", "n.numeric_value", "n.number_kind", "n.unit")
+
+
+@query("""
+WITH c AS (SELECT l_orderkey AS o_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey) AS refs FROM lineitem GROUP BY 1)
+SELECT o_orderkey, array_to_string(list_transform(refs, lambda r: r || CASE WHEN r % 3 <> 0 THEN ':yes' ELSE ':no' END), ',') AS resolved FROM c
+""")
+def resolve_all_reference_lists(spark, d):
+    o = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("s"))
+    rows = o.select("o_orderkey", F.transform("s", lambda x: x["l_partkey"]).alias("refs"))
+    owner = table(spark, d, "part").filter("p_partkey % 3 <> 0").select("p_partkey", "p_name")
+    r = export.resolve_list(rows, "o_orderkey", "refs", owner, "p_partkey", ["p_name"], "items")
+    text = F.transform("items", lambda x: F.concat(x["ref"].cast("string"), F.when(x["found"], ":yes").otherwise(":no")))
+    return r.select("o_orderkey", F.array_join(text, ",").alias("resolved"))

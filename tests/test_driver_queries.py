@@ -13,6 +13,12 @@ def by_sql(name, *tables):
     return con.execute(q.SQL[name]).fetchall()
 
 
+def test_reference_lists_of_all_orders(spark):
+    got = q.QUERIES["resolve_all_reference_lists"](spark, D)
+    assert sorted(map(tuple, got.collect())) == sorted(by_sql("resolve_all_reference_lists", "lineitem"))
+    assert got.count() == spark.read.parquet(f"{D}/lineitem.parquet").select("l_orderkey").distinct().count()
+
+
 def test_numbers_of_whole_texts(spark):
     rows = spark.read.parquet(f"{D}/documents.parquet").select("doc_id", "text").collect()
     want = [(r.doc_id, i, n["raw_text"], n["numeric_value"], n["number_kind"], n["unit"]) for r in rows for i, n in enumerate(numbers_in(r.text) or [])]
