@@ -855,3 +855,9 @@ def resolve_all_reference_lists(spark, d):
     r = export.resolve_list(rows, "o_orderkey", "refs", owner, "p_partkey", ["p_name"], "items")
     text = F.transform("items", lambda x: F.concat(x["ref"].cast("string"), F.when(x["found"], ":yes").otherwise(":no")))
     return r.select("o_orderkey", F.array_join(text, ",").alias("resolved"))
+
+
+@query(r"SELECT token, conv_id || '_' || turn AS key, count(*) AS n FROM (SELECT conv_id, turn, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS token FROM conversations) GROUP BY 1, 2")
+def inverted_index_postings(spark, d):
+    c = table(spark, d, "conversations").withColumn("key", F.concat_ws("_", "conv_id", "turn"))
+    return index.inverted_index(c, "key", "text").select("token", "key", "n")

@@ -19,6 +19,11 @@ def test_reference_lists_of_all_orders(spark):
     assert got.count() == spark.read.parquet(f"{D}/lineitem.parquet").select("l_orderkey").distinct().count()
 
 
+def test_postings_of_all_tokens(spark):
+    got = q.QUERIES["inverted_index_postings"](spark, D).collect()
+    assert sorted(map(tuple, got)) == sorted(by_sql("inverted_index_postings", "conversations"))
+
+
 def test_numbers_of_whole_texts(spark):
     rows = spark.read.parquet(f"{D}/documents.parquet").select("doc_id", "text").collect()
     want = [(r.doc_id, i, n["raw_text"], n["numeric_value"], n["number_kind"], n["unit"]) for r in rows for i, n in enumerate(numbers_in(r.text) or [])]
