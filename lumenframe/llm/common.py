@@ -16,17 +16,44 @@ NONWORD_CHARS = " \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
+    """The folder that driver and executors share. Where none is set, a local session (tests) gets a temporary one, and on
+    a cluster it is an error, as executors could not read each other's files."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="lumenframe-")
         spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def plain(df: DataFrame) -> DataFrame:
+    """df with its columns named _c0, _c1 ... by position, so that names with dots, or unlike in case only, do no harm."""
+    return df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+
+
+def place(df: DataFrame, name: str) -> str:
+    """The name in plain(df) of a column: of that very name, else the first whose name differs in case only."""
+    names = df.columns
+    if name in names:
+        return f"_c{names.index(name)}"
+    low = [n.lower() for n in names]
+    if name.lower() not in low:
+        raise ValueError(f"no column {name!r} among {names}")
+    return f"_c{low.index(name.lower())}"
+
+
+def kept_columns(df: DataFrame, replaced: tuple[str, ...]) -> tuple[list[str], list[str]]:
+    """Names of the columns to keep beside new ones that replace their namesakes, whatever their case, and their places
+    in plain(df)."""
+    gone = {n.lower() for n in replaced}
+    kept = [(n, f"_c{i}") for i, n in enumerate(df.columns) if n.lower() not in gone]
+    return [n for n, _ in kept], [c for _, c in kept]
+
+
 def written(df: DataFrame, name: str, scratch: list[str] | None = None) -> DataFrame:
     """Cut lineage: write to the shared folder as Parquet and read back; removed when the application ends.
 
@@ -66,13 +93,15 @@ def partitions_for(spark: SparkSession, buckets: int) -> int:
 def with_row_ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Add `_rid`, a long unique to each row that orders rows as (id nulls first, text).
 
-    Where ids are unique and not null the id itself serves and nothing is moved. Otherwise the rows are sorted
-    by id and text, numbered, and written once so that the numbers cannot change when a task runs again.
+    Where ids are whole numbers, unique and not null, the id itself serves and nothing is moved. Otherwise (ids of any
+    other type, too) the rows are sorted by id and text, numbered, and written once so that the numbers cannot change
+    when a task runs again.
     """
-    ids = docs.select(F.col(id_col).alias("_i"))
-    odd = ids.groupBy("_i").count().filter((F.col("count") > 1) | F.col("_i").isNull()).limit(1)
-    if not odd.head(1):
-        return docs.withColumn("_rid", F.col(id_col).cast("long"))
+    if docs.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long"):
+        ids = docs.select(F.col(id_col).alias("_i"))
+        odd = ids.groupBy("_i").count().filter((F.col("count") > 1) | F.col("_i").isNull()).limit(1)
+        if not odd.head(1):
+            return docs.withColumn("_rid", F.col(id_col).cast("long"))
     numbered = docs.sort(F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first()).withColumn(
         "_rid", F.monotonically_increasing_id()
     )
@@ -84,16 +113,15 @@ def held_out(id_col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 5 == 0
 
 
-def fit_rows(docs: DataFrame, labels: DataFrame, label: str, most: int, id_col: str = "doc_id") -> DataFrame:
+def fit_rows(docs: DataFrame, labels: DataFrame, label: str, most: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Labelled training rows (text, y): none of the held-out fold, at most `most`, picked by a hash of the id."""
-    y = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(
-        F.max(label).cast("int").alias("y")
-    )
-    picked = y.filter(~held_out(id_col)).orderBy(F.xxhash64(F.col(id_col), F.lit(11)), F.col(id_col)).limit(most)
+    y = plain(labels).select(F.col(place(labels, id_col)).alias("_id"), F.col(place(labels, label)).cast("int").alias("_y"))
+    y = y.filter("_y is not null and _id is not null").groupBy("_id").agg(F.max("_y").alias("y"))
+    picked = y.filter(~held_out("_id")).orderBy(F.xxhash64(F.col("_id"), F.lit(11)), F.col("_id")).limit(most)
     # The picked ids are at most `most` rows by the limit, so they are broadcast and the texts of all others stay where
     # they are; an id that many rows repeat gives one row.
-    rows = docs.select(F.col(id_col), F.col("text")).join(F.broadcast(picked), id_col)
-    return rows.groupBy(id_col).agg(F.min("text").alias("text"), F.first("y").alias("y"))
+    rows = plain(docs).select(F.col(place(docs, id_col)).alias("_id"), F.col(place(docs, text_col)).alias("text")).join(F.broadcast(picked), "_id")
+    return rows.groupBy("_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -123,6 +151,11 @@ def unpack(block: bytes) -> list[np.ndarray]:
     return out
 
 
+def plain_size(block: bytes) -> int:
+    """Bytes of a block once it is unpacked, as its frame tells."""
+    return zstandard.frame_content_size(block)
+
+
 def ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
     """lo[0], lo[0]+1, ... (n[0] of them), lo[1], ... as one array."""
     total = int(n.sum())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from html import unescape
 
 #: Fixed values of HTML: elements without content, with raw text, and those that stand as blocks.
@@ -42,17 +43,73 @@ def attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(source)}
 
 
+class _Open:
+    """The open elements, with the depths of each name and of those that end a search, so that no tag looks through them."""
+
+    def __init__(self):
+        self.tags, self.elements = ["#page"], [0]
+        self.depths: dict[str, list[int]] = {}
+        self.scopes, self.bodies = [0], []
+
+    def push(self, tag: str, element: int) -> None:
+        depth = len(self.tags)
+        self.tags.append(tag)
+        self.elements.append(element)
+        self.depths.setdefault(tag, []).append(depth)
+        if tag in SCOPE:
+            self.scopes.append(depth)
+        if tag != "head" and (tag not in IN_HEAD or tag == "template"):
+            self.bodies.append(depth)
+
+    def cut(self, depth: int) -> None:
+        """End the elements from this depth on."""
+        for tag in self.tags[depth:]:
+            self.depths[tag].pop()
+        del self.tags[depth:], self.elements[depth:]
+        for stack in (self.scopes, self.bodies):
+            while stack and stack[-1] >= depth:
+                stack.pop()
+
+    def last(self, tag: str) -> int:
+        """Depth of the innermost open element of a name, 0 if there is none."""
+        found = self.depths.get(tag)
+        return found[-1] if found else 0
+
+    def opening(self, tag: str) -> None:
+        """End what an opening tag ends."""
+        if tag not in IN_HEAD and tag != "head":
+            head = self.last("head")
+            if head and (not self.bodies or self.bodies[-1] < head):
+                self.cut(head)
+        if tag in CLOSES:
+            ends, hold = CLOSES[tag]
+            holder = max(self.last(t) for t in hold)
+            first = [d[i] for t in ends if (d := self.depths.get(t)) and (i := bisect_right(d, holder)) < len(d)]
+            if first:
+                self.cut(min(first))
+        if tag in ENDS_P:
+            p = self.last("p")
+            if p and p > self.scopes[-1]:
+                self.cut(p)
+
+    def closing(self, tag: str) -> None:
+        """End the innermost element of a name; an inline one does not reach across an element of SCOPE."""
+        depth = self.last(tag)
+        if depth and (tag in BLOCK or depth >= self.scopes[-1]):
+            self.cut(depth)
+
+
 def parse(html: str) -> Tree:
-    """Never fails: stray end tags are passed over, and what is left open ends with the page."""
+    """Never fails, in time linear in the page: stray end tags are passed over, and what is left open ends with the page."""
     tree = Tree()
     tag, parent, attrs, text = tree.tag, tree.parent, tree.attrs, tree.text
-    open_, at, n, fresh = [0], 0, len(html), True
+    open_, at, n, fresh = _Open(), 0, len(html), True
     find = html.find
 
-    def say(piece: str):
+    def say(piece: str, element: int | None = None):
         nonlocal fresh
         if piece:
-            text.append((open_[-1], unescape(piece) if "&" in piece else piece, fresh))
+            text.append((open_.elements[-1] if element is None else element, unescape(piece) if "&" in piece else piece, fresh))
             fresh = False
 
     while at < n:
@@ -89,53 +146,23 @@ def parse(html: str) -> Tree:
         if m[1]:
             if name == "p" or name in BLOCK:
                 fresh = True
-            for i in range(len(open_) - 1, 0, -1):
-                if tag[open_[i]] == name:
-                    del open_[i:]
-                    break
-                if name not in BLOCK and tag[open_[i]] in SCOPE:
-                    break
+            open_.closing(name)
             continue
-        if name not in IN_HEAD and name != "head":
-            for i in range(len(open_) - 1, 0, -1):
-                t = tag[open_[i]]
-                if t == "head":
-                    del open_[i:]
-                    break
-                if t not in IN_HEAD or t == "template":
-                    break
-        if name in CLOSES:
-            ends, hold = CLOSES[name]
-            for i in range(len(open_) - 1, 0, -1):
-                t = tag[open_[i]]
-                if t in hold:
-                    break
-                if t in ends:
-                    del open_[i:]
-        if name in ENDS_P:
-            for i in range(len(open_) - 1, 0, -1):
-                t = tag[open_[i]]
-                if t == "p":
-                    del open_[i:]
-                    break
-                if t in SCOPE:
-                    break
+        open_.opening(name)
         if name in BLOCK:
             fresh = True
         if name in VOID:
             continue
         tag.append(name)
-        parent.append(open_[-1])
+        parent.append(open_.elements[-1])
         attrs.append(m[3])
         if name in RAW:
             end = re.compile(f"</{re.escape(name)}(?=[\\s/>])", re.I).search(html, at)
             if name == "title" or name == "textarea":
-                open_.append(len(tag) - 1)
-                say(html[at : end.start() if end else n])
-                open_.pop()
+                say(html[at : end.start() if end else n], len(tag) - 1)
                 fresh = True
             close = find(">", end.start()) if end else -1
             at = n if close < 0 else close + 1
         elif not m[3].endswith("/") or name in ("p", "div", "span", "a", "li"):
-            open_.append(len(tag) - 1)
+            open_.push(name, len(tag) - 1)
     return tree
