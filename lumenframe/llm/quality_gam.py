@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import fit_rows, held_out
+from .common import fit_rows, held_out, kept_columns, place, plain
 from .text_stats import FEATURES, batch_counts, features
 
 MAX_FIT_ROWS = 20_000  # labelled rows at most that the model learns from
@@ -128,40 +128,43 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([rows, batch.column(1)], names=["x", "y"])
 
 
-def feature_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, id_col: str = "doc_id") -> tuple[np.ndarray, np.ndarray]:
+def feature_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """Statistics and labels of at most `most` training rows, on the driver: a few kB for every hundred rows."""
-    rows = fit_rows(docs, labels, label, most, id_col).select("text", "y").mapInArrow(_feature_rows, "x array<float>, y int").toArrow()
+    rows = fit_rows(docs, labels, label, most, id_col, text_col).select("text", "y").mapInArrow(_feature_rows, "x array<float>, y int").toArrow()
     y = rows.column("y").to_numpy().astype(float)
     x = np.array(rows.column("x").combine_chunks().flatten().to_numpy(), float).reshape(len(y), len(FEATURES))
     order = np.lexsort((*x.T, y))  # results must not depend on the order in which rows arrive
     return x[order], y[order]
 
 
-def train_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_FIT_ROWS, id_col: str = "doc_id") -> Gam:
-    return fit_gam(*feature_sample(docs, labels, label, max_rows, id_col))
+def train_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = MAX_FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Gam:
+    return fit_gam(*feature_sample(docs, labels, label, max_rows, id_col, text_col))
 
 
 def score_quality(docs: DataFrame, model: Gam, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """docs with `score` (0 to 1, higher: label 1 likelier) and `predicted` (1 if score >= threshold, else 0) added.
 
     Whole texts are scored; null and empty texts get the score of their statistics, which are all 0. Every row keeps its
-    columns, repeated rows included; columns named score or predicted are replaced. An empty table gives an empty result.
+    columns, repeated rows included; columns named score or predicted, whatever their case, are replaced, and other names
+    (with dots, or unlike in case only) stay as they are. An empty table gives an empty result.
     """
-    keep = [c for c in docs.columns if c not in ("score", "predicted")]
+    keep, places = kept_columns(docs, ("score", "predicted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             score = model.score(features(batch_counts(batch.column("_text")))) if batch.num_rows else np.zeros(0)
-            cols = [batch.column(f"_c{i}") for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))], names=[*[f"_c{i}" for i in range(len(keep))], "score", "predicted"])
+            cols = [batch.column(c) for c in places]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))], names=[*places, "score", "predicted"])
 
-    src = docs.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(keep)], F.col(text_col).alias("_text"))
-    schema = "".join(f"_c{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep)) + "score double, predicted int"
+    rows = plain(docs)
+    src = rows.select(*places, F.col(place(docs, text_col)).alias("_text"))
+    schema = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in places) + "score double, predicted int"
     return src.mapInArrow(run, schema).toDF(*keep, "score", "predicted")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, max_rows: int = MAX_FIT_ROWS) -> DataFrame:
     """One row for each input row: id, held_out, score, predicted. Learns from at most `max_rows` rows outside the fold."""
-    model = train_quality(docs.select(F.col(id_col), F.col(text_col).alias("text")), labels, "quality", max_rows, id_col)
-    rows = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), F.col(text_col).alias("_body"))
-    return score_quality(rows, model, "_body", threshold).drop("_body")
+    model = train_quality(docs, labels, "quality", max_rows, id_col, text_col)
+    rows = plain(docs).select(F.col(place(docs, id_col)).alias("_id"), F.col(place(docs, text_col)).alias("_body"))
+    out = score_quality(rows.select("_id", held_out("_id").alias("held_out"), "_body"), model, "_body", threshold)
+    return out.drop("_body").toDF(id_col, "held_out", "score", "predicted")

@@ -7,11 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from .shingles import _DOWN, _MAX, _UP, _B, _B_INV, _powers, word_hashes
-from .common import mix64
+from .shingles import STEP, _B, span_hashes, word_hashes
 
 BATCH = 1 << 20
-_IS = {name: np.zeros(256, bool) for name in ("symbol", "upper", "lower", "digit", "stop", "comma", "quote", "mark", "bracket", "other")}
+_IS = {name: np.zeros(256, bool) for name in ("symbol", "upper", "lower", "digit", "stop", "comma", "quote", "mark", "bracket", "wide")}
 _IS["symbol"][[ord(c) for c in "#*$%&|<>"]] = True
 _IS["upper"][ord("A") : ord("Z") + 1] = True
 _IS["lower"][ord("a") : ord("z") + 1] = True
@@ -21,6 +20,7 @@ _IS["comma"][[ord(c) for c in ",;:"]] = True
 _IS["mark"][[ord(c) for c in "!?"]] = True
 _IS["bracket"][[ord(c) for c in "{}[]()=_/\\@"]] = True
 _IS["quote"][[ord(c) for c in "\"'`~^+-"]] = True
+_IS["wide"][0xC0:] = True
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_lower", "n_digit", "n_stop", "n_comma", "n_mark", "n_bracket", "n_quote", "n_wide", "n_short", "n_long", "n_capital", "n_same_next", "n_top_word")
 
@@ -29,10 +29,26 @@ def _per(doc: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(doc, minlength=n).astype(np.int64)
 
 
-def _span_hashes(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    up, down = (_UP, _DOWN) if text.size < _MAX else (_powers(_B, text.size + 1), _powers(_B_INV, text.size + 1))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up[: text.size], dtype=np.uint64)])
-    return mix64((sums[end] - sums[start]) * down[start] ^ ((end - start).astype(np.uint64) << np.uint64(40)))
+def _by_bytes(is_: np.ndarray, text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Bytes of a class in each text; texts begin at `at`, and each has one byte at least."""
+    out = np.zeros(at.size, np.int64)
+    for a in range(0, text.size, STEP):
+        first = np.searchsorted(at, a, "right") - 1
+        cut = np.maximum(at[first : np.searchsorted(at, a + STEP)] - a, 0)
+        out[first : first + cut.size] += np.add.reduceat(is_[text[a : a + STEP]], cut, dtype=np.int64)
+    return out
+
+
+def _code_points(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Code points in the spans [start, end), which come in order and do not overlap."""
+    edge = np.stack([start, end], 1).ravel()
+    sums, total = np.zeros(edge.size, np.int64), 0
+    for at in range(0, text.size, STEP):
+        lead = np.cumsum((text[at : at + STEP] & 0xC0) != 0x80)
+        a, b = np.searchsorted(edge, [at + 1, at + lead.size + 1])
+        sums[a:b] = total + lead[edge[a:b] - (at + 1)]
+        total += int(lead[-1])
+    return sums[1::2] - sums[::2]
 
 
 def _repeats(doc: np.ndarray, value: np.ndarray):
@@ -46,22 +62,21 @@ def _repeats(doc: np.ndarray, value: np.ndarray):
 def counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     """COUNTS of each text, as int64 arrays."""
     n = len(texts)
-    text = np.frombuffer(b"\n".join(texts), np.uint8)
+    text = np.frombuffer(b"".join(t + b"\n" for t in texts) if n > 1 else b"\n".join([*texts, b""]), np.uint8)
     size = np.array([len(t) for t in texts], np.int64)
     at = np.cumsum(size + 1) - size - 1
     of = lambda pos: np.searchsorted(at, pos, "right") - 1
     start, end, h = word_hashes(text)
     doc = of(start)
     out = {"n_words": _per(doc, n)}
-    lead = np.concatenate([np.zeros(1, np.int64), np.cumsum((text & 0xC0) != 0x80)])
-    length = lead[end] - lead[start]
+    length = _code_points(text, start, end)
     out["word_chars"] = np.bincount(doc, length, minlength=n).astype(np.int64)
     for name in ("symbol", "upper", "lower", "digit", "stop", "comma", "mark", "bracket", "quote"):
-        out["n_symbols" if name == "symbol" else f"n_{name}"] = _per(of(np.flatnonzero(_IS[name][text])), n)
-    out["n_wide"] = _per(of(np.flatnonzero(text >= 0xC0)), n)
+        out["n_symbols" if name == "symbol" else f"n_{name}"] = _by_bytes(_IS[name], text, at)
+    out["n_wide"] = _by_bytes(_IS["wide"], text, at)
     out["n_short"] = _per(doc[length <= 3], n)
     out["n_long"] = _per(doc[length >= 14], n)
-    out["n_capital"] = _per(doc[_IS["upper"][text[start]]], n) if start.size else np.zeros(n, np.int64)
+    out["n_capital"] = _per(doc[_IS["upper"][text[start]]], n)
     same = (doc[1:] == doc[:-1]) & (h[1:] == h[:-1])
     out["n_same_next"] = _per(doc[1:][same], n)
     by, first, runs = _repeats(doc, h)
@@ -69,14 +84,14 @@ def counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     top = np.zeros(n, np.int64)
     np.maximum.at(top, doc[by[first]], runs)
     out["n_top_word"] = top
-    # Lines: between line feeds, which also part the texts here.
-    feeds = np.flatnonzero(text == 10)
-    l_start, l_end = np.concatenate([[0], feeds + 1]), np.concatenate([feeds, [text.size]])
+    # Lines: between line feeds, which also end the texts here.
+    l_end = np.flatnonzero(text == 10)
+    l_start = np.concatenate([[0], l_end[:-1] + 1]) if n else l_end
     with_word = np.searchsorted(start, l_end, "left") > np.searchsorted(start, l_start, "left")
     l_start, l_end = l_start[with_word], l_end[with_word]
     l_doc = of(l_start)
     out["n_lines"] = _per(l_doc, n)
-    by, first, _ = _repeats(l_doc, _span_hashes(text, l_start, l_end) if l_start.size else np.zeros(0, np.uint64))
+    by, first, _ = _repeats(l_doc, span_hashes(text, l_start, l_end))
     out["n_dup_lines"] = out["n_lines"] - _per(l_doc[by[first]], n)
     # Words inside five-word windows that occur twice or more in their text.
     m = max(0, h.size - 4)

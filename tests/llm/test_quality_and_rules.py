@@ -1,12 +1,15 @@
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from lumenframe.llm import quality_gam, rule_forest, text_stats
+from lumenframe.llm import quality_gam, rule_forest, shingles, text_stats
 
 
 def brute_counts(text):
@@ -113,3 +116,84 @@ def test_rule_forest(spark):
 @pytest.mark.parametrize("n", [1, 2, 10, 256])
 def test_average_path(n):
     assert rule_forest._average_path(n) >= 0
+
+
+def test_scores_against_table_lookups(spark):
+    """The score of each text, looked up table by table in plain Python from statistics counted by brute force elsewhere."""
+    docs, labels, _ = labelled(spark, 400)
+    model = quality_gam.train_quality(docs, labels)
+    got = {r.doc_id: r.score for r in quality_gam.score_quality(docs, model).collect()}
+    for r in docs.collect():
+        x = text_stats.features(text_stats.counts([r.text.encode()]))[0].tolist()
+        bin_of = lambda cuts, v: sum(c <= v for c in cuts.tolist())
+        margin = model.base + sum(t[bin_of(c, v)] for c, t, v in zip(model.cuts, model.tables, x))
+        for (a, b), t in zip(model.pairs, model.pair_tables):
+            margin += t[bin_of(model.pair_cuts[a], x[a])][bin_of(model.pair_cuts[b], x[b])]
+        assert got[r.doc_id] == pytest.approx(1 / (1 + np.exp(-margin)), abs=1e-9)
+
+
+def test_verdicts_against_paths(spark):
+    """kept, from paths walked one node at a time through each tree."""
+    docs, labels, _ = labelled(spark, 400)
+    forest = rule_forest.train_rules(docs, labels)
+    got = {r.doc_id: r for r in rule_forest.rule_verdicts(docs, forest).collect()}
+    for r in docs.limit(60).collect():
+        x = rule_forest.rule_statistics(text_stats.counts([r.text.encode()]))[0]
+        total = 0.0
+        for feature, cut, path in zip(forest.feature, forest.cut, forest.path):
+            node = 0
+            while feature[node] >= 0:
+                node = 2 * node + (2 if x[feature[node]] >= cut[node] else 1)
+            total += path[node]
+        score = 2 ** (-total / len(forest.feature) / forest.norm)
+        assert got[r.doc_id].anomaly == pytest.approx(score, abs=1e-9)
+        assert got[r.doc_id].kept == (not got[r.doc_id].base_failed and score <= forest.threshold + 1e-12)
+
+
+def test_paths_end_where_rows_are_alone():
+    """A leaf's path is its depth and the average path of the rows in it, as a walk over the sample's rows tells."""
+    x = np.random.default_rng(2).uniform(size=(300, 4))
+    x[:5] += 3  # anomalies
+    forest = rule_forest.grow_forest(x, trees=50, sample=64)
+    score = forest.score(x)
+    assert score[:5].min() > np.median(score[5:])
+    for feature, path in zip(forest.feature, forest.path):
+        for node in np.flatnonzero(path > 0):
+            assert feature[node] == -1 and path[node] >= int(np.log2(node + 1))
+
+
+def test_names_of_any_kind(spark):
+    docs, labels, _ = labelled(spark, 60)
+    odd = docs.selectExpr("cast(doc_id as string) as doc_id", "text", "1 as `a.b`", "2 as x").toDF("doc_id", "text", "a.b", "TEXT")
+    names = labels.selectExpr("cast(doc_id as string) as doc_id", "quality", "0 as q").toDF("doc_id", "quality", "a.b")
+    got = quality_gam.quality_scores(odd, names)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"] and got.count() == 60
+    model = quality_gam.train_quality(odd, names)
+    assert quality_gam.score_quality(odd, model).columns == ["doc_id", "text", "a.b", "TEXT", "score", "predicted"]
+    assert rule_forest.rule_verdicts(odd, rule_forest.train_rules(odd, names)).count() == 60
+
+
+def test_long_text_in_steps(monkeypatch):
+    """Counts and hashes do not depend on how many bytes are looked at together."""
+    rows = [t.encode() for t in texts(6, 40)]
+    want = text_stats.counts(rows)
+    hashes = shingles.shingle_hashes(rows, 5)
+    for module in (text_stats, shingles):
+        monkeypatch.setattr(module, "STEP", 32)
+    monkeypatch.setattr(shingles, "_UP", shingles._powers(shingles._B, 32))
+    monkeypatch.setattr(shingles, "_DOWN", shingles._powers(shingles._B_INV, 32))
+    got = text_stats.counts(rows)
+    assert all((got[k] == want[k]).all() for k in want)
+    assert all((a == b).all() for a, b in zip(shingles.shingle_hashes(rows, 5), hashes))
+
+
+def test_memory_of_a_long_text():
+    """A text of 30 MB takes less than 25 bytes for each of its own, so one of 100 MB fits an executor of 3 GB."""
+    code = (
+        "import random, resource; from lumenframe.llm import shingles, text_stats; r = random.Random(1);"
+        "w = [''.join(r.choice('abcdefghijk') for _ in range(r.randint(2, 9))) for _ in range(50000)];"
+        "t = ' '.join(r.choice(w) for _ in range(230000)).encode() * 20; peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss * 1024;"
+        "before = peak(); shingles.shingle_hashes([t], 5); text_stats.counts([t]); print((peak() - before) / len(t))"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(__file__).resolve().parents[2])
+    assert float(out.stdout) < 25
