@@ -6,6 +6,9 @@ Anchors are counted before any text moves, and windows of anchors that occur onc
 then sorts its own repeated windows, keeps one of each and ships what is left; a bucket therefore gets at most one copy
 of a window from each part, however often a passage repeats.
 
+However many parts ship a passage to one bucket, the bucket takes them in bites and keeps one copy of each window after
+every bite, so what a task holds grows with its distinct windows only.
+
 A bucket is sorted by itself: its text is laid out once, the positions p with p mod 31 in a difference cover are
 ranked on their first length - 30 bytes, its windows are sorted on their first and last 32 bytes, and windows that
 still tie are split around pivots by comparing the cover ranks at the shift, of at most 30, that the cover guarantees
@@ -21,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import buckets_for, mix64, pack, partitions_for, ranges, unpack, with_row_ids
+from .common import buckets_for, mix64, pack, partitions_for, place, plain, plain_size, ranges, unpack, with_row_ids
 
 #: A perfect difference cover modulo 31.
 COVER_PERIOD = 31
@@ -30,6 +33,7 @@ COVER = (1, 5, 11, 24, 25, 27)
 BLOCK = 1 << 20  # bytes hashed at a time
 BATCH = 4 << 20  # bytes deduplicated among themselves before anything is shipped
 SUFFIXES = 1 << 18  # windows sorted at a time
+BITE = 24 << 20  # bytes of a bucket taken in before its windows are reduced to one of each
 _POS_BITS = np.uint64(21)
 _POS_MASK = np.uint64((1 << 21) - 1)
 
@@ -290,10 +294,10 @@ def _rows_of_spans(parts: list, buckets: int):
 _PART = pa.schema([("bucket", pa.int32()), ("rid", pa.int64()), ("data", pa.binary())])
 
 
-def _limits(values: tuple[int, int, int]) -> None:
+def _limits(values: tuple[int, int, int, int]) -> None:
     """Workers take the driver's limits."""
-    global BLOCK, BATCH, SUFFIXES
-    BLOCK, BATCH, SUFFIXES = values
+    global BLOCK, BATCH, SUFFIXES, BITE
+    BLOCK, BATCH, SUFFIXES, BITE = values
 
 
 def _segments(rid: int, text: bytes, length: int):
@@ -381,7 +385,7 @@ def _count_part(rec: _Records, buckets: int) -> pa.RecordBatch:
 
 
 def _count_anchors(length: int, buckets: int):
-    limits = (BLOCK, BATCH, SUFFIXES)
+    limits = (BLOCK, BATCH, SUFFIXES, BITE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _limits(limits)
@@ -444,12 +448,8 @@ def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield _out(*_marks(rid[many], key[many]))
 
 
-def _dedup_part(rec: _Records, marks: np.ndarray, length: int, buckets: int) -> pa.RecordBatch | None:
-    """What one part of the input ships: its spans that repeat inside it, and its other windows by bucket."""
-    rec = rec.take(np.flatnonzero(np.isin(_tag(rec.rid, rec.key), marks)))
-    recs = rec.take(np.lexsort((rec.pos, rec.rid)))
-    if not recs.key.size:
-        return None
+def _reduced(recs: _Records, length: int) -> tuple[list, _Records]:
+    """Spans of the windows that start earlier among the records, and records of all other windows."""
     spans, whole, extra = [], np.ones(recs.key.size, bool), []
     for own, later in _by_bucket(recs, length):
         if later.any():
@@ -461,7 +461,16 @@ def _dedup_part(rec: _Records, marks: np.ndarray, length: int, buckets: int) ->
             extra.append((r[mine], t[mine], m[mine]))
     keep = np.flatnonzero(whole)
     src, t, m = (np.concatenate(c) for c in zip((keep, np.zeros(keep.size, np.int64), recs.n[keep]), *extra))
-    out = _Records(recs.key[src], recs.rid[src], recs.pos[src] + t, m, recs.aoff[src] - t, recs.text, recs.at[src] + t)
+    return spans, _Records(recs.key[src], recs.rid[src], recs.pos[src] + t, m, recs.aoff[src] - t, recs.text, recs.at[src] + t)
+
+
+def _dedup_part(rec: _Records, marks: np.ndarray, length: int, buckets: int) -> pa.RecordBatch | None:
+    """What one part of the input ships: its spans that repeat inside it, and its other windows by bucket."""
+    rec = rec.take(np.flatnonzero(np.isin(_tag(rec.rid, rec.key), marks)))
+    recs = rec.take(np.lexsort((rec.pos, rec.rid)))
+    if not recs.key.size:
+        return None
+    spans, out = _reduced(recs, length)
     bucket = _bucket(out.key, buckets)
     by = np.lexsort((out.pos, out.rid, bucket))
     b_col, r_col, d_col = _rows_of_spans(spans, buckets)
@@ -477,7 +486,7 @@ def _tag(rid: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 def _ship(length: int, buckets: int):
-    limits = (BLOCK, BATCH, SUFFIXES)
+    limits = (BLOCK, BATCH, SUFFIXES, BITE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _limits(limits)
@@ -506,20 +515,41 @@ def _ship(length: int, buckets: int):
 
 
 def _sort_buckets(length: int, buckets: int):
-    """Rows arrive ordered by bucket; one bucket is held at a time."""
-    limits = (BLOCK, BATCH, SUFFIXES)
+    """Rows arrive ordered by bucket; one bucket is held at a time, in bites."""
+    limits = (BLOCK, BATCH, SUFFIXES, BITE)
+
+    def taken_in(before: bytes | None, blocks: list[bytes]) -> tuple[pa.RecordBatch | None, _Records]:
+        recs = _Records.load([before, *blocks] if before else blocks, length)
+        spans, left = _reduced(recs.take(np.lexsort((recs.pos, recs.rid))), length)
+        rows = _rows_of_spans(spans, buckets)
+        return _out(rows[1], rows[2]) if rows[1] else None, left
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _limits(limits)
-        for kind, a, b in _by_bucket_rows(batches):
-            if kind == "pass":
-                yield _out(a, b)
-                continue
-            recs = _Records.load(a, length)
-            recs = recs.take(np.lexsort((recs.pos, recs.rid)))
-            rows = _rows_of_spans([_spans(recs, own, later, length) for own, later in _by_bucket(recs, length) if later.any()], buckets)
-            if rows[1]:
-                yield _out(rows[1], rows[2])
+        current, before, blocks, size, most = None, None, [], 0, BITE
+        for batch in batches:
+            rids, datas = [], []
+            for b, rid, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if rid is not None:
+                    rids.append(rid)
+                    datas.append(data.as_py())
+                    continue
+                if b != current:
+                    if blocks and (out := taken_in(before, blocks)[0]) is not None:
+                        yield out
+                    current, before, blocks, size, most = b, None, [], 0, BITE
+                blocks.append(data.as_py())
+                size += plain_size(blocks[-1])
+                if size > most:
+                    out, left = taken_in(before, blocks)
+                    if out is not None:
+                        yield out
+                    before, blocks, size = left.blocks(length), [], 0
+                    most = max(BITE, plain_size(before))  # work stays linear where little repeats
+            if rids:
+                yield _out(rids, datas)
+        if blocks and (out := taken_in(before, blocks)[0]) is not None:
+            yield out
 
     return run
 
@@ -541,7 +571,8 @@ def repeated_spans(base: DataFrame, length: int = 100) -> DataFrame:
     schema = "bucket int, rid long, data binary"
     dealt = lambda df: df.repartition(parts, "bucket").sortWithinPartitions("bucket")
     marks = dealt(base.select("_rid", "_bytes").mapInArrow(_count_anchors(length, buckets), schema)).mapInArrow(_repeated_anchors, "rid long, data binary")
-    shipped = _by_row(base, marks, "_marks").mapInArrow(_ship(length, buckets), schema)
+    # A row order of their own makes the parts the same when a lost task runs again: what a part keeps depends on its rows.
+    shipped = _by_row(base, marks, "_marks").sortWithinPartitions("_rid").mapInArrow(_ship(length, buckets), schema)
     return dealt(shipped).mapInArrow(_sort_buckets(length, buckets), "rid long, data binary")
 
 
@@ -592,11 +623,13 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     removed (the maximal removed runs as start, end, start, end ...) and, if asked for, kept (remaining bytes).
 
     Texts are UTF-8 bytes and matches never cross rows. Null and empty texts, and those shorter than `length`, lose
-    nothing; a null text counts as empty. Rows with a null id come before all others. Rows that repeat an id count as
+    nothing; a null text counts as empty. Ids may be of any type that sorts; rows with a null id come before all others. Rows that repeat an id count as
     separate rows in the order of their text. Strings are judged on the input, not on what is left. An empty table
     gives an empty result; other columns of the input are not looked at, whatever their names.
     """
-    base = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)])
+    base = plain(docs).select(
+        F.col(place(docs, id_col)).alias("_id"), F.col(place(docs, text_col)).alias("_text"), *[F.col(place(docs, c)).alias(f"_c{i}") for i, c in enumerate(carry)]
+    )
     base = with_row_ids(base, "_id", "_text")
     base = base.withColumn("_bytes", F.col("_text").cast("binary")).drop("_text")
     joined = _by_row(base, repeated_spans(base, length), "_spans")
@@ -605,6 +638,4 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = ", ".join(f"{c} {types[c]}" for c in names)
     schema += ", n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<long>" + (", kept binary" if with_kept else "")
     out = joined.select(*names, "_bytes", "_spans").mapInArrow(_cut(with_kept, names), schema)
-    for i, c in enumerate(carry):
-        out = out.withColumnRenamed(f"_c{i}", c)
-    return out.withColumnRenamed("_id", id_col)
+    return out.toDF(id_col, *carry, *out.columns[len(names) :])

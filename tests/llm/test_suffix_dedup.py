@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from lumenframe.llm import suffix_dedup as m
@@ -77,6 +79,34 @@ def test_odd_rows(spark):
     assert m.suffix_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_passage_in_every_document(spark, monkeypatch):
+    """A bucket that all parts ship to takes their copies in bites, and what it holds does not grow with them."""
+    r = random.Random(9)
+    passage = " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(40))
+    rows = [(i, f"{r.random()} {passage} {r.random()}") for i in range(400)]
+    monkeypatch.setattr(m, "BATCH", 600)
+    monkeypatch.setattr(m, "BITE", 4000)
+    got = m.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).orderBy("doc_id").collect()
+    assert [(x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in got] == brute(rows, 100)
+
+    held = []
+    plain_load = m._Records.load
+    monkeypatch.setattr(m._Records, "load", staticmethod(lambda blocks, length: held.append(sum(map(m.plain_size, blocks))) or plain_load(blocks, length)))
+    part = lambda i: m._Records(*(np.array([v], t) for v, t in ((77, np.uint64), (i, np.int64), (5, np.int64), (3, np.int64), (2, np.int64))), np.frombuffer(passage[:102].encode(), np.uint8), np.array([0]))
+    blocks = [part(i).blocks(100) for i in range(1, 2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([4] * len(blocks), pa.int32()), pa.nulls(len(blocks), pa.int64()), pa.array(blocks, pa.binary())], names=["bucket", "rid", "data"])
+    rids = [x for b in m._sort_buckets(100, 8)(iter([batch])) for x in b.column(0).to_pylist()]
+    assert sorted(rids) == list(range(2, 2000)) and max(held) < 5000
+
+
+def test_ids_and_names_of_any_kind(spark):
+    text = "the same long sentence is told here again and again without any change, word for word, as it was told before"
+    df = spark.createDataFrame([("b", text, 1), ("a", text, 2)], "doc_id string, text string, `a.b` int").toDF("doc_id", "text", "TEXT")
+    assert {x.doc_id: x.n_removed for x in m.suffix_dedup(df).collect()} == {"a": 0, "b": len(text)}
+    odd = spark.createDataFrame([(1.7, text), (1.5, text)], "doc_id double, text string")
+    assert {x.doc_id: x.n_removed for x in m.suffix_dedup(odd).collect()} == {1.5: 0, 1.7: len(text)}
+
+
 def test_cover():
     for a in range(m.COVER_PERIOD):
         for b in range(m.COVER_PERIOD):
