@@ -1,8 +1,10 @@
 """Exact Jaccard self-join of documents' word shingles with a token-group matrix.
 
-1. Every document's distinct shingles go to token buckets, which count in how many documents a shingle occurs. A
-   shingle of one document can be in no intersection, so only repeated shingles return; a document with less than the
-   threshold's share of repeated shingles has no partner and is done.
+1. The distinct shingles of each part of the input go to token buckets, which count in how many documents a shingle
+   occurs. A shingle that several documents of a part share goes there once, with their number; which ones they are waits
+   where the answers of that part return. A bucket therefore gets a shingle at most once from each part, however
+   common it is. A shingle of one document can be in no intersection, so only repeated ones return; a document
+   with less than the threshold's share of repeated shingles has no partner and is done.
 2. Documents with the same repeated shingles and the same set size behave alike towards all others: one class.
 3. Shingles are ordered rarest first. Two linked classes share one of the first r - ceil(t n) + 1 repeated shingles.
    Each class is checked against the likeliest leader (least class) of these; the links found partition similar
@@ -20,13 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import buckets_for, discard, mix64, pack, partitions_for, ranges, unpack, with_row_ids, written
+from .common import buckets_for, discard, mix64, pack, partitions_for, place, plain, unpack, with_row_ids, written
 from .components import components
 from .shingles import shingle_hashes
 
 BATCH = 1 << 20
 _SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("data", pa.binary())])
-TOKENS, DOCS, COPIES = 0, 1, 2
+TOKENS, DOCS, COPIES, LOCAL, ANSWERS = 0, 1, 2, 3, 4
 
 
 def _bits(buckets: int) -> int:
@@ -57,13 +59,6 @@ def _cuts(sorted_key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.append(first[1:], sorted_key.size)
 
 
-def _by_doc_part(rid: np.ndarray, bits: int, kind: int, *cols: np.ndarray) -> list[tuple[int, int, bytes]]:
-    part = (mix64(rid.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
-    by = np.lexsort((rid, part))
-    first, last = _cuts(part[by])
-    return [(int(part[by[a]]), kind, pack(rid[by[a:z]], *[c[by[a:z]] for c in cols])) for a, z in zip(first, last)]
-
-
 def set_sums(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two independent order-free 64-bit sums of each run of values."""
     a = mix64(value ^ np.uint64(0x243F6A8885A308D3))
@@ -72,7 +67,10 @@ def set_sums(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _part(rids: list[int], texts: list[bytes], k: int, bits: int) -> pa.RecordBatch:
+    """What a part ships: its documents and equal copies, and the shingles that several of them share, to the bucket of its
+    address, where the answers return; its shingles to their token buckets."""
     rid = np.array(rids, np.int64)
+    home = int(mix64(rid[:1].view(np.uint64))[0] >> np.uint64(64 - bits))
     doc, _, tok, _ = shingle_hashes(texts, k)
     by = np.lexsort((tok, doc))
     doc, tok = doc[by], tok[by]
@@ -90,18 +88,30 @@ def _part(rids: list[int], texts: list[bytes], k: int, bits: int) -> pa.RecordBa
         head = np.maximum.accumulate(np.where(same, 0, np.arange(order.size)))
         rep[full[order]] = full[order[head]]
     own = rep == np.arange(rid.size)
-    rows += _by_doc_part(rid[own], bits, DOCS, n[own].astype(np.int64))
+    rows.append((home, DOCS, pack(rid[own], n[own].astype(np.int64))))
     if not own.all():
-        rows += _by_doc_part(rid[~own], bits, COPIES, rid[rep[~own]], n[~own].astype(np.int64))
+        rows.append((home, COPIES, pack(rid[~own], rid[rep[~own]], n[~own].astype(np.int64))))
     mine = own[doc]
     doc, tok = doc[mine], tok[mine]
+    by = np.argsort(tok, kind="stable")
+    doc, tok = doc[by], tok[by]
+    first, last = _cuts(tok)
+    many = last - first
+    shared = np.repeat(many > 1, many)
+    if shared.any():
+        rows.append((home, LOCAL, pack(tok[first[many > 1]], many[many > 1].astype(np.uint32), rid[doc[shared]])))
+    # One entry for each shingle: the document that has it, or the number of those that do.
+    doc, tok = np.where(many > 1, -1, doc[first]) if first.size else doc, tok[first]
     bucket = (tok >> np.uint64(63 - bits)).astype(np.int32)
-    by = np.argsort(bucket, kind="stable")
-    first, last = _cuts(bucket[by])
-    for s, e in zip(first, last):
-        i = by[s:e]
-        f, z = _cuts(doc[i])
-        rows.append((int(bucket[i[0]]), TOKENS, pack(rid[doc[i[f]]], (z - f).astype(np.uint32), _narrow(tok[i], bits))))
+    by = np.lexsort((doc, bucket))
+    doc, tok, many = doc[by], tok[by], many[by]
+    for s, e in zip(*_cuts(bucket[by])):
+        t = s + int(np.searchsorted(doc[s:e], 0))
+        f, z = _cuts(doc[t:e])
+        body = pack(
+            np.array([home], np.int32), rid[doc[t:e][f]], (z - f).astype(np.uint32), _narrow(tok[t:e], bits), _narrow(tok[s:t], bits), many[s:t].astype(np.uint32)
+        )
+        rows.append((int(tok[s] >> np.uint64(63 - bits)), TOKENS, body))
     return _emit(rows)
 
 
@@ -138,7 +148,11 @@ def _grouped(batches: Iterator[pa.RecordBatch]):
 
 
 def _count_tokens(bits: int):
-    """Token buckets: shingles of two or more documents go back to their documents with that count."""
+    """Token buckets: to each address, its shingles that two or more documents have, with that number."""
+
+    def back(home: np.ndarray, kind: int, *cols: np.ndarray) -> list[tuple[int, int, bytes]]:
+        by = np.argsort(home, kind="stable")
+        return [(int(home[by[a]]), kind, pack(*(c[by[a:z]] for c in cols))) for a, z in zip(*_cuts(home[by]))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, held in _grouped(batches):
@@ -148,16 +162,22 @@ def _count_tokens(bits: int):
             blocks = [unpack(data) for kind, data in held if kind == TOKENS]
             if not blocks:
                 continue
-            rid = np.concatenate([np.repeat(r, c) for r, c, _ in blocks])
-            tok = _widen(np.concatenate([t for _, _, t in blocks]), bucket, bits)
+            rid = np.concatenate([np.repeat(r, c) for _, r, c, _, _, _ in blocks])
+            one = [_widen(t, bucket, bits) for _, _, _, t, _, _ in blocks]
+            some = [_widen(t, bucket, bits) for _, _, _, _, t, _ in blocks]
+            home = np.array([h[0] for h, *_ in blocks], np.int32)
+            home_one, home_some = np.repeat(home, [t.size for t in one]), np.repeat(home, [t.size for t in some])
+            tok = np.concatenate([*one, *some])
+            number = np.concatenate([np.ones(rid.size, np.int64), *(c.astype(np.int64) for *_, c in blocks)])
             by = np.argsort(tok)
-            tok, rid = tok[by], rid[by]
-            first, last = _cuts(tok)
-            size = last - first
-            df = np.repeat(size, size)
-            many = df > 1
-            if many.any():
-                yield _emit(_by_doc_part(rid[many], bits, TOKENS, tok[many], np.minimum(df[many], 0xFFFFFFFF).astype(np.uint32)))
+            first, last = _cuts(tok[by])
+            df = np.empty(tok.size, np.int64)
+            df[by] = np.repeat(np.add.reduceat(number[by], first), last - first)
+            df = np.minimum(df, 0xFFFFFFFF).astype(np.uint32)
+            many = np.flatnonzero(df[: rid.size] > 1)
+            out = back(home_one[many], TOKENS, rid[many], tok[many], df[many]) + back(home_some, ANSWERS, tok[rid.size :], df[rid.size :])
+            if out:
+                yield _emit(out)
 
     return run
 
@@ -168,7 +188,7 @@ _SETS = "rid long, n long, rep long, r long, a long, b long, lead int, toks arra
 def _sets(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, held in _grouped(batches):
-            by_kind: dict[int, list] = {TOKENS: [], DOCS: [], COPIES: []}
+            by_kind: dict[int, list] = {TOKENS: [], DOCS: [], COPIES: [], LOCAL: [], ANSWERS: []}
             for kind, data in held:
                 by_kind[kind].append(unpack(data))
             rows: dict[str, list] = {c.split()[0]: [] for c in _SETS.split(", ")}
@@ -184,6 +204,13 @@ def _sets(num: int, den: int):
             for rid, n in by_kind[DOCS]:
                 size.update(zip(rid.tolist(), n.tolist()))
             seen = set()
+            if by_kind[LOCAL]:  # the documents that share a shingle take its answer
+                known, number = (np.concatenate(c) for c in zip(*by_kind[ANSWERS]))
+                order = np.argsort(known)
+                known, number = known[order], number[order]
+                for tok, count, rid in by_kind[LOCAL]:
+                    df = number[np.searchsorted(known, tok)]
+                    by_kind[TOKENS].append((rid, np.repeat(tok, count), np.repeat(df, count)))
             if by_kind[TOKENS]:
                 rid, tok, df = (np.concatenate(c) for c in zip(*by_kind[TOKENS]))
                 by = np.lexsort((tok, df, rid))
@@ -212,7 +239,8 @@ def shingle_sets(docs: DataFrame, rid: str, text: str, k: int, num: int, den: in
     bits = _bits(buckets)
     parts = partitions_for(docs.sparkSession, buckets)
     schema = "bucket int, kind byte, data binary"
-    shipped = docs.select(F.col(rid), F.col(text).cast("binary")).mapInArrow(_ship(k, bits, BATCH), schema)
+    # In an order of their own, rows make up the same parts when a lost task runs again: a part's address is its first row's.
+    shipped = docs.select(F.col(rid), F.col(text).cast("binary")).sortWithinPartitions(rid).mapInArrow(_ship(k, bits, BATCH), schema)
     counted = shipped.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_count_tokens(bits), schema)
     return counted.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_sets(num, den), _SETS)
 
@@ -314,11 +342,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Two rows link when the Jaccard similarity of their sets of k-word shingles is at least num / den. Words are runs
     of anything but U+0020 and U+0009-000D, with A-Z in lower case; a text of fewer than k words has one shingle, and
-    null texts and texts without a word have none and link with nothing. Rows that repeat an id are separate rows;
+    null texts and texts without a word have none and link with nothing. Shingles are told apart by 63 bits of a hash; all
+    else is exact. Ids may be of any type that sorts; rows that repeat an id are separate rows;
     rows with a null id come before all others, and a component that holds one has a null id. An empty table gives an
     empty result; other columns, whatever their names, are not looked at. All links count, in groups of any size.
     """
-    base = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    base = plain(docs).select(F.col(place(docs, id_col)).alias("_id"), F.col(place(docs, text_col)).alias("_text"))
     base = with_row_ids(base, "_id", "_text")
     ids = base.select("_rid", "_id")
     return (
@@ -330,9 +359,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 3, den: int = 4) -> DataFrame:
     """The rows of docs, all columns, of which each component has one left: that of the least id (and text)."""
-    names = docs.columns
-    plain = docs.withColumnsRenamed({c: f"_c{i}" for i, c in enumerate(names)})
-    base = with_row_ids(plain, f"_c{names.index(id_col)}", f"_c{names.index(text_col)}")
-    rows = component_rows(base.select("_rid", F.col(f"_c{names.index(text_col)}").alias("_text")), k, num, den)
+    base = with_row_ids(plain(docs), place(docs, id_col), place(docs, text_col))
+    rows = component_rows(base.select("_rid", F.col(place(docs, text_col)).alias("_text")), k, num, den)
     kept = base.join(rows.filter("rid = top").select(F.col("rid").alias("_rid")), "_rid", "left_semi")
-    return kept.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)])
+    return kept.drop("_rid").toDF(*docs.columns)

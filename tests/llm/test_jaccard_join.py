@@ -91,3 +91,26 @@ def test_components(spark):
     want = sorted((v, find(v)) for v in top)
     got = sorted((r.v, r.component) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == want
+
+
+def test_shingle_in_every_document(spark, monkeypatch):
+    """Parts send a shingle that many of their documents share once, and answers reach all of these documents."""
+    r = random.Random(11)
+    vocab = [f"v{i}" for i in range(40)]
+    head = [r.choice(vocab) for _ in range(30)]
+    rows = [(i, " ".join(head + [r.choice(vocab) for _ in range(r.choice([0, 3, 8, 14]))])) for i in range(150)]
+    monkeypatch.setattr(m, "BATCH", 2000)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in m.jaccard_components(df).collect()) == sorted(brute(rows))
+    part = m._part([i for i, _ in rows], [t.encode() for _, t in rows], 5, 7).to_pylist()
+    sent = [m.unpack(x["data"]) for x in part if x["kind"] == m.TOKENS]
+    distinct = {t for _, text in rows for t in tokens(text)}
+    assert sum((one.size + some.size) // 7 for _, _, _, one, some, _ in sent) == len(distinct)
+
+
+def test_ids_and_names_of_any_kind(spark):
+    t = " ".join(f"w{i}" for i in range(30))
+    df = spark.createDataFrame([("b", t, "x"), ("a", t, "y"), ("c", "z", None)], "doc_id string, text string, `a.b` string").toDF("doc_id", "text", "TEXT")
+    assert {x.doc_id: x.component_id for x in m.jaccard_components(df).collect()} == {"a": "a", "b": "a", "c": "c"}
+    kept = m.keep_one_of_each(df)
+    assert kept.columns == df.columns and sorted(x[0] for x in kept.collect()) == ["a", "c"]
