@@ -1,6 +1,8 @@
 import random
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from lumenframe.llm import block_knn as m
 
@@ -27,7 +29,7 @@ def test_against_brute_force(spark, monkeypatch):
     x[200:230] *= 1e-3
     rows = [(i, [float(v) for v in x[i]]) for i in range(900)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
-    got = sorted(tuple(t) for t in m.block_knn(df, df.filter("vec_id % 20 = 0"), k=20, rows_per_group=10).collect())
+    got = sorted(tuple(t) for t in m.block_knn(df, df.filter("vec_id % 20 = 0"), k=20, query_bytes=10 * 24 * 8, candidate_rows=50).collect())
     want = brute(rows, [t for t in rows if t[0] % 20 == 0], 20)
     assert got == want
 
@@ -41,6 +43,40 @@ def test_odd_rows(spark):
     assert m.block_knn(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_floors_leave_little_to_return(spark, monkeypatch):
+    """Beyond the first group of candidates, a query returns what may still be among its best, not k of each group."""
+    r = np.random.default_rng(5)
+    x = r.normal(size=(2000, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(2000)], "vec_id long, embedding array<float>")
+    plain_merge = m._merge
+    seen = spark.sparkContext.accumulator(0)
+
+    def merge(k):
+        def run(batches):
+            def counted():
+                for b in batches:
+                    seen.add(b.num_rows)
+                    yield b
+
+            yield from plain_merge(k)(counted())
+
+        return run
+
+    monkeypatch.setattr(m, "_merge", merge)
+    assert m.block_knn(df, df.filter("vec_id % 20 = 0"), k=10, candidate_rows=25).count() == 1000
+    assert seen.value < 0.25 * 100 * 10 * 80  # queries x k x groups, also counting what each round passes on
+
+
+def test_names_and_ids(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.5], "x"), (20, [1.0, 2.0], "y")], "vec_id int, embedding array<double>, `a.b` string").toDF("vec_id", "embedding", "EMBEDDING")
+    assert [tuple(r) for r in m.block_knn(df, df).orderBy("query_id").collect()] == [(1, 1, 20, 2.0), (20, 1, 1, 2.0)]
+    with pytest.raises(ValueError):
+        m.block_knn(df.select(F.lit("a").alias("vec_id"), F.array(F.lit(1.0)).alias("embedding")), df)
+    mixed = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError):
+        m.block_knn(mixed, mixed)
+
+
 def test_bound_holds():
     r = np.random.default_rng(1)
     a, b = r.normal(size=(50, 8)), r.normal(size=(60, 8))
