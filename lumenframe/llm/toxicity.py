@@ -9,19 +9,20 @@ their share of the text's length.
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import fit_rows, held_out
+from .common import fit_rows, held_out, kept_columns, place, plain
 
 MAX_FIT_ROWS = 20_000  # labelled rows at most that lexicon and weights are learned from
-MAX_LEXICON = 20_000  # entries at most
 MIN_ROWS = 3  # toxic rows that an entry needs
 SHORTEST, LONGEST = 4, 10  # letters of a beginning
 
@@ -99,7 +100,10 @@ class Lexicon:
             elif w > best.get(start, 0.0):
                 best[start] = w
         if covered:
-            best = {s: w for s, w in best.items() if not any(a <= s < b for a, b in covered)}
+            covered.sort()
+            first = [a for a, _ in covered]
+            reach = list(accumulate((b for _, b in covered), max))
+            best = {s: w for s, w in best.items() if not (i := bisect_right(first, s)) or reach[i - 1] <= s}
         return sum(best.values()), len(best)
 
     def score(self, total: float, words: int) -> float:
@@ -187,7 +191,7 @@ def choose(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean:
         if any(out.get(e[:n], 0.0) >= 0.9 * w for n in range(SHORTEST + 1, len(e))):
             continue
         out[e] = w
-    return dict(sorted(out.items(), key=lambda x: (-x[1] * toxic[x[0]], x[0]))[:MAX_LEXICON])
+    return out
 
 
 def _calibrated(total: np.ndarray, words: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
@@ -202,9 +206,11 @@ def _calibrated(total: np.ndarray, words: np.ndarray, y: np.ndarray) -> tuple[fl
     return tuple(float(v) for v in b)
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_FIT_ROWS, id_col: str = "doc_id") -> Lexicon:
-    """Learn entries, weights and exceptions from at most `max_rows` labelled rows outside the held-out fold."""
-    rows = fit_rows(docs, labels, label, max_rows, id_col).select("text", "y").persist()
+def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Lexicon:
+    """Learn entries, weights and exceptions from at most `max_rows` labelled rows outside the held-out fold.
+
+    The lexicon holds every entry that qualifies; their number is bounded by the training rows' words alone."""
+    rows = fit_rows(docs, labels, label, max_rows, id_col, text_col).select("text", "y").persist()
     try:
         n = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
         n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
@@ -233,33 +239,35 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", th
     """docs with score (0 to 1), predicted (1 if score >= threshold, else 0), weight (summed) and hits (words) added.
 
     Whole texts are scored, null and empty ones with no hit. Every row keeps its columns, repeated rows included; columns
-    of the four names are replaced. An empty table gives an empty result.
+    of the four names, whatever their case, are replaced, and other names (with dots, or unlike in case only) stay as they
+    are. An empty table gives an empty result.
     """
     added = ("score", "predicted", "weight", "hits")
-    keep = [c for c in docs.columns if c not in added]
-    names = [*[f"_c{i}" for i in range(len(keep))], *added]
+    keep, places = kept_columns(docs, added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = [batch.column(f"_c{i}") for i in range(len(keep))]
             weight, hits, score = [], [], []
-            for text in _texts(batch, len(keep)):
+            for text in _texts(batch, len(places)):
                 folded = fold(text)
                 w, h = lexicon.hits(folded)
                 weight.append(w)
                 hits.append(h)
                 score.append(lexicon.score(w, folded.count(" ")))
             yield pa.RecordBatch.from_arrays(
-                [*cols, pa.array(score, pa.float64()), pa.array([int(s >= threshold) for s in score], pa.int32()), pa.array(weight, pa.float64()), pa.array(hits, pa.int64())], names=names
+                [*(batch.column(c) for c in places), pa.array(score, pa.float64()), pa.array([int(s >= threshold) for s in score], pa.int32()), pa.array(weight, pa.float64()), pa.array(hits, pa.int64())],
+                names=[*places, *added],
             )
 
-    src = docs.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(keep)], F.col(text_col).alias("_text"))
-    schema = "".join(f"_c{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep)) + "score double, predicted int, weight double, hits long"
+    rows = plain(docs)
+    src = rows.select(*places, F.col(place(docs, text_col)).alias("_text"))
+    schema = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in places) + "score double, predicted int, weight double, hits long"
     return src.mapInArrow(run, schema).toDF(*keep, *added)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, max_rows: int = MAX_FIT_ROWS) -> DataFrame:
     """One row for each input row: id, held_out, score, predicted, weight, hits."""
-    lexicon = train_toxicity(docs.select(F.col(id_col), F.col(text_col).alias("text")), labels, "toxic", max_rows, id_col)
-    rows = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), F.col(text_col).alias("_body"))
-    return score_toxicity(rows, lexicon, "_body", threshold).drop("_body")
+    lexicon = train_toxicity(docs, labels, "toxic", max_rows, id_col, text_col)
+    rows = plain(docs).select(F.col(place(docs, id_col)).alias("_id"), F.col(place(docs, text_col)).alias("_body"))
+    out = score_toxicity(rows.select("_id", held_out("_id").alias("held_out"), "_body"), lexicon, "_body", threshold)
+    return out.drop("_body").toDF(id_col, "held_out", "score", "predicted", "weight", "hits")

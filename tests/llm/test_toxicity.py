@@ -1,4 +1,6 @@
+import math
 import random
+import time
 
 from lumenframe.llm import toxicity as m
 
@@ -69,3 +71,33 @@ def test_odd_rows(spark):
     assert len(got) == 4 and all(r.predicted == 0 for r in got)
     assert m.toxicity_scores(odd.limit(0), lf).count() == 0
     assert m.toxicity_scores(odd, lf.limit(0)).filter("predicted = 0").count() == 4
+
+
+def test_score_from_weights_and_length(spark):
+    lexicon = m.Lexicon({" ab": 1.5, " cd ": 2.0}, [" ab cd "], (-2.0, 1.5, 0.25))
+    df = spark.createDataFrame([(1, "ab x cd"), (2, "x y"), (3, "ab cd")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in m.score_toxicity(df, lexicon).collect()}
+    z = -2.0 + 1.5 * math.log1p(3.5) + 0.25 * math.log1p(100 * 3.5 / 4)  # five spaces would be four words and both ends
+    assert abs(got[1] - 1 / (1 + math.exp(-z))) < 1e-9
+    assert got[2] == 1 / (1 + math.exp(2.0))
+    assert got[3] == got[2]  # the phrase covers both
+
+
+def test_every_entry_that_qualifies_is_kept():
+    toxic = {f" entry{i:05d} ": 20 for i in range(30_000)}
+    assert len(m.choose(toxic, {}, 100, 100)) == 30_000
+
+
+def test_many_hits_and_exceptions_take_linear_time():
+    lexicon = m.Lexicon({" bad": 1.0}, [" not bad "])
+    began = time.perf_counter()
+    assert lexicon.hits(" not bad" * 100_000 + " bad ") == (1.0, 1)
+    assert time.perf_counter() - began < 10
+
+
+def test_names_of_any_kind(spark):
+    docs, labels = rows(5, 60)
+    df = spark.createDataFrame([(str(i), t, 1, 2) for i, t in docs], "doc_id string, text string, a int, b int").toDF("doc_id", "text", "a.b", "Score")
+    lf = spark.createDataFrame([(str(i), y) for i, y in labels], "doc_id string, toxic int")
+    assert m.toxicity_scores(df, lf).count() == 60
+    assert m.score_toxicity(df, m.Lexicon({})).columns == ["doc_id", "text", "a.b", "score", "predicted", "weight", "hits"]
