@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import kept_columns, place, plain
+
 MARK = "▁"
 BLOCK = 2 << 20
 CACHED_WORDS, CACHED_PAIRS, LONGEST_CACHED = 250_000, 400_000, 64
@@ -100,6 +102,9 @@ class PieceModel:
                     raise ValueError("only models without character maps and with escaped white space are supported")
         if out.model not in (UNIGRAM, BPE) or USER in out.kinds:
             raise ValueError("only unigram and BPE models without user-defined symbols are supported")
+        # Texts are cut before each run of marks and around line feeds, so no piece may reach across such a place.
+        if any("\n" in p and p != "\n" or MARK in p.lstrip(MARK) for p, k in zip(out.pieces, out.kinds) if k == NORMAL):
+            raise ValueError("only models whose pieces have marks at their beginning and no line feeds are supported")
         return out.indexed()
 
     def indexed(self) -> "PieceModel":
@@ -281,6 +286,8 @@ class Codec:
 
     def decode(self, ids: np.ndarray) -> str:
         text = self.text
+        if ids.size and (ids.min() < 0 or ids.max() >= len(text)):
+            raise ValueError(f"ids are from 0 to {len(text) - 1}, but there are {ids.min()} and {ids.max()}")
         body = b"".join([text[i] for i in ids.tolist()]).decode("utf-8", "replace")
         return body[1:] if self.m.prefix and body.startswith(" ") else body
 
@@ -314,12 +321,12 @@ def encode_pieces(docs: DataFrame, model: PieceModel, text_col: str = "text") ->
     """docs with ids (array of int), n_tokens, and round_trip (decoding gives the prepared text back) added.
 
     Whole texts are encoded; null and empty texts have no ids, and n_tokens 0. Every row keeps its columns, repeated rows
-    included; columns of the three names are replaced; an empty table gives an empty result. U+2581 in a text counts as
-    a space, as the model's preparation has it.
+    included; columns of the three names, whatever their case, are replaced; an empty table gives an empty result. U+2581
+    in a text counts as a space, as the model's preparation has it.
     """
     added = ("ids", "n_tokens", "round_trip")
-    keep = [c for c in docs.columns if c not in added]
-    names = [*[f"_c{i}" for i in range(len(keep))], *added]
+    keep, places = kept_columns(docs, added)
+    names = [*places, *added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model)
@@ -337,22 +344,25 @@ def encode_pieces(docs: DataFrame, model: PieceModel, text_col: str = "text") ->
                 ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*cols, ids, pa.array(np.diff(offsets), pa.int64()), pa.array(trips, pa.bool_())], names=names)
 
-    src = docs.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(keep)], F.col(text_col).alias("_text"))
-    schema = "".join(f"_c{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep)) + "ids array<int>, n_tokens long, round_trip boolean"
+    rows = plain(docs)
+    src = rows.select(*places, F.col(place(docs, text_col)).alias("_text"))
+    schema = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in places) + "ids array<int>, n_tokens long, round_trip boolean"
     return src.mapInArrow(run, schema).toDF(*keep, *added)
 
 
 def decode_pieces(rows: DataFrame, model: PieceModel, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
-    """rows with the text of their ids; null ids give null. Ids outside the model raise an error."""
-    keep = [c for c in rows.columns if c != out_col]
-    names = [*[f"_c{i}" for i in range(len(keep))], "_out"]
+    """rows with the text of their ids; null ids give null, and a null among the ids counts as none. Ids outside the model,
+    negative ones too, raise an error. A column named like the result, whatever its case, is replaced."""
+    keep, places = kept_columns(rows, (out_col,))
+    names = [*places, "_out"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model)
         for batch in batches:
-            texts = [codec.decode(np.array(v.as_py(), np.int64)) if v.is_valid else None for v in batch.column(len(keep))]
+            texts = [codec.decode(np.array([i for i in v.as_py() if i is not None], np.int64)) if v.is_valid else None for v in batch.column(len(keep))]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(keep))], pa.array(texts, pa.string())], names=names)
 
-    src = rows.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(keep)], F.col(ids_col).alias("_ids"))
-    schema = "".join(f"_c{i} {rows.schema[c].dataType.simpleString()}, " for i, c in enumerate(keep)) + "_out string"
+    named = plain(rows)
+    src = named.select(*places, F.col(place(rows, ids_col)).alias("_ids"))
+    schema = "".join(f"{c} {named.schema[c].dataType.simpleString()}, " for c in places) + "_out string"
     return src.mapInArrow(run, schema).toDF(*keep, out_col)

@@ -66,3 +66,33 @@ def test_tables(spark):
     back = m.decode_pieces(got, model).collect()
     assert [r.decoded for r in back] == ["Hello world", "Hello world", "", "", "ab\n c"]
     assert m.encode_pieces(df.limit(0), model).count() == 0
+
+
+@needs_model
+def test_ids_outside_the_model_raise():
+    codec = m.Codec(m.PieceModel.load(PATH))
+    for ids in ([-1], [len(codec.text)], [5, -7]):
+        with pytest.raises(ValueError):
+            codec.decode(np.array(ids, np.int64))
+    assert codec.decode(np.zeros(0, np.int64)) == ""
+
+
+def test_pieces_that_reach_over_a_cut_are_refused():
+    def field(number, body):
+        return bytes([number << 3 | 2, len(body)]) + body
+
+    def model(*pieces):
+        return b"".join(field(1, field(1, p.encode())) for p in pieces)
+
+    assert m.PieceModel.parse(model("a", "▁a", "▁▁")).pieces == ["a", "▁a", "▁▁"]
+    for odd in ("a▁", "a▁b", "a\nb"):
+        with pytest.raises(ValueError):
+            m.PieceModel.parse(model("a", odd))
+
+
+@needs_model
+def test_names_of_any_kind(spark):
+    df = spark.createDataFrame([(1, "Hello world", "x", 2)], "doc_id long, text string, a string, b int").toDF("doc_id", "text", "a.b", "IDS")
+    got = m.encode_pieces(df, m.PieceModel.load(PATH))
+    assert got.columns == ["doc_id", "text", "a.b", "ids", "n_tokens", "round_trip"]
+    assert m.decode_pieces(got, m.PieceModel.load(PATH), out_col="A.B").columns == ["doc_id", "text", "ids", "n_tokens", "round_trip", "A.B"]
