@@ -82,12 +82,25 @@ def by_target_kind(builder: int, rows: DataFrame, source: str, kind_col: str, ta
 
 
 def near_regions(builder: int, regions: DataFrame) -> DataFrame:
-    """Regions of one frame that do not overlap, with centres at most NEAR apart; each pair once, in file order."""
-    a = regions.filter("frame_id <> '' and id <> '' and size(box_norm) >= 4").select("frame_id", "id", "line_no", "pts_us", "box_norm")
-    b = a.select("frame_id", F.col("id").alias("id2"), F.col("line_no").alias("line2"), F.col("box_norm").alias("box2"))
-    pairs = a.join(b, "frame_id").filter("line_no < line2 and id <> id2")
-    hit = pairs.filter((box_iou(F.col("box_norm"), F.col("box2")) <= 0) & (center_distance(F.col("box_norm"), F.col("box2")) <= NEAR))
-    return hit.select(*_edge(builder, "rel_spatial_near_", "near", F.col("id"), F.col("id2"), F.col("pts_us"), F.col("pts_us"), [F.col("line_no"), F.col("line2")]))
+    """Regions of one frame that do not overlap, with centres at most NEAR apart; each pair once, in file order.
+
+    Centres lie in cells as wide as NEAR; a cell meets itself and four of its neighbours, so that each pair of cells meets
+    once and a crowded frame is many small keys."""
+    x0, y0, x1, y1 = (F.get("box_norm", F.lit(i)) for i in range(4))
+    a = regions.filter("frame_id <> '' and id <> '' and size(box_norm) >= 4").select("frame_id", "id", "line_no", "pts_us", x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"))
+    cell = lambda low, high: F.floor((F.col(low) + F.col(high)) / (2 * NEAR * (1 + 1e-9))).cast("int")
+    a = a.withColumn("cx", cell("x0", "x1")).withColumn("cy", cell("y0", "y1"))
+    steps = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))]))
+    b = a.select("frame_id", *[F.col(c).alias(f"o_{c}") for c in ("id", "line_no", "pts_us", "x0", "y0", "x1", "y1")], F.col("cx").alias("o_cx"), F.col("cy").alias("o_cy"), steps.alias("s"))
+    b = b.select("frame_id", *[c for c in b.columns if c.startswith("o_") and c not in ("o_cx", "o_cy")], (F.col("o_cx") + F.col("s.i")).alias("cx"), (F.col("o_cy") + F.col("s.j")).alias("cy"), (F.col("s.i") + F.abs("s.j") == 0).alias("same"))
+    pair = a.join(b, ["frame_id", "cx", "cy"]).filter((~F.col("same") | (F.col("line_no") < F.col("o_line_no"))) & (F.col("id") != F.col("o_id")) & (F.col("line_no") != F.col("o_line_no")))
+    apart = (F.least("x1", "o_x1") <= F.greatest("x0", "o_x0")) | (F.least("y1", "o_y1") <= F.greatest("y0", "o_y0"))
+    middle = lambda p, q: (F.col(p) + F.col(q)) / 2
+    dx, dy = middle("x0", "x1") - middle("o_x0", "o_x1"), middle("y0", "y1") - middle("o_y0", "o_y1")
+    hit = pair.filter(apart & (F.sqrt(dx * dx + dy * dy) <= NEAR))
+    first = F.col("line_no") < F.col("o_line_no")
+    of = lambda c, mine: F.when(first == mine, F.col(c)).otherwise(F.col(f"o_{c}"))
+    return hit.select(*_edge(builder, "rel_spatial_near_", "near", of("id", True), of("id", False), of("pts_us", True), of("pts_us", True), [of("line_no", True), of("line_no", False)]))
 
 
 def enters_exits(builder: int, regions: DataFrame, entities: DataFrame, frames: DataFrame) -> DataFrame:

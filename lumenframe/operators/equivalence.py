@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geometry import box_iou, cosine_similarity
+from .lineage import settled
 
 #: Tolerances of the profile.
 TOLERANCES = {"confidence": 0.001, "loudness": 0.1, "true_peak": 0.1, "spectrum": 0.1, "bucket": 0.005, "coverage_total": 0.001, "box_iou": 0.995, "centroid_px": 1.0,
@@ -39,20 +40,24 @@ def verdict(differences: DataFrame, bytes_equal: bool = False) -> DataFrame:
     return d.withColumn("verdict", F.when(F.col("beyond") > 0, VERDICTS[3]).when(F.col("within") > 0, VERDICTS[2]).otherwise(VERDICTS[0] if bytes_equal else VERDICTS[1]))
 
 
-def flatten_json(df: DataFrame, v: str, key: list[str], most_depth: int = 8) -> DataFrame:
-    """(key, pointer, type, value) of every scalar of a VARIANT column; empty containers stand for themselves."""
+def flatten_json(df: DataFrame, v: str, key: list[str]) -> DataFrame:
+    """(key, pointer, type, value) of every scalar of a VARIANT column, at any depth; empty containers stand for themselves.
+
+    Levels are opened one after another until none has a container with members; each is settled, so none is computed
+    twice."""
     level = df.select(*key, F.lit("").alias("pointer"), F.col(v).alias("_v"))
     out = None
-    for _ in range(most_depth):
+    while True:
         kind = F.schema_of_variant("_v")
-        nested = kind.rlike("^(OBJECT|ARRAY)<.") & ~kind.isin("OBJECT<>", "ARRAY<>", "ARRAY<VOID>")
-        flat = level.filter(~F.coalesce(nested, F.lit(False))).select(*key, "pointer", F.schema_of_variant("_v").alias("type"), F.to_json("_v").alias("value"))
+        nested = F.coalesce(kind.rlike("^(OBJECT|ARRAY)<.") & ~kind.isin("OBJECT<>", "ARRAY<>", "ARRAY<VOID>"), F.lit(False))
+        flat = level.filter(~nested).select(*key, "pointer", F.schema_of_variant("_v").alias("type"), F.to_json("_v").alias("value"))
         out = flat if out is None else out.unionByName(flat)
         level = level.filter(nested)
+        if not level.head(1):
+            return out
         level.createOrReplaceTempView("_flatten_level")
         names = ", ".join(f"t.`{k}`" for k in key)
-        level = df.sparkSession.sql(f"select {names}{',' if names else ''} concat(t.pointer, '/', coalesce(e.key, cast(e.pos as string))) as pointer, e.value as _v from _flatten_level t, lateral variant_explode(t._v) e")
-    return out
+        level = settled(df.sparkSession.sql(f"select {names}{',' if names else ''} concat(t.pointer, '/', coalesce(e.key, cast(e.pos as string))) as pointer, e.value as _v from _flatten_level t, lateral variant_explode(t._v) e"))
 
 
 def compare_json(a: DataFrame, b: DataFrame, v: str, key: list[str], rules: list[tuple[str, float]]) -> DataFrame:

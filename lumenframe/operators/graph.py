@@ -125,19 +125,14 @@ def endpoints(edges: DataFrame) -> DataFrame:
 
 def health(edges: DataFrame, objects: DataFrame) -> DataFrame:
     """One row: edges, distinct ends, ends (with repeats) without an object, objects without an edge, edges by class."""
-    ends = endpoints(edges)
-    known = objects.select(F.col("id").alias("node")).distinct()
-    classes = ("support", "semantic", "unknown")
-    counts = {
-        "total_nodes": ends.distinct(), "unresolved_endpoints": ends.join(known, "node", "left_anti"),
-        "orphan_objects": known.join(ends, "node", "left_anti"), "total_objects": known,
-    }
-    named = edges.groupBy(F.concat("relationship_class", F.lit("_edges")).alias("name")).agg(F.count("*").alias("n"))
-    for name, df in counts.items():
-        named = named.unionByName(df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n"))
-    of = lambda name: F.coalesce(F.sum(F.when(F.col("name") == name, F.col("n"))), F.lit(0)).cast("long")
-    total = F.coalesce(F.sum(F.when(F.col("name").endswith("_edges"), F.col("n"))), F.lit(0)).cast("long")
-    return named.agg(total.alias("total_edges"), *[of(f"{c}_edges").alias(f"{c}_edges") for c in classes], *[of(name).alias(name) for name in counts])
+    ends = endpoints(edges).groupBy("node").agg(F.count("*").alias("n"))
+    known = objects.select(F.col("id").alias("object")).filter("object is not null").distinct()
+    nodes = ends.join(known, F.col("node") == F.col("object"), "full_outer").agg(
+        F.count_if(F.col("node").isNotNull()).alias("total_nodes"), F.coalesce(F.sum(F.when(F.col("object").isNull(), F.col("n"))), F.lit(0)).cast("long").alias("unresolved_endpoints"),
+        F.count_if(F.col("node").isNull()).alias("orphan_objects"), F.count_if(F.col("object").isNotNull()).alias("total_objects"), F.lit(1).alias("_one"),
+    )
+    of = edges.agg(F.count("*").alias("total_edges"), *[F.count_if(F.col("relationship_class") == c).alias(f"{c}_edges") for c in ("support", "semantic", "unknown")], F.lit(1).alias("_one"))
+    return of.join(nodes, "_one").drop("_one")  # one row each
 
 
 def orphans_by_layer(edges: DataFrame, objects: DataFrame) -> DataFrame:

@@ -26,30 +26,51 @@ def in_window(start: Column, end: Column, at_us: int | None = None, start_us: in
     return F.when(start == end, (start >= ws) & (start < we)).otherwise((start < we) & (end > ws))
 
 
-def _bins(df: DataFrame, start: str, last: Column, width: int, name: str) -> DataFrame:
-    at = lambda c: F.floor(c / F.lit(width)).cast("long")
-    return df.withColumn(name, F.explode(F.sequence(at(F.col(start)), at(last))))
+def _level(length: Column, width: int) -> Column:
+    """How often `width` is doubled until it is a length; a span touches two bins of its own level, three at most."""
+    return F.greatest(F.lit(0), F.ceil(F.log2(length / F.lit(width)))).cast("int")
 
 
-def overlap_join(left: DataFrame, right: DataFrame, width: int, on: list[str] | None = None, l: tuple[str, str] = ("l_start", "l_end"), r: tuple[str, str] = ("r_start", "r_end")) -> DataFrame:  # noqa: E741
-    """Pairs of spans that overlap, one row each, as an equality join on time bins of `width` (plus the columns of `on`).
+def _levels(spans: DataFrame, length: Column, width: int) -> list[int]:
+    """The levels that occur: 64 numbers at most."""
+    return sorted(r[0] for r in spans.select(_level(length, width)).distinct().collect())
+
+
+def _bins(df: DataFrame, start: str, last: Column, own: Column, other: list[int], width: int, name: str) -> DataFrame:
+    """A row for each bin, struct(level, number), that a span touches on its own level and on those of `other` above it."""
+    at = lambda c, m: F.floor(c / (F.lit(width) * F.pow(F.lit(2.0), m))).cast("long")
+    levels = F.concat(F.array(own), F.filter(F.array(*[F.lit(m) for m in other]), lambda m: m > own)) if other else F.array(own)
+    every = F.flatten(F.transform(levels, lambda m: F.transform(F.sequence(at(F.col(start), m), at(last, m)), lambda b: F.struct(m.alias("m"), b.alias("b")))))
+    return df.withColumn(f"{name}_own", own).withColumn(name, F.explode(every))
 
-    Each span goes to the bins it touches; a pair is kept in the bin where its overlap starts. Column names must differ
-    between the sides but for `on`. The plan has no nested loop, whatever the sizes; long spans cost bins, so choose the
-    width near their median length."""
-    a = _bins(left.filter(F.col(l[0]) < F.col(l[1])), l[0], F.col(l[1]) - 1, width, "_bin")
-    b = _bins(right.filter(F.col(r[0]) < F.col(r[1])), r[0], F.col(r[1]) - 1, width, "_bin")
+
+def overlap_join(left: DataFrame, right: DataFrame, width: int, on: list[str] | None = None, l: tuple[str, str] = ("l_start", "l_end"), r: tuple[str, str] = ("r_start", "r_end")) -> DataFrame:  # noqa: E741
+    """Pairs of spans that overlap, one row each, as an equality join on time bins (plus the columns of `on`).
+
+    Bins have levels, each twice as wide as the one below, from `width` on; a span's own level is that of its length, so
+    long spans cost no more bins than short ones. Two spans meet on the higher of their levels, in the bin where their
+    overlap starts. Which levels occur is counted first. Column names must differ between the sides but for `on`. The plan
+    has no nested loop, whatever the sizes."""
+    left, right = left.filter(F.col(l[0]) < F.col(l[1])), right.filter(F.col(r[0]) < F.col(r[1]))
+    lengths = [F.col(x[1]) - F.col(x[0]) for x in (l, r)]
+    found = [_levels(d, n, width) for d, n in zip((left, right), lengths)]
+    a = _bins(left, l[0], F.col(l[1]) - 1, _level(lengths[0], width), found[1], width, "_bin").withColumnRenamed("_bin_own", "_l_own")
+    b = _bins(right, r[0], F.col(r[1]) - 1, _level(lengths[1], width), found[0], width, "_bin").withColumnRenamed("_bin_own", "_r_own")
     start = F.greatest(F.col(l[0]), F.col(r[0]))
+    here = F.floor(start / (F.lit(width) * F.pow(F.lit(2.0), F.col("_bin.m")))) == F.col("_bin.b")
     return (
-        a.join(b, ["_bin", *(on or [])]).filter((F.col(l[0]) < F.col(r[1])) & (F.col(r[0]) < F.col(l[1])))
-        .filter(F.floor(start / F.lit(width)) == F.col("_bin")).drop("_bin")
+        a.join(b, ["_bin", *(on or [])]).filter((F.col("_bin.m") == F.greatest("_l_own", "_r_own")) & (F.col(l[0]) < F.col(r[1])) & (F.col(r[0]) < F.col(l[1])) & here)
+        .drop("_bin", "_l_own", "_r_own")
     )
 
 
 def point_join(points: DataFrame, spans: DataFrame, width: int, point: str, span: tuple[str, str], on: list[str] | None = None) -> DataFrame:
-    """Points with the spans that hold them (start <= point < end), as an equality join on time bins."""
-    a = points.withColumn("_bin", F.floor(F.col(point) / F.lit(width)).cast("long"))
-    b = _bins(spans.filter(F.col(span[0]) < F.col(span[1])), span[0], F.col(span[1]) - 1, width, "_bin")
+    """Points with the spans that hold them (start <= point < end), as an equality join on time bins of the spans' levels."""
+    spans = spans.filter(F.col(span[0]) < F.col(span[1]))
+    length = F.col(span[1]) - F.col(span[0])
+    levels = _levels(spans, length, width) or [0]
+    a = points.withColumn("_bin", F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.floor(F.col(point) / F.lit(width * 2.0**m)).cast("long").alias("b")) for m in levels])))
+    b = _bins(spans, span[0], F.col(span[1]) - 1, _level(length, width), [], width, "_bin").drop("_bin_own")
     return a.join(b, ["_bin", *(on or [])]).filter((F.col(span[0]) <= F.col(point)) & (F.col(point) < F.col(span[1]))).drop("_bin")
 
 

@@ -82,33 +82,105 @@ def shot_spans(shots: DataFrame, key: list[str], start: str, end: str) -> DataFr
     return df.withColumn("from_us", F.max("from_us").over(upto)).withColumn("to_us", F.greatest("from_us", F.max("to_us").over(upto))).drop("_p", "_q")
 
 
-def sampling_grid(streams: DataFrame, duration: str, interval: int, least: int = 1) -> DataFrame:
-    """Add at_us: times every `interval`, closer together where fewer than `least` would fit."""
-    step = F.greatest(F.lit(1), F.least(F.lit(interval), F.expr(f"div({duration}, {least})"))).cast("long")
-    return streams.filter(F.col(duration) > 0).withColumn("at_us", F.explode(F.sequence(F.lit(0).cast("long"), F.col(duration) - 1, step)))
+#: The sampling of a recording's pictures, in microseconds and samples.
+SAMPLE_GAP_US, SAMPLE_MARGIN_US, SAMPLE_TARGET, SAMPLE_LEAST = 1_000_000, 100_000, 600, 3
+
+
+def sampling_grid(streams: DataFrame, duration: str, gap: int = SAMPLE_GAP_US, margin: int = SAMPLE_MARGIN_US, target: int = SAMPLE_TARGET, least: int = SAMPLE_LEAST) -> DataFrame:
+    """Add at_us: 0 and every `gap` up to `margin` before the end, and that last moment itself.
+
+    The gap grows where more than about `target` samples would fit; where there are fewer than `least`, as many moments in
+    the middles of equal cells are taken instead. Streams without a duration have none; a stream no longer than the margin
+    is sampled up to its end."""
+    d = F.col(duration).cast("long")
+    end = F.when(d > margin, d - margin).otherwise(d)
+    step = F.greatest(F.lit(gap).cast("long"), F.expr("div(_end, {})".format(target))) if target > 0 else F.lit(gap).cast("long")
+    times = F.concat(F.sequence(F.lit(0).cast("long"), F.col("_end") - 1, step), F.array(F.col("_end")))
+    cells = F.transform(F.sequence(F.lit(0), F.lit(max(0, least - 1))), lambda i: F.floor(F.col("_end") * (2 * i + 1) / F.lit(2 * max(1, least))).cast("long"))
+    return (
+        streams.filter(d > 0).withColumn("_end", end).withColumn("_t", times)
+        .withColumn("at_us", F.explode(F.array_distinct(F.when(F.size("_t") < least, cells).otherwise(F.col("_t"))))).drop("_end", "_t")
+    )
+
+
+#: Mean differences of neighbouring pictures. A cut settles at once, is hard, or begins a lasting transition.
+CUT, SETTLED, HARD, LASTING, LASTING_FRAMES = 0.08, 0.05, 0.30, 0.12, 3
 
 
-def visual_cuts(frames: DataFrame, key: list[str], order: str, diff: str, hard: float = 0.35, soft: float = 0.2, ahead: int = 3) -> DataFrame:
-    """Add cut: a difference of at least `hard`, or of `soft` that the next `ahead` frames keep up with half of it; of
-    neighbours over the threshold only the first counts."""
+def visual_cuts(frames: DataFrame, key: list[str], order: str, diff: str) -> DataFrame:
+    """Add transition and cut for frames with their difference from the one before (null for the first).
+
+    transition: the first of at least LASTING_FRAMES differences in a row of LASTING or more. cut: a transition, a
+    difference of HARD or more, or one of CUT or more whose next is at most SETTLED (the last frame has no next)."""
     w = Window.partitionBy(*key).orderBy(order)
-    kept = F.min(diff).over(w.rowsBetween(1, ahead))
-    over = (F.col(diff) >= hard) | ((F.col(diff) >= soft) & (F.coalesce(kept, F.lit(0.0)) >= soft / 2))
-    df = frames.withColumn("_over", over)
-    return df.withColumn("cut", F.col("_over") & ~F.coalesce(F.lag("_over").over(w), F.lit(False))).drop("_over")
-
-
-def identity_scores(a: DataFrame, b: DataFrame, k: int = 3) -> DataFrame:
-    """(track_a, track_b, mean_iou, kth_cosine): mean over common times of the best IoU, and the k-th best cosine.
-
-    a and b: track, at_us, box, embedding."""
-    x = a.select(F.col("track").alias("track_a"), "at_us", F.col("box").alias("box_a"), F.col("embedding").alias("e_a"))
-    y = b.select(F.col("track").alias("track_b"), "at_us", F.col("box").alias("box_b"), F.col("embedding").alias("e_b"))
-    pair = x.join(y, "at_us").withColumn("iou", box_iou(F.col("box_a"), F.col("box_b"))).withColumn("cos", cosine_similarity(F.col("e_a"), F.col("e_b")))
-    best = pair.groupBy("track_a", "track_b", "at_us").agg(F.max("iou").alias("iou")).groupBy("track_a", "track_b").agg(F.avg("iou").alias("mean_iou"))
-    rank = F.row_number().over(Window.partitionBy("track_a", "track_b").orderBy(F.desc("cos"), "at_us"))
-    kth = pair.withColumn("_n", rank).filter(F.col("_n") == k).select("track_a", "track_b", F.col("cos").alias("kth_cosine"))
-    return best.join(kth, ["track_a", "track_b"], "left")
+    d = F.col(diff)
+    row = F.lit(True)
+    for i in range(LASTING_FRAMES):
+        row = row & F.coalesce(F.lead(diff, i).over(w) >= LASTING, F.lit(False))
+    begins = row & (F.coalesce(F.lag(diff).over(w), F.lit(0.0)) < LASTING)
+    settles = (d >= CUT) & (F.coalesce(F.lead(diff).over(w), F.lit(1.0)) <= SETTLED)
+    return frames.withColumn("transition", begins).withColumn("cut", F.coalesce(settles | (d >= HARD), F.lit(False)) | F.col("transition"))
+
+
+#: When a track is taken for an earlier one that comes again.
+ALIKE, ALIKE_BOTH_WAYS, SAME_AREA, CONSENSUS, FRAGMENT_GAP_US = 0.90, 0.85, 0.60, 2, 1_000_000
+GROUP_GAP_US, GROUP_IOU = 1_000_000, 0.50
+
+
+def overlap_scores(pairs: DataFrame, regions: DataFrame) -> DataFrame:
+    """pairs (before, after, overlap_start_us) with overlap: at each region of `after` from overlap_start_us on, the best
+    IoU with a region of `before` of the same time; their mean where positive, 0 if none is.
+
+    regions: track, region_no, at_us, box."""
+    y = regions.select(F.col("track").alias("after"), "region_no", "at_us", F.col("box").alias("box_y"))
+    x = regions.select(F.col("track").alias("before"), "at_us", F.col("box").alias("box_x"))
+    hit = pairs.join(y, "after").filter("at_us >= overlap_start_us").join(x, ["before", "at_us"]).withColumn("iou", box_iou(F.col("box_x"), F.col("box_y")))
+    best = hit.groupBy("before", "after", "overlap_start_us", "region_no").agg(F.max("iou").alias("iou")).filter("iou > 0")
+    mean = best.groupBy("before", "after", "overlap_start_us").agg(F.avg("iou").alias("overlap"))
+    return pairs.join(mean, ["before", "after", "overlap_start_us"], "left").fillna(0.0, ["overlap"])
+
+
+def appearance_scores(pairs: DataFrame, regions: DataFrame, k: int = CONSENSUS) -> DataFrame:
+    """pairs (before, after) with appearance: over the regions of `after`, the greatest k-th best cosine with those of
+    `before`; -1 where no region of `after` has k to compare with.
+
+    regions: track, region_no, source, category (negative: unknown), embedding. Only regions that a detector found and that
+    have an embedding count; of two known categories only equal ones are compared."""
+    found = regions.filter(F.col("source").contains("detector") & (F.size("embedding") > 0))
+    y = found.select(F.col("track").alias("after"), F.col("region_no").alias("y_no"), F.col("category").alias("y_cat"), F.col("embedding").alias("e_y"))
+    x = found.select(F.col("track").alias("before"), F.col("region_no").alias("x_no"), F.col("category").alias("x_cat"), F.col("embedding").alias("e_x"))
+    both = pairs.select("before", "after").distinct().join(y, "after").join(x, "before").filter("x_cat < 0 or y_cat < 0 or x_cat = y_cat")
+    both = both.withColumn("cos", F.coalesce(F.when(F.size("e_x") == F.size("e_y"), cosine_similarity(F.col("e_x"), F.col("e_y"))), F.lit(-1.0)))
+    rank = F.row_number().over(Window.partitionBy("before", "after", "y_no").orderBy(F.desc("cos"), "x_no"))
+    kth = both.withColumn("_n", rank).filter(F.col("_n") == k).groupBy("before", "after").agg(F.max("cos").alias("appearance"))
+    return pairs.join(kth, ["before", "after"], "left").fillna(-1.0, ["appearance"])
+
+
+def identity_scores(pairs: DataFrame, regions: DataFrame) -> DataFrame:
+    """pairs (before, after, overlap_start_us) with overlap, reacquired and group: scores by which `after` is taken for
+    `before`; -1 where a rule does not hold.
+
+    reacquired: the appearance, where mean areas are alike by SAME_AREA. It must reach ALIKE; with a gap of FRAGMENT_GAP_US
+    or more between the tracks, the lesser of the appearances in both directions must reach ALIKE_BOTH_WAYS instead. group:
+    the IoU of the last box before and the first one after, of tracks of motion groups only, at most GROUP_GAP_US
+    apart, from GROUP_IOU on. regions: track, region_no, at_us, box, area, source, category, embedding."""
+    at = F.struct("at_us", "region_no")
+    ends = regions.groupBy("track").agg(
+        F.avg("area").alias("area"), F.min("at_us").alias("first_us"), F.max("at_us").alias("last_us"), F.min_by("box", at).alias("first_box"), F.max_by("box", at).alias("last_box"),
+        F.every(F.coalesce(F.col("source") == "motion_group", F.lit(False))).alias("moving"),
+    )
+    side = lambda name: ends.select(F.col("track").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ends.columns if c != "track"])
+    flipped = appearance_scores(pairs.select(F.col("after").alias("before"), F.col("before").alias("after")).distinct(), regions)
+    flipped = flipped.select(F.col("after").alias("before"), F.col("before").alias("after"), F.col("appearance").alias("back"))
+    p = appearance_scores(overlap_scores(pairs, regions), regions).join(flipped, ["before", "after"]).join(side("before"), "before").join(side("after"), "after")
+    gap = F.col("after_first_us") - F.col("before_last_us")
+    larger = F.greatest("before_area", "after_area")
+    same_area = F.when(larger > 0, F.least("before_area", "after_area") / larger).otherwise(0.0) >= SAME_AREA
+    least = F.least("appearance", "back")
+    again = F.when(~same_area, -1.0).when(F.col("appearance") >= ALIKE, F.col("appearance")).when((gap >= FRAGMENT_GAP_US) & (least >= ALIKE_BOTH_WAYS), least).otherwise(-1.0)
+    iou = box_iou(F.col("before_last_box"), F.col("after_first_box"))
+    group = F.when(F.col("before_moving") & F.col("after_moving") & (gap > 0) & (gap <= GROUP_GAP_US) & (iou >= GROUP_IOU), iou).otherwise(-1.0)
+    return p.select("before", "after", "overlap_start_us", "overlap", again.alias("reacquired"), group.alias("group"))
 
 
 def rewrite_frames(catalog: DataFrame, existing: DataFrame, key: str = "frame_id") -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.geometry import cosine_similarity
 from ..functions.text import longest_common_run
 from .intervals import overlap_join, union_length
 
@@ -45,7 +46,8 @@ def assign_speakers(words: DataFrame, segments: DataFrame, key: list[str] | None
 
 
 def ends_utterance(text: Column) -> Column:
-    return F.coalesce(text.rlike(r"[.?!]\s*$"), F.lit(False))
+    """Is the last character a full stop, a question mark or an exclamation mark? White space after it counts as another."""
+    return F.coalesce(F.right(text, F.lit(1)).isin(".", "?", "!"), F.lit(False))
 
 
 def utterances(words: DataFrame, key: list[str]) -> DataFrame:
@@ -62,8 +64,10 @@ def dominant_speaker(segments: DataFrame, key: list[str]) -> DataFrame:
 
 
 def expand_sustained_speakers(words: DataFrame, segments: DataFrame, key: list[str]) -> DataFrame:
-    """Utterances in which another than the dominant speaker has at least 8 words, and no equal, become that speaker's."""
-    u = utterances(words, key).join(dominant_speaker(segments, key), key)
+    """Utterances in which another than the dominant speaker has at least 8 words, and no equal, become that speaker's.
+
+    Words of a stream without a dominant speaker (no segments, or none of a positive length) stay as they are."""
+    u = utterances(words, key).join(dominant_speaker(segments, key), key, "left")
     votes = u.filter("speaker_id <> 'speaker_unknown' and speaker_id <> dominant").groupBy(*key, "utterance", "speaker_id").agg(F.count("*").alias("n")).filter(F.col("n") >= EXPANSION_WORDS)
     top = votes.groupBy(*key, "utterance").agg(F.max("n").alias("n"), F.max_by("speaker_id", "n").alias("winner"), F.collect_list("n").alias("all"))
     top = top.filter(F.size(F.filter("all", lambda x: x == F.col("n"))) == 1).select(*key, "utterance", "winner")
@@ -113,7 +117,7 @@ def decode_speakers(words: DataFrame, speakers: int, key: str = "stream") -> Dat
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         p = pdf.sort_values("word_no")
         sims = np.array([s if s is not None and len(s) == speakers else [-1.0] * speakers for s in p["similarity"]], float).reshape(-1, speakers)
-        closes = p["text"].fillna("").str.contains(r"[.?!]$", regex=True).tolist()
+        closes = p["text"].fillna("").str[-1:].isin([".", "?", "!"]).tolist()
         path = viterbi_speakers(p["segment_speaker"].astype(int).tolist(), sims, p["start_us"].tolist(), p["end_us"].tolist(), closes, speakers)
         return pd.DataFrame({key: p[key], "word_no": p["word_no"], "decoded": path})
 
@@ -133,76 +137,121 @@ def smooth_islands(words: DataFrame, key: list[str], most_words: int = 2) -> Dat
     return runs.join(fix, [*key, "_run"], "left").withColumn("speaker_id", F.coalesce("_to", "speaker_id")).drop("_new", "_run", "_to")
 
 
+#: Fixed value: consecutive tokens that two chunks must share to be joined at them.
 ANCHOR_TOKENS = 4
 
 
-def reconcile_chunks(words: DataFrame, key: str = "stream") -> DataFrame:
-    """Words of overlapping chunks as one sequence: at each seam the longest common run of at least 4 tokens is kept once,
-    without one words are cut at the middle of the overlap.
-
-    words: key, chunk, word_no, token, start_us, end_us. The fold over a stream's chunks is sequential, a stream a group."""
+def token_key(text: str) -> str:
+    """Letters and digits of the ASCII range in lower case."""
+    return "".join(c for c in text.lower() if c.isascii() and c.isalnum())
+
+
+def join_chunk(done: list[dict], chunk: int, words: list[dict], overlap_end: int) -> None:
+    """Append a chunk's words to those of the chunks before it.
+
+    If the last word stems from the chunk before, the longest run of equal tokens of that chunk's words and of the new words
+    that start before `overlap_end` is looked for. A run of ANCHOR_TOKENS or more is the anchor: new words are taken from
+    its end on, and if both copies of it overlap in time, the chunk before keeps nothing after its own copy. Without an
+    anchor, new words are taken from the first one that starts at or after the end of the last word. The chunk before
+    then loses words that start at or after the first new one, and its last word ends there at the latest. A chunk that
+    has nothing to add changes nothing."""
+    if not done:
+        done += words
+        return
+    anchor, tail = (0, 0, 0), len(done)
+    if done[-1]["chunk"] == chunk - 1:
+        while tail and done[tail - 1]["chunk"] == chunk - 1:
+            tail -= 1
+        early = [w for w in words if w["start_us"] < overlap_end]
+        anchor = longest_common_run([token_key(w["token"]) for w in done[tail:]], [token_key(w["token"]) for w in early])
+    mine, theirs, length = anchor
+    keep = len(done)
+    if length >= ANCHOR_TOKENS:
+        first, after = tail + mine, theirs + length
+        if done[first + length - 1]["end_us"] > words[theirs]["start_us"] and words[after - 1]["end_us"] > done[first]["start_us"]:
+            keep = first + length
+    else:
+        after = next((i for i, w in enumerate(words) if w["start_us"] >= done[-1]["end_us"]), len(words))
+    if after >= len(words):
+        return
+    seam = words[after]["start_us"]
+    while keep and done[keep - 1]["start_us"] >= seam:
+        keep -= 1
+    del done[keep:]
+    if done and done[-1]["end_us"] > seam:
+        done[-1]["end_us"] = seam
+    done += words[after:]
+
+
+def reconcile_chunks(words: DataFrame, chunks: DataFrame, key: str = "stream") -> DataFrame:
+    """(key, position, token, start_us, end_us, chunk): words of overlapping chunks as one sequence; see `join_chunk`.
+
+    words: key, chunk (ordinals), word_no, token, start_us, end_us from the chunk's start; those without a length are left
+    out. chunks: key, chunk, chunk_start_us, overlap_before_us. The fold over a stream's chunks is sequential, a stream a
+    group, so a worker holds the words of one recording."""
+    kind = words.schema[key].dataType.simpleString()
+    timed = words.filter("end_us > start_us").join(chunks.select(key, "chunk", "chunk_start_us", "overlap_before_us"), [key, "chunk"])
+    slim = timed.select(
+        key, "chunk", "word_no", "token", (F.col("start_us") + F.col("chunk_start_us")).alias("start_us"), (F.col("end_us") + F.col("chunk_start_us")).alias("end_us"),
+        (F.col("chunk_start_us") + F.col("overlap_before_us")).alias("overlap_end"),
+    )
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        out: list = []
-        for _, chunk in pdf.sort_values(["chunk", "word_no"]).groupby("chunk", sort=True):
-            rows = list(chunk.itertuples(index=False))
-            if out and rows:
-                lead, until = rows[0].start_us, out[-1].end_us
-                tail = [i for i, r in enumerate(out) if r.end_us > lead]
-                head = [i for i, r in enumerate(rows) if r.start_us < until]
-                i, j, n = longest_common_run([out[t].token for t in tail], [rows[h].token for h in head])
-                if n >= ANCHOR_TOKENS:
-                    out, rows = out[: tail[0] + i], rows[j:]
-                elif tail and head:
-                    seam = (lead + until) / 2
-                    out = [r for r in out if (r.start_us + r.end_us) / 2 < seam]
-                    rows = [r for r in rows if (r.start_us + r.end_us) / 2 >= seam]
-            out += rows
-        return pd.DataFrame({key: [r[list(pdf.columns).index(key)] for r in out], "position": range(len(out)), "token": [r.token for r in out], "start_us": [r.start_us for r in out], "end_us": [r.end_us for r in out]})
+        done: list[dict] = []
+        for chunk, rows in pdf.sort_values(["chunk", "word_no"]).groupby("chunk", sort=True):
+            fresh = [{"token": t or "", "start_us": int(s), "end_us": int(e), "chunk": int(chunk)} for t, s, e in zip(rows["token"], rows["start_us"], rows["end_us"])]
+            join_chunk(done, int(chunk), fresh, int(rows["overlap_end"].iloc[0]))
+        out = pd.DataFrame(done, columns=["token", "start_us", "end_us", "chunk"])
+        out.insert(0, "position", range(len(out)))
+        out.insert(0, key, pdf[key].iloc[0])
+        return out
 
-    kind = words.schema[key].dataType.simpleString()
-    return words.groupBy(key).applyInPandas(one, f"{key} {kind}, position long, token string, start_us long, end_us long")
+    return slim.groupBy(key).applyInPandas(one, f"{key} {kind}, position long, token string, start_us long, end_us long, chunk long")
+
+
+#: The least similarity at which clusters join, and the least drop of similarity at which joining stops early.
+FLOOR, GAP = 0.14, 0.10
 
 
-def cluster_observations(x: np.ndarray, cannot: set[tuple[int, int]] = frozenset(), floor: float = 0.14, gap: float = 0.10) -> list[int]:
-    """Average-link agglomeration of unit vectors by cosine distance with cannot-links; cut at the largest step of merge
-    distances if that is at least `gap`, and never below `floor`. Labels follow the first member."""
+def cluster_observations(x: np.ndarray, start: list | None = None, cannot: set[tuple[int, int]] = frozenset()) -> list[int]:
+    """A cluster for each voice observation: average-link clustering by cosine similarity.
+
+    The two clusters of greatest mean similarity join, the first of equals, as long as it is FLOOR or more and no pair of
+    them is in `cannot`. If similarity drops by GAP or more from one joining to the next, the joinings after the greatest
+    drop are undone. Vectors without a component beyond 1e-6 have no similarity to any other. Clusters are numbered by
+    their earliest `start` (by their first member where none is given)."""
     n = len(x)
-    if n == 0:
-        return []
-    u = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    d = 1 - u @ u.T
-    block = np.zeros((n, n), bool)
+    signal = np.abs(x).max(1) > 1e-6 if n else np.zeros(0, bool)
+    unit = np.where(signal[:, None], x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12), 0.0) if n else x
+    total, pairs = unit @ unit.T if n else np.zeros((0, 0)), np.outer(signal, signal).astype(float)
+    barred = np.zeros((n, n), bool)
     for a, b in cannot:
-        block[a, b] = block[b, a] = True
-
-    def merges(stop: float):
-        groups = [[i] for i in range(n)]
-        steps = []
-        while len(groups) > 1:
-            best = (np.inf, -1, -1)
-            for i in range(len(groups)):
-                for j in range(i + 1, len(groups)):
-                    if not block[np.ix_(groups[i], groups[j])].any():
-                        v = d[np.ix_(groups[i], groups[j])].mean()
-                        if v < best[0] - 1e-12:
-                            best = (v, i, j)
-            if best[1] < 0 or best[0] > stop:
-                break
-            steps.append(best[0])
-            groups[best[1]] += groups.pop(best[2])
-        return groups, steps
-
-    _, steps = merges(np.inf)
-    cut = floor
-    if len(steps) > 1:
-        jump = np.diff(steps)
-        k = int(jump.argmax())
-        if jump[k] >= gap:
-            cut = max(floor, steps[k])
-    groups, _ = merges(cut + 1e-12)
-    label = {i: g for g, members in enumerate(sorted(groups, key=min)) for i in members}
-    return [label[i] for i in range(n)]
+        barred[a, b] = barred[b, a] = True
+    later = np.triu(np.ones((n, n), bool), 1)  # each pair of clusters once, the earlier one as the row
+    joined: list[tuple[int, int, float]] = []
+    while True:
+        mean = np.where(later & ~barred & (pairs > 0), total / np.maximum(pairs, 1.0), -2.0)
+        at = int(mean.argmax()) if n else 0
+        if not n or mean.flat[at] < FLOOR:
+            break
+        a, b = divmod(at, n)
+        joined.append((a, b, float(mean.flat[at])))
+        for m in (total, pairs):
+            m[a] += m[b]
+            m[:, a] += m[:, b]
+        barred[a] |= barred[b]
+        barred[:, a] |= barred[:, b]
+        later[b] = later[:, b] = False
+    if len(joined) > 1:
+        drop = -np.diff([s for _, _, s in joined])
+        if drop.max() >= GAP:
+            joined = joined[: int(drop.argmax()) + 1]
+    into = list(range(n))
+    for a, b, _ in joined:
+        into = [a if i == b else i for i in into]
+    first = {c: min((start[i] if start is not None else i, i) for i in range(n) if into[i] == c) for c in set(into)}
+    rank = {c: k for k, c in enumerate(sorted(first, key=first.get))}
+    return [rank[c] for c in into]
 
 
 def speaker_count(x: np.ndarray, cannot: set[tuple[int, int]] = frozenset()) -> int:
@@ -231,11 +280,14 @@ def speaker_count(x: np.ndarray, cannot: set[tuple[int, int]] = frozenset()) ->
 
 
 def cluster_streams(observations: DataFrame, key: str = "stream") -> DataFrame:
-    """(key, obs_no, cluster) for each stream's voice observations (key, obs_no, embedding); a stream is one group."""
+    """(key, obs_no, cluster) for each stream's voice observations (key, obs_no, embedding; start_us, if there is one).
+
+    A stream is one group: its similarity matrix must fit a worker, which holds for the observations of one recording."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         p = pdf.sort_values("obs_no")
-        return pd.DataFrame({key: p[key], "obs_no": p["obs_no"], "cluster": cluster_observations(np.array(p["embedding"].tolist(), float))})
+        start = p["start_us"].tolist() if "start_us" in p else None
+        return pd.DataFrame({key: p[key], "obs_no": p["obs_no"], "cluster": cluster_observations(np.array(p["embedding"].tolist(), float), start)})
 
     kind = observations.schema[key].dataType.simpleString()
     return observations.groupBy(key).applyInPandas(one, f"{key} {kind}, obs_no long, cluster int")
@@ -248,6 +300,74 @@ def speaker_shares(segments: DataFrame, key: list[str], dominant: float = 0.95)
     return us.withColumn("share", F.col("us") / F.sum("us").over(total)).withColumn("collapse", F.max("share").over(total) >= dominant)
 
 
+def collapse_dominant(segments: DataFrame, key: list[str]) -> DataFrame:
+    """segments (key, speaker as number, start_us, end_us) where one speaker with 0.95 of all speech or more takes all."""
+    share = speaker_shares(segments.select(*key, F.col("speaker").alias("speaker_id"), "start_us", F.greatest("start_us", "end_us").alias("end_us")), key)
+    all_ = share.groupBy(*key).agg(F.max("collapse").alias("_c"), F.count("*").alias("_n"))
+    one = F.coalesce(F.col("_c") & (F.col("_n") > 1), F.lit(False))
+    return segments.join(all_, key, "left").withColumn("speaker", F.when(one, F.lit(0)).otherwise(F.col("speaker"))).drop("_c", "_n")
+
+
+#: Speakers and observations needed, shares of two large tracks, and the most that they may overlap.
+STITCH_SPEAKERS, STITCH_OBSERVATIONS, STITCH_BOTH, STITCH_EACH, STITCH_OVERLAP = 8, 8, 0.70, 0.15, 0.01
+
+
+def stitch_tracks(segments: DataFrame, observations: DataFrame, key: list[str]) -> DataFrame:
+    """segments (key, speaker, start_us, end_us) where the two speakers with most time become one, if they never really
+    speak together: both have 0.15 of all speech, together 0.70, and overlap in 0.01 of the shorter one's at most. Only
+    where a stream has 8 speakers and 8 observations (key, observations); the higher number goes, those above move down."""
+    live = segments.filter("end_us > start_us")
+    us = live.groupBy(*key, "speaker").agg(F.sum(F.col("end_us") - F.col("start_us")).alias("us"))
+    top = us.groupBy(*key).agg(
+        F.sum("us").alias("all_us"), F.sort_array(F.collect_list(F.struct((-F.col("us")).alias("m"), F.col("speaker").alias("s")))).alias("t")
+    )  # one entry a speaker
+    numbers = segments.groupBy(*key).agg((F.max("speaker") + 1).alias("speakers"))
+    top = top.join(numbers, key).join(observations.select(*key, "observations"), key)
+    top = top.filter((F.col("speakers") >= STITCH_SPEAKERS) & (F.col("observations") >= STITCH_OBSERVATIONS) & (F.size("t") >= 2))
+    top = top.select(*key, "all_us", *[F.get("t", F.lit(i))["s"].alias(f"s{i}") for i in (0, 1)], *[(-F.get("t", F.lit(i))["m"]).alias(f"u{i}") for i in (0, 1)])
+    top = top.filter((F.col("u1") >= STITCH_EACH * F.col("all_us")) & (F.col("u0") + F.col("u1") >= STITCH_BOTH * F.col("all_us")))
+    mine = live.join(top, key)
+    a = mine.filter("speaker = s0").select(*key, F.col("start_us").alias("l_start"), F.col("end_us").alias("l_end"))
+    b = mine.filter("speaker = s1").select(*key, F.col("start_us").alias("r_start"), F.col("end_us").alias("r_end"))
+    both = overlap_join(a, b, BIN, key).groupBy(*key).agg(F.sum(F.least("l_end", "r_end") - F.greatest("l_start", "r_start")).alias("both"))
+    pair = top.join(both, key, "left").filter(F.coalesce("both", F.lit(0)) <= STITCH_OVERLAP * F.col("u1")).select(*key, F.least("s0", "s1").alias("keep"), F.greatest("s0", "s1").alias("gone"))
+    to = F.when(F.col("speaker") == F.col("gone"), F.col("keep")).when(F.col("speaker") > F.col("gone"), F.col("speaker") - 1).otherwise(F.col("speaker"))
+    return segments.join(pair, key, "left").withColumn("speaker", to).drop("keep", "gone")
+
+
+#: When many small tracks beside a dominant one are taken for one voice.
+FRAGMENT_SPEAKERS, FRAGMENT_OBSERVATIONS, FRAGMENT_ALIKE = 5, 8, 0.80
+FRAGMENT_DOMINANT, FRAGMENT_OTHERS, FRAGMENT_LARGEST = (0.75, 0.90), 0.08, 0.15
+
+
+def collapse_fragments(segments: DataFrame, voices: DataFrame, observations: DataFrame, key: list[str]) -> DataFrame:
+    """segments (key, speaker, start_us, end_us) where all speakers beside a dominant one become one voice: the dominant one
+    has 0.75 to 0.90 of all speech, the others 0.08 together and 0.15 each at most, and the voices (key, speaker,
+    embedding) of the largest two are alike by 0.80. Only where a stream has 5 speakers and 8 observations. Of the two
+    that are left, the one that starts first is 0."""
+    span = segments.filter("speaker >= 0").groupBy(*key, "speaker").agg(
+        F.sum(F.greatest(F.lit(0), F.col("end_us") - F.col("start_us"))).alias("us"), F.min("start_us").alias("first")
+    )
+    order = Window.partitionBy(*key).orderBy(F.desc("us"), "speaker")
+    ranked = span.withColumn("rank", F.row_number().over(order))
+    e = lambda i: F.max(F.when(F.col("rank") == i, F.col("embedding")))
+    of = lambda i, c: F.max(F.when(F.col("rank") == i, F.col(c)))
+    stat = ranked.join(voices.select(*key, "speaker", "embedding"), [*key, "speaker"], "left").groupBy(*key).agg(
+        F.sum("us").alias("all_us"), (F.max("speaker") + 1).alias("speakers"), of(1, "us").alias("dominant_us"), of(2, "us").alias("largest_us"), of(1, "speaker").alias("dominant"),
+        of(1, "first").alias("begins"), F.min(F.when(F.col("rank") > 1, F.col("first"))).alias("others_begin"), of(3, "us").alias("second_us"), e(2).alias("v2"), e(3).alias("v3"),
+    )
+    share = lambda c: F.col(c) / F.col("all_us")
+    signal = lambda v: F.coalesce(F.exists(v, lambda z: F.abs(z) > 1e-6), F.lit(False))
+    alike = F.when(F.coalesce("second_us", F.lit(0)) <= 0, F.lit(True)).otherwise(signal("v2") & signal("v3") & (cosine_similarity(F.col("v2"), F.col("v3")) >= FRAGMENT_ALIKE))
+    hit = stat.join(observations.select(*key, "observations"), key).filter(
+        (F.col("speakers") >= FRAGMENT_SPEAKERS) & (F.col("observations") >= FRAGMENT_OBSERVATIONS) & (F.col("largest_us") > 0) & share("dominant_us").between(*FRAGMENT_DOMINANT)
+        & (1 - share("dominant_us") >= FRAGMENT_OTHERS) & (share("largest_us") <= FRAGMENT_LARGEST) & alike
+    ).select(*key, "dominant", (F.col("begins") <= F.col("others_begin")).alias("leads"))
+    own = F.when(F.col("speaker") == F.col("dominant"), F.col("leads")).otherwise(~F.col("leads"))
+    to = F.when(F.col("dominant").isNull() | (F.col("speaker") < 0), F.col("speaker")).otherwise(F.when(own, 0).otherwise(1))
+    return segments.join(hit, key, "left").withColumn("speaker", to).drop("dominant", "leads")
+
+
 def word_records(words: DataFrame, key: list[str]) -> DataFrame:
     """Words numbered by start within their stream, with ids."""
     n = F.row_number().over(Window.partitionBy(*key).orderBy("start_us", "end_us", "word_no"))

@@ -62,36 +62,24 @@ def bad_bands(bands: Column, n: int = 10) -> Column:
     return (F.size(bands) != n) | F.exists(bands, lambda v: F.coalesce(F.isnan(v) | (F.abs(v) == float("inf")), F.lit(False)))
 
 
-#: Keywords of the schema subset as predicates on a field's Column.
 def schema_findings(rows: DataFrame, schema: dict, key: Column, code: str = "ERR_SCHEMA") -> DataFrame:
-    """Rows against a flat schema: required names, and for properties type, enum, minimum, maximum, pattern, minItems, maxItems."""
-    out = None
+    """Rows against a flat schema: required names, and for properties type, enum, minimum, maximum, pattern, minItems,
+    maxItems. All rules are looked at in one pass over the rows."""
     kinds = {"string": "string", "integer": "bigint", "number": "double", "boolean": "boolean"}
-
-    def add(bad: Column, what: str):
-        nonlocal out
-        one = check(rows, bad, code, "error", key, what)
-        out = one if out is None else out.unionByName(one)
-
-    for name in schema.get("required", []):
-        add(F.col(name).isNull(), f"{name} is missing")
+    rules: list[tuple[Column, str]] = [(F.col(name).isNull(), f"{name} is missing") for name in schema.get("required", [])]
     for name, rule in schema.get("properties", {}).items():
         c = F.col(name)
         if rule.get("type") in kinds:
-            add(c.isNotNull() & c.try_cast(kinds[rule["type"]]).isNull(), f"{name} is no {rule['type']}")
-        if "enum" in rule:
-            add(~c.isin(*rule["enum"]), f"{name} is not listed")
-        if "minimum" in rule:
-            add(c < rule["minimum"], f"{name} is too small")
-        if "maximum" in rule:
-            add(c > rule["maximum"], f"{name} is too large")
-        if "pattern" in rule:
-            add(~c.rlike(rule["pattern"]), f"{name} does not match")
-        if "minItems" in rule:
-            add(F.size(c) < rule["minItems"], f"{name} has too few items")
-        if "maxItems" in rule:
-            add(F.size(c) > rule["maxItems"], f"{name} has too many items")
-    return out
+            rules.append((c.isNotNull() & c.try_cast(kinds[rule["type"]]).isNull(), f"{name} is no {rule['type']}"))
+        for word, bad, what in (
+            ("enum", lambda v: ~c.isin(*v), "is not listed"), ("minimum", lambda v: c < v, "is too small"), ("maximum", lambda v: c > v, "is too large"),
+            ("pattern", lambda v: ~c.rlike(v), "does not match"), ("minItems", lambda v: F.size(c) < v, "has too few items"), ("maxItems", lambda v: F.size(c) > v, "has too many items"),
+        ):
+            if word in rule:
+                rules.append((bad(rule[word]), f"{name} {what}"))
+    found = F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.lit(what)) for bad, what in rules]) if rules else F.array().cast("array<string>"))
+    broken = rows.select(key.cast("string").alias("key"), F.explode(found).alias("message"))
+    return broken.select(F.lit(code).alias("code"), F.lit("error").alias("severity"), "key", "message")
 
 
 def status(all_findings: DataFrame, core: tuple[str, ...] = ()) -> DataFrame:

@@ -42,7 +42,9 @@ def test_numbers():
 
 
 def test_token_matches(spark):
-    assert text.longest_common_run(list("abxcd"), list("zabycd")) == (5, 6, 2)
+    assert text.longest_common_run(list("abxcd"), list("zabycd")) == (3, 4, 2)  # of equals, the one that ends last in b
+    assert text.longest_common_run(list("abxab"), list("ab")) == (0, 0, 2)  # and then first in a
+    assert text.longest_common_run(["", "a"], ["", "a"]) == (1, 1, 1) and text.longest_common_run([], ["a"]) == (0, 0, 0)
     assert len(text.common_subsequence(list("ABCBDAB"), list("BDCABA"))) == 4
     assert one(spark, [(["a", "b", "c"], ["b", "c", "d"])], "a array<string>, b array<string>", text.token_lcs("a", "b")) == [(2,)]
     vocab = {k: i for i, k in enumerate("[CLS] [SEP] [UNK] un ##aff ##able ,".split())}
