@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..sources.catalog import REFERENCE_RULES
 from .lineage import settled
 
 
 def _lookup(owner: DataFrame, key: str, order: str | None, fields: list[str]) -> DataFrame:
-    """One row for each id, the first in file order."""
+    """One row for each id: the first in file order, or where no order is given the least by its fields."""
     df = owner.filter(F.coalesce(F.col(key).cast("string"), F.lit("")) != "")
-    pick = F.min_by(F.struct(*fields), order) if order else F.first(F.struct(*fields))
+    pick = F.min_by(F.struct(*fields), order) if order else F.min(F.struct(*fields))
     return df.groupBy(F.col(key).alias("_k")).agg(pick.alias("_o"))
 
 
@@ -29,6 +30,45 @@ def resolve_list(rows: DataFrame, row_key: str, column: str, owner: DataFrame, k
     return rows.join(lists, row_key, "left")
 
 
+def resolve_records(lines: DataFrame, files: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(package, entry, line_no, member, position, ref, found, frame_index, pts_us, file, block_offset, block_ordinal,
+    decoded_file, decoded_offset, decoded_length): one row for each reference that the 15 rules name, in lists with its place.
+
+    lines: package, entry, line_no, v, malformed of all layers. Frames and crops are looked up by id, the first record of an
+    id being the one that counts; crops and entry paths in files (package, entry, file), the exported files but for block
+    streams; blocks by file and offset in blocks (package, block_file, block_offset, block_ordinal, decoded_file,
+    decoded_offset, decoded_length). A member of another type than its rule's is passed over, as is a list with anything but
+    texts in it; what is not there has found false."""
+    spark = lines.sparkSession
+    good = lines.filter(~F.col("malformed"))
+    rules = spark.createDataFrame([(*r,) for r in REFERENCE_RULES], "entry string, member string, kind string")  # 15 rows
+    value = F.try_variant_get("v", F.concat(F.lit("$."), F.col("member")), "variant")
+    shape = F.schema_of_variant(value)
+    one = F.when((shape == "STRING") & ~F.col("kind").endswith("_list"), F.array(F.try_variant_get(value, "$", "string")))
+    many = F.when(shape.isin("ARRAY<STRING>", "ARRAY<VOID>") & F.col("kind").endswith("_list"), F.try_variant_get(value, "$", "array<string>"))
+    many = F.when(F.forall(many, lambda x: x.isNotNull()), many)
+    offset = F.when(F.schema_of_variant(F.try_variant_get("v", "$.block_offset", "variant")) == "BIGINT", F.try_variant_get("v", "$.block_offset", "bigint"))
+    refs = good.join(F.broadcast(rules), "entry").select("package", "entry", "line_no", "member", "kind", offset.alias("block_offset"), F.posexplode(F.coalesce(one, many)).alias("position", "ref"))
+    refs = refs.withColumn("position", F.when(F.col("kind").endswith("_list"), F.col("position"))).withColumn("block_offset", F.when(F.col("kind") == "block", F.col("block_offset")))
+
+    def records(entry: str, key: str, *fields: str) -> DataFrame:
+        text = lambda f: F.when(F.schema_of_variant(F.try_variant_get("v", f"$.{f}", "variant")) == "STRING", F.try_variant_get("v", f"$.{f}", "string"))
+        df = good.filter(F.col("entry") == entry).select("package", "line_no", text(key).alias("ref"), *[F.to_json(F.try_variant_get("v", f"$.{f}", "variant")).alias(f) if f != "crop_file_path" else text(f).alias(f) for f in fields])
+        return df.filter("ref is not null").groupBy("package", "ref").agg(F.min_by(F.struct(*fields), "line_no").alias("r"))
+
+    frames = records("timeline/frames.jsonl", "id", "frame_index", "pts_us").select("package", F.col("ref").alias("f_ref"), F.col("r.frame_index").alias("frame_index"), F.col("r.pts_us").alias("pts_us"), F.lit(True).alias("is_frame"))
+    crops = records("text/evidence_crops.jsonl", "crop_id", "crop_file_path").select("package", F.col("ref").alias("c_ref"), F.col("r.crop_file_path").alias("crop_path"), F.lit(True).alias("is_crop"))
+    held = files.select("package", F.col("entry").alias("path"), "file").dropDuplicates(["package", "path"])
+    key = lambda prefix: F.when(F.col("kind").startswith(prefix), F.col("ref"))
+    out = refs.withColumn("f_ref", key("frame")).withColumn("c_ref", key("crop")).withColumn("block_file", key("block"))
+    out = out.join(frames, ["package", "f_ref"], "left").join(crops, ["package", "c_ref"], "left")
+    out = out.withColumn("path", F.coalesce(key("entry_path"), F.col("crop_path"))).join(held, ["package", "path"], "left").join(blocks, ["package", "block_file", "block_offset"], "left")
+    found = F.when(F.col("kind").startswith("frame"), F.col("is_frame")).when(F.col("kind").startswith("crop"), F.col("is_crop")).when(F.col("kind") == "entry_path", F.col("file").isNotNull()).otherwise(F.col("block_ordinal").isNotNull())
+    return out.select(
+        "package", "entry", "line_no", "member", "position", "ref", F.coalesce(found, F.lit(False)).alias("found"), "frame_index", "pts_us", "file", "block_offset", "block_ordinal", "decoded_file", "decoded_offset", "decoded_length"
+    )
+
+
 #: Fixed value: the member that exported records carry.
 MEMBER = "svp_export"
 

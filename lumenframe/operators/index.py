@@ -7,15 +7,26 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.geometry import dot
 from .search import relationship_class
 
-#: Tables of the index and the columns of each; the first names the primary key.
+#: Tables of the index and the columns of each; the first is the primary key.
 TABLES = {
-    "svp_meta": "key value", "text_regions": "text_region_id observation_type start_us end_us shot_id scene_id confidence", "text_observations": "text_observation_id text_region_id raw_text normalized_text layout_class confidence",
-    "text_fts": "text_observation_id normalized_text start_us end_us", "numeric_values": "numeric_value_id text_observation_id text_region_id raw_text numeric_value number_kind unit",
-    "color_observations": "color_observation_id target_type target_id start_us end_us dominant_bucket coverage_total", "color_bucket_coverage": "color_observation_id bucket coverage",
-    "color_targets": "target_id target_type observations", "entities": "id entity_type first_seen_us last_seen_us", "entity_tracks": "id entity_id start_us end_us region_count",
-    "spatial_regions": "id entity_id track_id frame_id pts_us", "spatial_masks": "id region_id frame_id width height", "relationships": "id type relationship_class source_id target_id start_us end_us confidence",
-    "vector_index": "id embedding_set_id input_ref input_kind embedding", "objects": "id kind entry summary", "temporal_spans": "id kind start_us end_us", "binary_blocks": "block_id block_file block_offset block_length",
-}
+    "svp_meta": ("key", "value"),
+    "text_regions": ("text_region_id", "observation_type", "start_us", "end_us", "shot_id", "scene_id", "confidence"),
+    "text_observations": ("text_observation_id", "text_region_id", "raw_text", "normalized_text", "layout_class", "confidence"),
+    "text_fts": ("text_observation_id", "normalized_text", "start_us", "end_us"),
+    "numeric_values": ("numeric_value_id", "text_observation_id", "text_region_id", "raw_text", "numeric_value", "number_kind", "unit"),
+    "color_observations": ("color_observation_id", "target_type", "target_id", "start_us", "end_us", "dominant_bucket", "coverage_total"),
+    "color_bucket_coverage": ("color_observation_id", "bucket", "coverage"),
+    "color_targets": ("target_id", "target_type", "observations"),
+    "entities": ("id", "entity_type", "first_seen_us", "last_seen_us"),
+    "entity_tracks": ("id", "entity_id", "start_us", "end_us", "region_count"),
+    "spatial_regions": ("id", "entity_id", "track_id", "frame_id", "pts_us"),
+    "spatial_masks": ("id", "region_id", "frame_id", "width", "height"),
+    "relationships": ("id", "type", "relationship_class", "source_id", "target_id", "start_us", "end_us", "confidence"),
+    "vector_index": ("id", "embedding_set_id", "input_ref", "input_kind", "embedding"),
+    "objects": ("id", "kind", "entry", "summary"),
+    "temporal_spans": ("id", "kind", "start_us", "end_us"),
+    "binary_blocks": ("block_id", "block_file", "block_offset", "block_length"),
+}
 
 
 def first_per_key(df: DataFrame, key: str, order: str = "line_no") -> DataFrame:
@@ -28,16 +39,20 @@ def project(layers: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The index tables that the given layers (text_regions, color_observations, relationships, ...) make up."""
     out = {}
     for name, spec in TABLES.items():
-        columns = spec.split()
+        columns = list(spec)
         if name in layers:
             df = layers[name]
             have = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns if c != "relationship_class"]
             rows = first_per_key(df, columns[0]) if "line_no" in df.columns else df
-            out[name] = rows.select(*have).withColumn("relationship_class", relationship_class(F.col("type"))).select(*columns) if name == "relationships" else rows.select(*have)
+            if name == "relationships":  # edges keep the order of their lines
+                have, columns = ([*have, F.col("line_no")], [*columns, "line_no"]) if "line_no" in df.columns else (have, columns)
+                out[name] = rows.select(*have).withColumn("relationship_class", relationship_class(F.col("type"))).select(*columns)
+            else:
+                out[name] = rows.select(*have)
     if "text_observations" in layers and "text_regions" in layers:
         spans = first_per_key(layers["text_regions"], "text_region_id").select("text_region_id", "start_us", "end_us")
         obs = first_per_key(layers["text_observations"], "text_observation_id").drop("start_us", "end_us")
-        out["text_fts"] = obs.join(spans, "text_region_id", "left").select(*TABLES["text_fts"].split())
+        out["text_fts"] = obs.join(spans, "text_region_id", "left").select(*TABLES["text_fts"])
     if "color_observations" in layers:
         c = first_per_key(layers["color_observations"], "color_observation_id")
         out["color_bucket_coverage"] = c.select("color_observation_id", F.explode("bucket_coverage").alias("bucket", "coverage"))

@@ -6,20 +6,29 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..sources.layers import int_field, number_field, string_field
 from . import edges as eg
+from .export import with_line_numbers
 
-#: Typed views of layers: entry, and the fields by type (s string, i whole number, n number, S strings, N numbers).
+#: Typed views of layers, as the entry and its fields with their types.
 VIEWS = {
-    "words": ("transcript/words.jsonl", "s:id s:speaker_id s:text i:start_us i:end_us"), "speakers": ("transcript/speakers.jsonl", "s:id s:display_name"),
-    "segments": ("transcript/speaker_segments.jsonl", "s:segment_id s:id s:speaker_id i:start_us i:end_us"), "frames": ("timeline/frames.jsonl", "s:id s:shot_id s:scene_id i:pts_us"),
-    "shots": ("timeline/shots.jsonl", "s:id i:start_us i:end_us"), "scenes": ("timeline/scenes.jsonl", "s:id i:start_us i:end_us"), "entities": ("entities/entities.jsonl", "s:id s:entity_type"),
-    "tracks": ("entities/entity_tracks.jsonl", "s:id s:entity_id"), "regions": ("spatial/regions.jsonl", "s:id s:entity_id s:track_id s:frame_id i:pts_us N:box_norm"),
-    "masks": ("spatial/masks.index.jsonl", "s:id s:region_id"), "depth": ("spatial/depth.index.jsonl", "s:id s:frame_id i:start_us i:end_us"),
-    "text_regions": ("text/text_regions.jsonl", "s:text_region_id s:shot_id s:scene_id i:start_us i:end_us n:confidence N:bbox_norm"),
-    "text_observations": ("text/text_observations.jsonl", "s:text_observation_id s:text_region_id i:start_us i:end_us n:confidence S:evidence_crop_refs"),
-    "numeric_values": ("text/numeric_values.jsonl", "s:numeric_value_id s:text_observation_id i:start_us i:end_us n:confidence"), "crops": ("text/evidence_crops.jsonl", "s:crop_id"),
-    "colors": ("colors/color_observations.jsonl", "s:color_observation_id s:target_type s:target_id i:start_us i:end_us"), "embeddings": ("embeddings/embeddings.index.jsonl", "s:id s:input_ref s:input_kind i:start_us i:end_us"),
-    "edges": ("relationships/relationships.jsonl", "s:id s:type s:source_id s:target_id i:start_us i:end_us n:confidence"),
-}
+    "words": ("transcript/words.jsonl", (("id", "string"), ("speaker_id", "string"), ("text", "string"), ("start_us", "whole"), ("end_us", "whole"))),
+    "speakers": ("transcript/speakers.jsonl", (("id", "string"), ("display_name", "string"))),
+    "segments": ("transcript/speaker_segments.jsonl", (("segment_id", "string"), ("id", "string"), ("speaker_id", "string"), ("start_us", "whole"), ("end_us", "whole"))),
+    "frames": ("timeline/frames.jsonl", (("id", "string"), ("shot_id", "string"), ("scene_id", "string"), ("pts_us", "whole"))),
+    "shots": ("timeline/shots.jsonl", (("id", "string"), ("start_us", "whole"), ("end_us", "whole"))),
+    "scenes": ("timeline/scenes.jsonl", (("id", "string"), ("start_us", "whole"), ("end_us", "whole"))),
+    "entities": ("entities/entities.jsonl", (("id", "string"), ("entity_type", "string"))),
+    "tracks": ("entities/entity_tracks.jsonl", (("id", "string"), ("entity_id", "string"))),
+    "regions": ("spatial/regions.jsonl", (("id", "string"), ("entity_id", "string"), ("track_id", "string"), ("frame_id", "string"), ("pts_us", "whole"), ("box_norm", "numbers"))),
+    "masks": ("spatial/masks.index.jsonl", (("id", "string"), ("region_id", "string"))),
+    "depth": ("spatial/depth.index.jsonl", (("id", "string"), ("frame_id", "string"), ("start_us", "whole"), ("end_us", "whole"))),
+    "text_regions": ("text/text_regions.jsonl", (("text_region_id", "string"), ("shot_id", "string"), ("scene_id", "string"), ("start_us", "whole"), ("end_us", "whole"), ("confidence", "number"), ("bbox_norm", "numbers"))),
+    "text_observations": ("text/text_observations.jsonl", (("text_observation_id", "string"), ("text_region_id", "string"), ("start_us", "whole"), ("end_us", "whole"), ("confidence", "number"), ("evidence_crop_refs", "strings"))),
+    "numeric_values": ("text/numeric_values.jsonl", (("numeric_value_id", "string"), ("text_observation_id", "string"), ("start_us", "whole"), ("end_us", "whole"), ("confidence", "number"))),
+    "crops": ("text/evidence_crops.jsonl", (("crop_id", "string"),)),
+    "colors": ("colors/color_observations.jsonl", (("color_observation_id", "string"), ("target_type", "string"), ("target_id", "string"), ("start_us", "whole"), ("end_us", "whole"))),
+    "embeddings": ("embeddings/embeddings.index.jsonl", (("id", "string"), ("input_ref", "string"), ("input_kind", "string"), ("start_us", "whole"), ("end_us", "whole"))),
+    "edges": ("relationships/relationships.jsonl", (("id", "string"), ("type", "string"), ("source_id", "string"), ("target_id", "string"), ("start_us", "whole"), ("end_us", "whole"), ("confidence", "number"))),
+}
 
 
 def view(lines: DataFrame, name: str) -> DataFrame:
@@ -27,18 +36,16 @@ def view(lines: DataFrame, name: str) -> DataFrame:
     entry, fields = VIEWS[name]
     v = F.col("v")
 
-    def typed(spec: str):
-        kind, field = spec.split(":")
-        if kind == "S":
-            return F.filter(F.try_variant_get(v, f"$.{field}", "array<string>"), lambda x: x.isNotNull()).alias(field)
-        if kind == "N":
-            return F.filter(F.try_variant_get(v, f"$.{field}", "array<double>"), lambda x: x.isNotNull()).alias(field)
-        return {"s": string_field, "i": int_field, "n": number_field}[kind](v, field).alias(field)
+    def typed(field: str, kind: str):
+        if kind in ("strings", "numbers"):
+            item = "array<string>" if kind == "strings" else "array<double>"
+            return F.filter(F.try_variant_get(v, f"$.{field}", item), lambda x: x.isNotNull()).alias(field)
+        return {"string": string_field, "whole": int_field, "number": number_field}[kind](v, field).alias(field)
 
     rows = lines.filter(~F.col("malformed"))
     if "entry" in lines.columns:
         rows = rows.filter(F.col("entry") == entry)
-    return rows.select("line_no", *[typed(s) for s in fields.split()])
+    return rows.select("line_no", *[typed(field, kind) for field, kind in fields])
 
 
 def relationship_edges(lines: DataFrame) -> DataFrame:
@@ -55,7 +62,9 @@ def load_edges(spark, index_path: str | None, lines: DataFrame) -> DataFrame:
     if index_path:
         try:
             t = spark.read.parquet(index_path)
-            return t.select(F.monotonically_increasing_id().alias("edge_idx"), F.col("id").alias("relationship_id"), "type", "source_id", "target_id", "start_us", "end_us", "confidence")
+            # Edges have the order of their lines, or of their ids in an index without it, however its files are read.
+            t = t if "line_no" in t.columns else with_line_numbers(t, ["id"])
+            return t.select(F.col("line_no").cast("long").alias("edge_idx"), F.col("id").alias("relationship_id"), "type", "source_id", "target_id", "start_us", "end_us", "confidence")
         except Exception as e:  # an index that is not there or not readable is no error
             if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e) and "FAILED_READ_FILE" not in str(e):
                 raise

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from urllib.parse import urlparse
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .catalog import KNOWN_LAYERS, OBJECT_LAYERS
 
@@ -70,6 +70,26 @@ def read_jsonl(entries: DataFrame, entry: str | None = None) -> DataFrame:
     return lines.select("package", "entry", (F.col("p") + 1).cast("long").alias("line_no"), v.alias("v"), (v.isNull()).alias("malformed"))
 
 
+def directory_lines(spark: SparkSession, path: str) -> DataFrame:
+    """read_jsonl of one exported directory's .jsonl files without holding any of them: (package, entry, line_no, v,
+    malformed).
+
+    Files are read in blocks, in parallel, whatever their size; lines are counted block by block and numbered inside
+    theirs. Only line feeds end a line."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl").option("lineSep", "\n").text(path)
+    text = files.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    counts = text.groupBy("path", "block").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # one row a block
+    offset = counts.select(F.col("path").alias("p"), F.col("block").alias("b"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    own = F.row_number().over(Window.partitionBy("path", "block").orderBy("at"))
+    lines = text.withColumn("r", own).join(offset, (F.col("path") == F.col("p")) & (F.col("block") == F.col("b")))
+    root = F.regexp_extract("path", f"^(.*?{_quoted(path.rstrip('/'))})/", 1)
+    lines = lines.select(F.lit(path).alias("package"), F.substring("path", F.length(root) + 2, F.length("path")).alias("entry"), (F.col("r") + F.col("offset")).cast("long").alias("line_no"), F.col("value").alias("line"))
+    lines = lines.filter(F.btrim("line", F.lit(" \t\r")) != "")
+    v = F.try_parse_json("line")
+    return lines.select("package", "entry", "line_no", v.alias("v"), v.isNull().alias("malformed"))
+
+
 def read_documents(entries: DataFrame) -> DataFrame:
     """(package, entry, v, parsed) of .json entries; parsed is false where the content is not JSON."""
     v = F.try_parse_json(F.col("content").cast("string"))
