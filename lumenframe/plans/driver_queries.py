@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import color, geometry, text as tx, timing
-from ..operators import audio, edges as eg, equivalence, export, graph, index, intervals as iv, ocr, search, timeline, transcript, validate
+from ..operators import audio, edges as eg, equivalence, export, graph, index, intervals as iv, microphones, ocr, relationships, search, timeline, transcript, validate
 from ..sources import layers
 from ..sources.catalog import SEMANTIC, SUPPORT
 
@@ -326,15 +326,19 @@ def decode_speakers(spark, d):
     kinds = F.array(*[F.lit(k) for k in ("click", "error", "purchase", "signup", "view")])
     w = events(spark, d).select(
         F.col("user_id").alias("stream"), F.col("event_id").alias("word_no"), F.lit("word").alias("text"), F.col("at_us").alias("start_us"), (F.col("at_us") + MIN).alias("end_us"),
-        (F.array_position(kinds, F.col("event_type")) - 1).cast("int").alias("segment_speaker"), F.lit(None).cast("array<double>").alias("similarity"),
+        (F.array_position(kinds, F.col("event_type")) - 1).cast("int").alias("segment_speaker"),
+        F.transform(F.sequence(F.lit(0), F.lit(4)), lambda k: F.pmod(F.col("event_id") * 13 + k * 29, F.lit(101)) / 101.0 - 0.3).alias("similarity"),
     )
     return transcript.decode_speakers(w, 5)
 
 
 @query()
 def reconcile_chunks(spark, d):
-    w = events(spark, d).select(F.col("user_id").alias("stream"), F.floor(F.col("event_id") / 500).alias("chunk"), F.col("event_id").alias("word_no"), F.col("event_type").alias("token"), F.col("at_us").alias("start_us"), (F.col("at_us") + 8 * HOUR).alias("end_us"))
-    return transcript.reconcile_chunks(w)
+    e = events(spark, d).withColumn("chunk", F.floor(F.col("event_id") / 500).cast("int"))
+    begin = e.groupBy(F.col("user_id").alias("stream"), "chunk").agg(F.min("at_us").alias("chunk_start_us")).withColumn("overlap_before_us", F.lit(8 * HOUR))
+    w = e.select(F.col("user_id").alias("stream"), "chunk", F.col("event_id").alias("word_no"), F.col("event_type").alias("token"), "at_us").join(begin, ["stream", "chunk"])
+    w = w.select("stream", "chunk", "word_no", "token", (F.col("at_us") - F.col("chunk_start_us")).alias("start_us"), (F.col("at_us") - F.col("chunk_start_us") + 8 * HOUR).alias("end_us"))
+    return transcript.reconcile_chunks(w, begin)
 
 
 @query()
@@ -543,16 +547,10 @@ def digit_lookalikes(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(tx.read_digit_lookalikes(F.col("text")).cast("binary")).alias("read_md5"))
 
 
-@query(r"""
-WITH v AS (SELECT doc_id, text, 'x ' || (doc_id % 7) || ' $' || doc_id || ',' || lpad(CAST(doc_id % 1000 AS VARCHAR), 3, '0') || ' and ' || (doc_id % 90) || '.' || (doc_id % 10) || ', ' || (doc_id % 30) || ',500 sold' AS t FROM documents),
-m AS (SELECT doc_id, unnest(regexp_extract_all(t, '\$(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\s*\d+)?|\b\d{1,3}(?:,\d{3})+(?:\.\d+)?\b|\b\d+\.\d+\b')) AS raw_text FROM v)
-SELECT doc_id, raw_text, regexp_replace(raw_text, '[$,\s]', '', 'g') AS numeric_value, CASE WHEN starts_with(raw_text, '$') THEN 'currency_unknown' END AS unit FROM m
-""")
+@query()
 def numeric_values(spark, d):
-    i = F.col("doc_id")
-    t = F.concat(F.lit("x "), i % 7, F.lit(" $"), i, F.lit(","), F.lpad((i % 1000).cast("string"), 3, "0"), F.lit(" and "), i % 90, F.lit("."), i % 10, F.lit(", "), i % 30, F.lit(",500 sold"))
-    n = table(spark, d, "documents").select("doc_id", F.explode(tx.parse_numeric_values(t)).alias("n"))
-    return n.select("doc_id", "n.raw_text", "n.numeric_value", "n.unit")
+    n = table(spark, d, "documents").select("doc_id", F.posexplode(tx.parse_numeric_values("text")).alias("pos", "n"))
+    return n.select("doc_id", "pos", "n.raw_text", "n.numeric_value", "n.number_kind", "n.unit")
 
 
 _LIN = "CASE WHEN {0} / 255.0 <= 0.04045 THEN {0} / 255.0 / 12.92 ELSE pow(({0} / 255.0 + 0.055) / 1.055, 2.4) END"
@@ -712,15 +710,15 @@ def depth_metrics(spark, d):
     return m.select("l_returnflag", F.round("mae", 9).alias("mae"), "p99", F.round("spearman", 6).alias("spearman"))
 
 
-@query(r"SELECT token, CAST(count(DISTINCT (conv_id, turn)) AS BIGINT) AS rows, count(*) AS n FROM (SELECT conv_id, turn, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS token FROM conversations) GROUP BY 1 ORDER BY n DESC, token LIMIT 200")
+@query(r"SELECT token, conv_id || '_' || turn AS key, count(*) AS n FROM (SELECT conv_id, turn, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS token FROM conversations) GROUP BY 1, 2")
 def inverted_index(spark, d):
     c = table(spark, d, "conversations").withColumn("key", F.concat_ws("_", "conv_id", "turn"))
-    return index.inverted_index(c, "key", "text").groupBy("token").agg(F.count("*").alias("rows"), F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(200)
+    return index.inverted_index(c, "key", "text").select("token", "key", "n")
 
 
-@query("SELECT sha256('i' || length(CAST(n_nationkey AS VARCHAR)) || ':' || n_nationkey || ',t' || length(n_name) || ':' || n_name || ',i' || length(CAST(n_regionkey AS VARCHAR)) || ':' || n_regionkey) AS row_hash FROM nation")
+@query("SELECT sha256('i' || length(CAST(c_custkey AS VARCHAR)) || ':' || c_custkey || ',t' || length(c_name) || ':' || c_name || ',i' || length(CAST(c_nationkey AS VARCHAR)) || ':' || c_nationkey) AS row_hash FROM customer")
 def row_stream(spark, d):
-    return index.row_digests(table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey"))
+    return index.row_digests(table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey"))
 
 
 _T = "{1}' || length(CAST({0} AS VARCHAR)) || ':' || {0} || '"
@@ -771,23 +769,25 @@ def band_join(spark, d):
 
 
 @query("""
-WITH t AS (SELECT user_id, count(*) AS d FROM events GROUP BY 1), g AS (SELECT user_id, d, greatest(1, least(25, d // 4)) AS step FROM t)
-SELECT user_id, unnest(range(0, d, step)) AS at_us FROM g
+WITH t AS (SELECT user_id, count(*) * 30000 AS d FROM events GROUP BY 1), e AS (SELECT user_id, CASE WHEN d > 100000 THEN d - 100000 ELSE d END AS e FROM t),
+g AS (SELECT user_id, e, greatest(25000, e // 40) AS step FROM e), l AS (SELECT user_id, e, list_concat(range(0, e, step), [e]) AS t FROM g)
+SELECT user_id, CAST(unnest(CASE WHEN len(t) < 3 THEN list_transform(range(0, 3), lambda i: e * (2 * i + 1) // 6) ELSE t END) AS BIGINT) AS at_us FROM l
 """)
 def sampling_grid(spark, d):
-    t = events(spark, d).groupBy("user_id").agg(F.count("*").alias("d"))
-    return timeline.sampling_grid(t, "d", 25, 4).select("user_id", "at_us")
+    t = events(spark, d).groupBy("user_id").agg((F.count("*") * 30_000).alias("d"))
+    return timeline.sampling_grid(t, "d", gap=25_000, target=40).select("user_id", "at_us")
 
 
 @query("""
-WITH v AS (SELECT user_id, event_id, (event_id * 37 % 100) / 100.0::DOUBLE AS x FROM events),
-w AS (SELECT *, min(x) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING) AS kept FROM v),
-o AS (SELECT *, x >= 0.35 OR (x >= 0.2 AND coalesce(kept, 0) >= 0.1) AS over_ FROM w)
-SELECT event_id, over_ AND NOT coalesce(lag(over_) OVER (PARTITION BY user_id ORDER BY event_id), false) AS cut FROM o
+WITH v AS (SELECT user_id, event_id, CASE WHEN lag(event_id) OVER w IS NOT NULL THEN (event_id * 37 % 100) / 250.0::DOUBLE END AS x FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+w AS (SELECT *, lead(x) OVER k AS n, lead(x, 2) OVER k AS m, lag(x) OVER k AS p FROM v WINDOW k AS (PARTITION BY user_id ORDER BY event_id)),
+o AS (SELECT *, coalesce(x >= 0.12 AND n >= 0.12 AND m >= 0.12, false) AND coalesce(p, 0) < 0.12 AS transition FROM w)
+SELECT event_id, transition, coalesce((x >= 0.08 AND coalesce(n, 1) <= 0.05) OR x >= 0.30, false) OR transition AS cut FROM o
 """)
 def visual_cuts(spark, d):
-    f = events(spark, d).select("user_id", "event_id", ((F.col("event_id") * 37 % 100) / 100.0).alias("x"))
-    return timeline.visual_cuts(f, ["user_id"], "event_id", "x").select("event_id", "cut")
+    order = Window.partitionBy("user_id").orderBy("event_id")
+    f = events(spark, d).select("user_id", "event_id", F.when(F.lag("event_id").over(order).isNotNull(), (F.col("event_id") * 37 % 100) / 250.0).alias("x"))
+    return timeline.visual_cuts(f, ["user_id"], "event_id", "x").select("event_id", "transition", "cut")
 
 
 @query("""
@@ -826,11 +826,11 @@ def speaker_records(spark, d):
 
 
 @query("""
-WITH c AS (SELECT o_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey) AS refs FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderkey % 10 = 0 GROUP BY 1)
+WITH c AS (SELECT l_orderkey AS o_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey) AS refs FROM lineitem GROUP BY 1)
 SELECT o_orderkey, array_to_string(list_transform(refs, lambda r: r || CASE WHEN r % 3 <> 0 THEN ':yes' ELSE ':no' END), ',') AS resolved FROM c
 """)
 def resolve_reference_lists(spark, d):
-    o = table(spark, d, "lineitem").filter("l_orderkey % 10 = 0").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("s"))
+    o = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("s"))
     rows = o.select("o_orderkey", F.transform("s", lambda x: x["l_partkey"]).alias("refs"))
     owner = table(spark, d, "part").filter("p_partkey % 3 <> 0").select("p_partkey", "p_name")
     r = export.resolve_list(rows, "o_orderkey", "refs", owner, "p_partkey", ["p_name"], "items")
@@ -838,26 +838,283 @@ def resolve_reference_lists(spark, d):
     return r.select("o_orderkey", F.array_join(text, ",").alias("resolved"))
 
 
-@query()
-def numeric_values_of_texts(spark, d):
-    n = table(spark, d, "documents").select("doc_id", F.posexplode(tx.parse_numeric_values("text")).alias("pos", "n"))
-    return n.select("doc_id", "pos", "n.raw_text", "n.numeric_value", "n.number_kind", "n.unit")
+# --- all relationship builders --------------------------------------------------------------------------------------
+#: Layers made from the tables, as (table, columns); the same expressions make them in both engines.
+LAYERS = {
+    "shots": ("nation", "n_nationkey AS line_no, 'shot_' || n_nationkey AS id, n_nationkey * 100000 AS start_us, n_nationkey * 100000 + 100000 AS end_us"),
+    "scenes": ("region", "r_regionkey AS line_no, 'scene_' || r_regionkey AS id, r_regionkey * 500000 AS start_us, r_regionkey * 500000 + 500000 AS end_us"),
+    "frames": ("supplier", "s_suppkey AS line_no, 'f' || s_suppkey AS id, 'shot_' || s_nationkey AS shot_id, 'scene_' || (s_suppkey % 7) AS scene_id, s_suppkey * 20000 AS pts_us"),
+    "speakers": ("region", "r_regionkey AS line_no, 'sp_' || r_regionkey AS id"),
+    "words": ("customer", "c_custkey AS line_no, 'w_' || c_custkey AS id, 'sp_' || (c_custkey % 7) AS speaker_id, c_custkey * 1500 AS start_us, c_custkey * 1500 + (c_custkey % 4) * 1000 AS end_us"),
+    "segments": ("supplier", "s_suppkey AS line_no, CASE WHEN s_suppkey % 2 = 0 THEN 'seg_' || s_suppkey ELSE '' END AS segment_id, 'seg_' || s_suppkey AS id, s_suppkey * 25000 AS start_us, s_suppkey * 25000 + 30000 AS end_us"),
+    "entities": ("nation", "n_nationkey AS line_no, 'e' || n_nationkey AS id"),
+    "tracks": ("nation", "n_nationkey AS line_no, 't' || n_nationkey AS id, 'e' || n_nationkey AS entity_id"),
+    "regions": ("part", "p_partkey AS line_no, 'r' || p_partkey AS id, 'e' || (p_partkey % 30) AS entity_id, 't' || (p_partkey % 40) AS track_id, 'f' || ((p_partkey - p_partkey % 8) / 8) AS frame_id, "
+                "(p_partkey - p_partkey % 8) * 2500 AS pts_us, (p_partkey * 7 % 90) / 100.0 AS x0, (p_partkey * 11 % 90) / 100.0 AS y0, (p_partkey * 7 % 90) / 100.0 + (p_partkey % 5 + 1) / 50.0 AS x1, (p_partkey * 11 % 90) / 100.0 + (p_partkey % 3 + 1) / 25.0 AS y1"),
+    "masks": ("customer", "c_custkey AS line_no, 'm_' || c_custkey AS id, 'r' || c_custkey AS region_id"),
+    "depth": ("customer", "c_custkey AS line_no, 'd_' || c_custkey AS id, 'f' || (c_custkey % 150) AS frame_id, c_custkey AS start_us, c_custkey + 1 AS end_us"),
+    "text_regions": ("customer", "c_custkey AS line_no, 'tr_' || c_custkey AS text_region_id, 'shot_' || (c_custkey % 30) AS shot_id, 'scene_' || (c_custkey % 6) AS scene_id, c_custkey * 1000 AS start_us, "
+                     "c_custkey * 1000 + (c_custkey % 3) * 700 AS end_us, 0.5 AS confidence, (c_custkey * 3 % 80) / 100.0 AS x0, (c_custkey * 5 % 80) / 100.0 AS y0, (c_custkey * 3 % 80) / 100.0 + 0.2 AS x1, (c_custkey * 5 % 80) / 100.0 + 0.2 AS y1"),
+    "text_observations": ("customer", "c_custkey AS line_no, 'ob_' || c_custkey AS text_observation_id, 'tr_' || (c_custkey + c_custkey % 5) AS text_region_id, c_custkey AS start_us, c_custkey + 1 AS end_us, 0.5 AS confidence, 'crop_' || (c_custkey % 60) AS crop_a, 'crop_' || (c_custkey % 45) AS crop_b"),
+    "crops": ("nation", "n_nationkey AS line_no, 'crop_' || n_nationkey AS crop_id"),
+    "numeric_values": ("customer", "c_custkey AS line_no, 'nv_' || c_custkey AS numeric_value_id, 'ob_' || (c_custkey * 2) AS text_observation_id, c_custkey AS start_us, c_custkey + 1 AS end_us, 0.5 AS confidence"),
+    "colors": ("customer", "c_custkey AS line_no, 'co_' || c_custkey AS color_observation_id, CASE c_custkey % 5 WHEN 0 THEN 'frame' WHEN 1 THEN 'shot' WHEN 2 THEN 'scene' WHEN 3 THEN 'region' ELSE 'other' END AS target_type, "
+               "CASE c_custkey % 5 WHEN 0 THEN 'f' || (c_custkey % 130) WHEN 1 THEN 'shot_' || (c_custkey % 30) WHEN 2 THEN 'scene_' || (c_custkey % 7) WHEN 3 THEN 'r' || (c_custkey * 3) ELSE 'x' || c_custkey END AS target_id, c_custkey AS start_us, c_custkey + 1 AS end_us"),
+    "embeddings": ("customer", "c_custkey AS line_no, 'em_' || c_custkey AS id, CASE c_custkey % 4 WHEN 0 THEN 'text_observation' WHEN 1 THEN 'text_region' WHEN 2 THEN 'word' ELSE 'image' END AS input_kind, "
+                   "CASE c_custkey % 4 WHEN 0 THEN 'ob_' || (c_custkey * 2) WHEN 1 THEN 'tr_' || (c_custkey * 2) WHEN 2 THEN 'w_' || c_custkey ELSE 'picture' END AS input_ref, c_custkey AS start_us, c_custkey + 1 AS end_us"),
+}
+
+
+def package_layers(spark, d) -> dict[str, DataFrame]:
+    """The layers as typed views; whole numbers are long, and boxes and lists are arrays."""
+    out = {}
+    for name, (source, columns) in LAYERS.items():
+        df = table(spark, d, source).selectExpr(*[c.strip() for c in _split(columns)])
+        for c in df.columns:
+            if c == "line_no" or c.endswith("_us"):
+                df = df.withColumn(c, F.col(c).cast("long"))
+        if name == "regions":
+            df = df.withColumn("frame_id", F.concat(F.lit("f"), F.floor(F.col("line_no") / 8).cast("string")))
+        if "x0" in df.columns:
+            df = df.withColumn("bbox_norm" if name == "text_regions" else "box_norm", F.array(*[F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1")])).drop("x0", "y0", "x1", "y1")
+        if "crop_a" in df.columns:
+            df = df.withColumn("evidence_crop_refs", F.array("crop_a", "crop_b")).drop("crop_a", "crop_b")
+        out[name] = df
+    return out
+
+
+def _split(columns: str) -> list[str]:
+    """A select list cut at its own commas."""
+    out, depth = [""], 0
+    for c in columns:
+        depth += (c == "(") - (c == ")")
+        if c == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return out
+
+
+_LAYER_SQL = ", ".join(
+    f"{n} AS (SELECT {c.replace('(p_partkey - p_partkey % 8) / 8', 'p_partkey // 8').replace('100.0', '100.0::DOUBLE').replace('50.0', '50.0::DOUBLE').replace('25.0', '25.0::DOUBLE')} FROM {t})" for n, (t, c) in LAYERS.items()
+)
+_NAMED = "(SELECT line_no, coalesce(nullif(segment_id, ''), id) AS sid, start_us AS s, end_us AS e FROM segments)"
+_SEEN = "(SELECT * FROM regions WHERE entity_id IN (SELECT id FROM entities))"
+
+
+@query(f"""
+WITH {_LAYER_SQL},
+ends AS (SELECT entity_id, frame_id, row_number() OVER (PARTITION BY entity_id ORDER BY pts_us, line_no) AS a, row_number() OVER (PARTITION BY entity_id ORDER BY pts_us DESC, line_no) AS z
+  FROM regions WHERE entity_id IN (SELECT id FROM entities) AND frame_id IN (SELECT id FROM frames)),
+path AS (SELECT entity_id, arg_min((x0 + x1) / 2, line_no) AS fx, arg_min((y0 + y1) / 2, line_no) AS fy, arg_max((x0 + x1) / 2, line_no) AS lx, arg_max((y0 + y1) / 2, line_no) AS ly FROM {_SEEN} GROUP BY 1 HAVING count(*) >= 2),
+move AS (SELECT entity_id, lx - fx AS dx, ly - fy AS dy, sqrt(pow(lx - fx, 2) + pow(ly - fy, 2)) AS d FROM path),
+spoken AS (SELECT w.id, sid, row_number() OVER (PARTITION BY w.line_no ORDER BY g.line_no) AS n FROM words w JOIN {_NAMED} g ON g.s <= (w.start_us + w.end_us) // 2 AND (w.start_us + w.end_us) // 2 < g.e)
+SELECT 'appears_in_shot' AS type, text_region_id AS source_id, shot_id AS target_id FROM text_regions WHERE shot_id IN (SELECT id FROM shots)
+UNION ALL SELECT 'appears_in_scene', text_region_id, scene_id FROM text_regions WHERE scene_id IN (SELECT id FROM scenes)
+UNION ALL SELECT 'observation_in_region', text_observation_id, text_region_id FROM text_observations WHERE text_region_id IN (SELECT text_region_id FROM text_regions)
+UNION ALL SELECT 'has_evidence_crop', text_observation_id, crop_a FROM text_observations WHERE crop_a IN (SELECT crop_id FROM crops)
+UNION ALL SELECT 'has_evidence_crop', text_observation_id, crop_b FROM text_observations WHERE crop_b IN (SELECT crop_id FROM crops)
+UNION ALL SELECT 'numeric_value_from_observation', numeric_value_id, text_observation_id FROM numeric_values WHERE text_observation_id IN (SELECT text_observation_id FROM text_observations)
+UNION ALL SELECT 'word_spoken_by', id, speaker_id FROM words WHERE speaker_id IN (SELECT id FROM speakers)
+UNION ALL SELECT 'word_in_speaker_segment', id, sid FROM spoken WHERE n = 1
+UNION ALL SELECT 'color_observation_of', color_observation_id, target_id FROM colors WHERE CASE target_type WHEN 'frame' THEN target_id IN (SELECT id FROM frames) WHEN 'shot' THEN target_id IN (SELECT id FROM shots)
+  WHEN 'scene' THEN target_id IN (SELECT id FROM scenes) WHEN 'region' THEN target_id IN (SELECT id FROM regions) ELSE true END
+UNION ALL SELECT 'depth_for_frame', id, frame_id FROM depth WHERE frame_id IN (SELECT id FROM frames)
+UNION ALL SELECT 'embedding_source_is', id, input_ref FROM embeddings WHERE CASE input_kind WHEN 'text_observation' THEN input_ref IN (SELECT text_observation_id FROM text_observations) WHEN 'text_region' THEN input_ref IN (SELECT text_region_id FROM text_regions)
+  WHEN 'word' THEN input_ref IN (SELECT id FROM words) ELSE true END
+UNION ALL SELECT 'appears_in_frame', entity_id, id FROM {_SEEN}
+UNION ALL SELECT 'track_observation', track_id, id FROM regions WHERE track_id IN (SELECT id FROM tracks)
+UNION ALL SELECT 'region_in_frame', id, frame_id FROM regions WHERE frame_id IN (SELECT id FROM frames)
+UNION ALL SELECT 'has_mask', region_id, id FROM masks WHERE region_id IN (SELECT id FROM regions)
+UNION ALL SELECT 'near', a.id, b.id FROM regions a JOIN regions b ON a.frame_id = b.frame_id AND a.line_no < b.line_no WHERE (least(a.x1, b.x1) <= greatest(a.x0, b.x0) OR least(a.y1, b.y1) <= greatest(a.y0, b.y0))
+  AND sqrt(pow((a.x0 + a.x1) / 2 - (b.x0 + b.x1) / 2, 2) + pow((a.y0 + a.y1) / 2 - (b.y0 + b.y1) / 2, 2)) <= 0.15
+UNION ALL SELECT 'enters_frame', entity_id, frame_id FROM ends WHERE a = 1
+UNION ALL SELECT 'exits_frame', l.entity_id, l.frame_id FROM ends l JOIN ends f ON l.entity_id = f.entity_id AND l.z = 1 AND f.a = 1 AND l.frame_id <> f.frame_id
+UNION ALL SELECT 'text_region_overlaps_entity', text_region_id, entity_id FROM text_regions t JOIN {_SEEN} r ON t.start_us <= pts_us AND pts_us < t.end_us AND least(t.x1, r.x1) > greatest(t.x0, r.x0) AND least(t.y1, r.y1) > greatest(t.y0, r.y0)
+UNION ALL SELECT 'frame_in_shot', id, shot_id FROM frames WHERE shot_id IN (SELECT id FROM shots)
+UNION ALL SELECT 'frame_in_scene', id, scene_id FROM frames WHERE scene_id IN (SELECT id FROM scenes)
+UNION ALL SELECT 'appears_in_shot', entity_id, s.id FROM {_SEEN} r JOIN shots s ON s.start_us <= pts_us AND pts_us < s.end_us
+UNION ALL SELECT 'appears_in_scene', entity_id, s.id FROM {_SEEN} r JOIN scenes s ON s.start_us <= pts_us AND pts_us < s.end_us
+UNION ALL SELECT 'visible_during_speech', text_region_id, sid FROM text_regions t JOIN {_NAMED} g ON t.start_us < t.end_us AND t.start_us < g.e AND g.s < t.end_us
+UNION ALL SELECT 'visible_during_speech', entity_id, sid FROM {_SEEN} r JOIN {_NAMED} g ON g.s <= pts_us AND pts_us < g.e
+UNION ALL SELECT 'visible_during_word_range', text_region_id, w.id FROM text_regions t JOIN words w ON t.start_us < t.end_us AND w.start_us < w.end_us AND t.start_us < w.end_us AND w.start_us < t.end_us
+UNION ALL SELECT DISTINCT 'speaker_active_during_entity_visible', sid, entity_id FROM {_SEEN} r JOIN {_NAMED} g ON g.s <= pts_us AND pts_us < g.e
+UNION ALL SELECT 'stationary_relative_to_camera', entity_id, entity_id FROM move WHERE d <= 0.02
+UNION ALL SELECT 'moves_with', a.entity_id, b.entity_id FROM move a JOIN move b ON a.entity_id < b.entity_id AND a.d > 0.02 AND b.d > 0.02 AND sqrt(pow(a.dx - b.dx, 2) + pow(a.dy - b.dy, 2)) <= 0.05
+""")
+def relationship_builders(spark, d):
+    """Builders 1 to 16 and 19 over one package, and one numbering of all their edges."""
+    return relationships.build_all(package_layers(spark, d)).select("type", "source_id", "target_id")
 
 
+# --- masks, depth, documents, microphones, records --------------------------------------------------------------------
 @query("""
-WITH c AS (SELECT l_orderkey AS o_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey) AS refs FROM lineitem GROUP BY 1)
-SELECT o_orderkey, array_to_string(list_transform(refs, lambda r: r || CASE WHEN r % 3 <> 0 THEN ':yes' ELSE ':no' END), ',') AS resolved FROM c
+WITH d AS (SELECT l_orderkey, l_linenumber, l_quantity AS q FROM lineitem WHERE l_linenumber IS NOT NULL),
+p AS (SELECT a.l_orderkey AS o, CASE WHEN a.q < b.q THEN a.l_linenumber ELSE b.l_linenumber END AS f, CASE WHEN a.q < b.q THEN b.l_linenumber ELSE a.l_linenumber END AS k
+  FROM d a JOIN d b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber < b.l_linenumber AND a.q <> b.q)
+SELECT o || '' AS frame_id, f || '' AS source_id, k || '' AS target_id, 'foreground_relative_to' AS type FROM p
+UNION ALL SELECT o || '', k || '', f || '', 'background_relative_to' FROM p
 """)
-def resolve_all_reference_lists(spark, d):
-    o = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("s"))
-    rows = o.select("o_orderkey", F.transform("s", lambda x: x["l_partkey"]).alias("refs"))
-    owner = table(spark, d, "part").filter("p_partkey % 3 <> 0").select("p_partkey", "p_name")
-    r = export.resolve_list(rows, "o_orderkey", "refs", owner, "p_partkey", ["p_name"], "items")
-    text = F.transform("items", lambda x: F.concat(x["ref"].cast("string"), F.when(x["found"], ":yes").otherwise(":no")))
-    return r.select("o_orderkey", F.array_join(text, ",").alias("resolved"))
+def depth_relations(spark, d):
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("frame_id"), F.col("l_linenumber").cast("string").alias("region_id"), F.col("l_linenumber").alias("line_no"), F.col("l_quantity").alias("depth"))
+    return eg.depth_relations(rows)
 
 
-@query(r"SELECT token, conv_id || '_' || turn AS key, count(*) AS n FROM (SELECT conv_id, turn, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS token FROM conversations) GROUP BY 1, 2")
-def inverted_index_postings(spark, d):
-    c = table(spark, d, "conversations").withColumn("key", F.concat_ws("_", "conv_id", "turn"))
-    return index.inverted_index(c, "key", "text").select("token", "key", "n")
+#: Masks of customers: a run of set pixels in a raster of 16 x 4; eight customers share a frame.
+_MASK_SQL = "SELECT c_custkey // 8 AS f, c_custkey AS i, c_custkey * 5 % 30 AS a, c_custkey * 5 % 30 + 10 + c_custkey % 24 AS b, CASE WHEN c_custkey % 3 > 0 THEN c_custkey % 4 END AS z FROM customer"
+
+
+@query(f"""
+WITH m AS ({_MASK_SQL}), p AS (SELECT x.f, x.i, y.i AS j, x.z, y.z AS w, greatest(0, least(x.b, y.b) - greatest(x.a, y.a)) AS n, x.b - x.a AS nx, y.b - y.a AS ny FROM m x JOIN m y ON x.f = y.f AND x.i < y.i),
+q AS (SELECT *, n / (nx + ny - n) >= 0.1 AS alike, n / ny >= 0.8 AS holds, n / nx >= 0.8 AS held, coalesce(z <> w, false) AS deep FROM p WHERE n > 0),
+r AS (SELECT f, CASE WHEN z < w THEN i ELSE j END AS s, CASE WHEN z < w THEN j ELSE i END AS t FROM q WHERE alike AND deep), o AS (SELECT * FROM q WHERE NOT (alike AND deep))
+SELECT f || '' AS frame_id, s || '' AS source_id, t || '' AS target_id, 'occludes' AS type FROM r UNION ALL SELECT f || '', t || '', s || '', 'occluded_by' FROM r
+UNION ALL SELECT f || '', i || '', j || '', 'overlaps' FROM o WHERE alike
+UNION ALL SELECT f || '', i || '', j || '', 'contains' FROM o WHERE holds UNION ALL SELECT f || '', j || '', i || '', 'contained_by' FROM o WHERE holds
+UNION ALL SELECT f || '', j || '', i || '', 'contains' FROM o WHERE held AND NOT holds UNION ALL SELECT f || '', i || '', j || '', 'contained_by' FROM o WHERE held AND NOT holds
+""")
+def mask_relations(spark, d):
+    c = F.col("c_custkey")
+    byte = lambda n: F.expr(f"unhex(lpad(hex({n}), 2, '0'))")
+    m = table(spark, d, "customer").select(
+        F.floor(c / 8).cast("string").alias("frame_id"), c.cast("string").alias("region_id"), c.alias("line_no"), F.lit(16).alias("width"), F.lit(4).alias("height"),
+        F.when(c % 3 > 0, (c % 4).cast("double")).alias("depth"), (c * 5 % 30).alias("a"), (10 + c % 24).alias("n"),
+    )
+    return eg.mask_relations(m.select("frame_id", "region_id", "line_no", "width", "height", "depth", F.concat(byte("a"), byte("n"), byte("64 - a - n")).alias("rle")))
+
+
+@query("""
+SELECT c_custkey || '' AS key, 'c_name is missing' AS message FROM customer WHERE c_custkey % 11 = 0
+UNION ALL SELECT c_custkey || '', 'c_acctbal is too small' FROM customer WHERE c_acctbal < 0 UNION ALL SELECT c_custkey || '', 'c_acctbal is too large' FROM customer WHERE c_acctbal > 9000
+UNION ALL SELECT c_custkey || '', 'c_mktsegment is not listed' FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')
+UNION ALL SELECT c_custkey || '', 'nation does not match' FROM customer WHERE NOT regexp_matches(CAST(c_nationkey AS VARCHAR), '^1')
+""")
+def schema_findings(spark, d):
+    c = table(spark, d, "customer").withColumn("c_name", F.when(F.col("c_custkey") % 11 != 0, F.col("c_name"))).withColumn("nation", F.col("c_nationkey").cast("string"))
+    schema = {"required": ["c_name"], "properties": {"c_acctbal": {"type": "number", "minimum": 0, "maximum": 9000}, "c_mktsegment": {"enum": ["BUILDING", "MACHINERY"]}, "nation": {"pattern": "^1"}}}
+    return validate.schema_findings(c, schema, F.col("c_custkey")).select("key", "message")
+
+
+@query("""
+WITH v AS (SELECT l_orderkey, l_linenumber, l_discount * 12 - 0.1 AS c, l_tax * 10 AS x0, l_tax * 10 + l_discount * 5 - 0.2 AS x1, l_linenumber = 7 AS short FROM lineitem)
+SELECT l_orderkey, l_linenumber, c < 0 OR c > 1 AS bad_confidence, short OR x0 > 1 OR x1 < 0 OR x1 > 1 OR x0 >= x1 AS bad_box FROM v
+""")
+def record_rules(spark, d):
+    x0, x1 = F.col("l_tax") * 10, F.col("l_tax") * 10 + F.col("l_discount") * 5 - 0.2
+    v = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_discount") * 12 - 0.1).alias("c"), F.when(F.col("l_linenumber") == 7, F.array(x0, F.lit(0.0), x1)).otherwise(F.array(x0, F.lit(0.0), x1, F.lit(1.0))).alias("box"))
+    return v.select("l_orderkey", "l_linenumber", validate.bad_confidence(F.col("c")).alias("bad_confidence"), validate.bad_box(F.col("box")).alias("bad_box"))
+
+
+@query("""
+WITH e AS (SELECT event_id AS i, event_id % 5 AS a, CASE WHEN event_id % 7 = 0 THEN event_id % 5 + 1 ELSE event_id % 5 END AS b, event_id % 3 AS n, event_id % 4 AS m, event_id % 10 / 10.0::DOUBLE AS x FROM events)
+SELECT i, '/a/v/0' AS pointer, 'changed' AS verdict FROM e WHERE a <> b
+UNION ALL SELECT i, '/x', CASE WHEN i % 2 = 0 THEN 'within_tolerance' ELSE 'changed' END FROM e
+UNION ALL SELECT i, '/a/v/1', 'only_left' FROM e WHERE n = 1 AND m <> 1 UNION ALL SELECT i, '/a/v/1', 'only_right' FROM e WHERE n <> 1 AND m = 1
+UNION ALL SELECT i, '/s', 'changed' FROM e WHERE i % 13 = 0
+""")
+def json_differences(spark, d):
+    i = F.col("event_id")
+    doc = lambda first, more, x, s: F.parse_json(F.concat(F.lit('{"a":{"v":['), first, F.when(more, F.lit(",7")).otherwise(F.lit("")), F.lit(']},"x":'), x, F.lit(',"s":'), s, F.lit("}")))
+    e = table(spark, d, "events").select("event_id")
+    tenth = (i % 10).cast("string")
+    left = e.select(i.alias("i"), doc((i % 5).cast("string"), i % 3 == 1, F.concat(F.lit("0."), tenth, F.lit("1")), F.lit("1")).alias("v"))
+    right = e.select(i.alias("i"), doc((F.when(i % 7 == 0, i % 5 + 1).otherwise(i % 5)).cast("string"), i % 4 == 1, F.concat(F.lit("0."), tenth, F.when(i % 2 == 0, "15").otherwise("3")), F.when(i % 13 == 0, '"1"').otherwise("1")).alias("v"))
+    return equivalence.compare_json(left, right, "v", ["i"], [("^/x$", 0.006)]).select("i", "pointer", "verdict")
+
+
+_HEARD = "SELECT user_id AS p, event_id % 2 AS src, event_id // 2000 AS c, event_id AS n, event_type AS t, epoch_us(ts) AS s, epoch_us(ts) + 3600000000 AS e FROM events"
+
+
+def heard(spark, d) -> DataFrame:
+    """Words of two microphones for each user."""
+    return events(spark, d).select(
+        F.col("user_id").alias("package"), (F.col("event_id") % 2).alias("source"), F.floor(F.col("event_id") / 2000).alias("chunk"), F.col("event_id").alias("word_no"),
+        F.when(F.col("event_type") == "purchase", "end.").otherwise(F.col("event_type")).alias("text"), F.col("at_us").alias("start_us"), (F.col("at_us") + HOUR).alias("end_us"), F.lit(0.5).alias("confidence"),
+    )
+
+
+@query(f"""
+WITH h AS ({_HEARD}), o AS (SELECT *, CASE WHEN lag(c) OVER w IS NULL OR lag(c) OVER w <> c OR lag(t) OVER w = 'purchase' OR s - lag(e) OVER w > 750000 THEN 1 ELSE 0 END AS new FROM h WINDOW w AS (PARTITION BY p, src ORDER BY c, s, n)),
+g AS (SELECT *, sum(new) OVER (PARTITION BY p, src ORDER BY c, s, n ROWS UNBOUNDED PRECEDING) AS turn FROM o)
+SELECT p AS package, src AS source, CAST(turn AS BIGINT) AS turn, CAST(min(c) AS BIGINT) AS chunk, min(s) AS start_us, max(e) AS end_us, count(*) AS words FROM g GROUP BY ALL
+""")
+def microphone_turns(spark, d):
+    return microphones.turns(heard(spark, d)).select("package", "source", "turn", "chunk", "start_us", "end_us", "words")
+
+
+@query(f"""
+WITH h AS (SELECT p, src, s, e FROM ({_HEARD})), i AS (SELECT p, src, min(s) AS s, max(e) AS e FROM (SELECT *, sum(new) OVER (PARTITION BY p, src ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS g FROM (
+  SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY p, src ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM h)) GROUP BY p, src, g),
+l AS (SELECT p, src, sum(e - s) AS us FROM i GROUP BY ALL), b AS (SELECT a.p, sum(least(a.e, z.e) - greatest(a.s, z.s)) AS us FROM i a JOIN i z ON a.p = z.p AND a.src = 0 AND z.src = 1 AND a.s < z.e AND z.s < a.e GROUP BY 1)
+SELECT b.p AS package, 0 AS source_a, 1 AS source_b, CAST(b.us AS BIGINT) AS both_us, round(b.us / least(x.us, y.us), 9) AS ratio FROM b JOIN l x ON x.p = b.p AND x.src = 0 JOIN l y ON y.p = b.p AND y.src = 1
+""")
+def microphone_overlap(spark, d):
+    return microphones.source_overlap(heard(spark, d)).select("package", "source_a", "source_b", "both_us", F.round("ratio", 9).alias("ratio"))
+
+
+@query(f"""
+WITH h AS ({_HEARD}), c AS (SELECT p, src, count(*) AS n FROM h GROUP BY ALL)
+SELECT p AS package, src AS source, n AS word_count, CAST(row_number() OVER (PARTITION BY p ORDER BY n DESC, src) AS INTEGER) AS rank FROM c
+""")
+def microphone_ranks(spark, d):
+    return microphones.source_profile(heard(spark, d)).select("package", "source", "word_count", "rank")
+
+
+@query(f"""
+WITH w AS {_span_sql(MIN)}, g AS (SELECT user_id, event_type, epoch_us(ts) AS s, epoch_us(ts) + {HOUR} AS e FROM events WHERE event_type IN ('view', 'purchase'))
+SELECT w.event_id, event_type AS speaker_id, CAST(sum(least(w.e, g.e) - greatest(w.s, g.s)) AS BIGINT) AS overlap_us, round(sum(least(w.e, g.e) - greatest(w.s, g.s)) / {MIN}, 9) AS share
+FROM w JOIN g ON w.user_id = g.user_id AND w.s < g.e AND g.s < w.e GROUP BY ALL
+""")
+def overlap_per_speaker(spark, d):
+    e = events(spark, d)
+    w = e.select("user_id", F.col("event_id").alias("word_no"), F.col("at_us").alias("start_us"), (F.col("at_us") + MIN).alias("end_us"))
+    g = e.filter("event_type in ('view', 'purchase')").select("user_id", F.col("event_type").alias("speaker_id"), F.col("at_us").alias("start_us"), (F.col("at_us") + HOUR).alias("end_us"))
+    return transcript.overlap_per_speaker(w, g, ["user_id"]).select(F.col("word_no").alias("event_id"), "speaker_id", "overlap_us", F.round("share", 9).alias("share"))
+
+
+@query("SELECT event_id, printf('word_%06d', row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts), epoch_us(ts) + event_id % 7, event_id)) AS id FROM events")
+def word_records(spark, d):
+    w = events(spark, d).select("user_id", F.col("event_id").alias("word_no"), F.col("at_us").alias("start_us"), (F.col("at_us") + F.col("event_id") % 7).alias("end_us"))
+    return transcript.word_records(w, ["user_id"]).select(F.col("word_no").alias("event_id"), "id")
+
+
+@query(f"""
+WITH p AS (SELECT p_partkey, {_KEY.format(_NORM.format('left(p_name, CAST(p_partkey % 9 AS INTEGER))'))} AS c, {_KEY.format(_NORM.format('left(p_name, CAST(p_partkey % 13 AS INTEGER))'))} AS r FROM part)
+SELECT p_partkey, CASE WHEN length(r) < 3 THEN false WHEN c = '' THEN true WHEN r = c THEN false WHEN length(r) <= length(c) + 2 THEN false WHEN length(c) <= 3 THEN true ELSE position(c IN r) > 0 END AS better FROM p
+""")
+def roi_text_is_better(spark, d):
+    p = table(spark, d, "part")
+    cut = lambda n: F.left("p_name", (F.col("p_partkey") % n).cast("int"))
+    return p.select("p_partkey", tx.roi_text_is_better(cut(9), cut(13)).alias("better"))
+
+
+@query("""
+WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)
+SELECT a.vec_id, list_cosine_similarity(a.v, list_transform(a.v, lambda x, i: CASE WHEN i <= a.vec_id % 4 THEN -x ELSE x END)) >= 0.999 AS equal FROM v a
+""")
+def vectors_equal(spark, d):
+    v = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    other = F.transform("v", lambda x, i: F.when(i < F.col("vec_id") % 4, -x).otherwise(x))
+    return v.select("vec_id", equivalence.vectors_equal(F.col("v"), other).alias("equal"))
+
+
+@query("SELECT event_id AS i, CAST(event_id // 7 AS BIGINT) AS f, 'shot_' || (event_id // 100) AS shot FROM events")
+def rewrite_frames(spark, d):
+    e = table(spark, d, "events").select("event_id")
+    catalog = e.select(F.col("event_id").alias("frame_id"), F.floor(F.col("event_id") / 7).alias("f"))
+    existing = e.select(F.col("event_id").alias("frame_id"), F.lit(-1).alias("f"), F.concat(F.lit("shot_"), F.floor(F.col("event_id") / 100)).alias("shot"))
+    return timeline.rewrite_frames(catalog, existing).select(F.col("frame_id").alias("i"), "f", "shot")
+
+
+@query("""
+WITH r AS (SELECT o_orderkey, o_custkey % 50 AS k FROM orders), s AS (SELECT k, 'seg_' || k AS id FROM (SELECT DISTINCT o_custkey % 50 AS k FROM orders) WHERE k % 2 = 0)
+SELECT r.o_orderkey AS i, s.id IS NOT NULL AS found, s.id AS target FROM r LEFT JOIN s USING (k)
+""")
+def first_record_wins(spark, d):
+    """References to records whose ids repeat: the first line of an id is the one that counts."""
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey") % 50)
+    o = o.toDF("o_orderkey", "k")
+    later = o.filter("k % 2 = 0").select("k", (F.col("o_orderkey") + 10).alias("line_no"), F.concat(F.lit("late_"), "o_orderkey").alias("id"))
+    owner = o.filter("k % 2 = 0").select("k").distinct().select("k", F.lit(-1).cast("long").alias("line_no"), F.concat(F.lit("seg_"), "k").alias("id")).unionByName(later)
+    r = export.resolve(o, "k", owner, "k", ["id"], "ref", "line_no")
+    return r.select(F.col("o_orderkey").alias("i"), "ref.found", F.col("ref.id").alias("target"))
