@@ -46,42 +46,45 @@ def traverse(edges: DataFrame, start: str, depth: int = 2, direction: str = "bot
     """Breadth-first from `start`: out-edges before in-edges, edges in edge_idx order; an edge with an id once.
 
     The limit is on edges and is met when a further slot is looked at after the last edge it allows. Nodes at the full
-    depth are listed and not followed. Ranks within a level are made by ranges of the order, so no task holds a level."""
+    depth are listed and not followed. Adjacency is settled once. A level's slots have the order (rank of their node,
+    direction, edge), so only its new nodes are numbered, by ranges of that order; no task holds a level."""
     if not start:
         raise ValueError("a start id is needed")
     spark = edges.sparkSession
-    slots = _slots(edges, direction)
+    slots = settled(_slots(edges, direction))
+    order = ["node_rank", "dir", "edge_idx"]
     frontier = spark.createDataFrame([(start, 0, 0)], "node string, depth int, node_rank long")
     nodes, found = frontier, None
     count, rank, hit = 0, 1, False
     for level in range(depth):
-        seen = with_line_numbers(slots.join(frontier.select("node", "node_rank"), "node"), ["node_rank", "dir", "edge_idx"]).withColumnRenamed("line_no", "slot")
+        seen = slots.join(frontier.select("node", "node_rank"), "node")
         # The first slot of each id counts; slots without an id always do, and stand alone.
-        alone = F.when(F.col("relationship_id") == "", F.col("slot"))
-        new = seen.withColumn("_first", F.row_number().over(Window.partitionBy("relationship_id", alone).orderBy("slot"))).filter("_first = 1")
+        alone = F.when(F.col("relationship_id") == "", F.struct("edge_idx", "dir", "node"))
+        new = seen.withColumn("_first", F.row_number().over(Window.partitionBy("relationship_id", alone).orderBy(*order))).filter("_first = 1").drop("_first")
         if found is not None:
-            old = found.filter("relationship_id <> ''").select("relationship_id").distinct()
-            new = new.join(old, "relationship_id", "left_anti")
-        new = settled(with_line_numbers(new, ["slot"]).withColumnRenamed("line_no", "_n"))
-        slot_count, total = seen.count(), new.count()
+            new = new.join(found.filter("relationship_id <> ''").select("relationship_id").distinct(), "relationship_id", "left_anti")
+        new = settled(new)
+        total = new.count()
         room = total if limit is None else max(0, limit - count)
-        emitted = new.filter(F.col("_n") <= room)
-        if limit is not None and slot_count:
-            last = new.filter(F.col("_n") == room).select("slot").first()
-            hit = room == 0 or (last is not None and slot_count > last["slot"])
-        took = min(total, room)
-        level_edges = emitted.select("edge_idx", "relationship_id", "dir", F.lit(level + 1).alias("depth"), (F.col("_n") + count).alias("edge_rank"), "node", "next")
+        emitted = new if total <= room else settled(new.orderBy(*order).limit(room))  # what the limit lets through
+        if limit is not None and total >= room:
+            last = emitted.agg(F.max(F.struct(*order)).alias("m")).first()["m"]
+            after = seen if last is None else seen.filter(F.struct(*order) > F.struct(*[F.lit(last[c]).cast(seen.schema[c].dataType).alias(c) for c in order]))
+            hit = bool(after.head(1))
+        level_edges = emitted.select("edge_idx", "relationship_id", "dir", F.lit(level + 1).alias("depth"), "node_rank", "node", "next")
         found = level_edges if found is None else found.unionByName(level_edges)
-        fresh = emitted.groupBy(F.col("next").alias("node")).agg(F.min("slot").alias("_slot")).join(nodes.select("node"), "node", "left_anti")
+        fresh = emitted.groupBy(F.col("next").alias("node")).agg(F.min(F.struct(*order)).alias("_slot")).join(nodes.select("node"), "node", "left_anti")
         frontier = settled(with_line_numbers(fresh, ["_slot"]).select("node", F.lit(level + 1).alias("depth"), (F.col("line_no") + rank - 1).alias("node_rank")))
         nodes = nodes.unionByName(frontier)
-        count += took
+        count += min(total, room)
         size = frontier.count()
         rank += size
         if hit or not size:
             break
     if found is None:
         found = slots.limit(0).select("edge_idx", "relationship_id", "dir", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("edge_rank"), "node", "next")
+    else:
+        found = with_line_numbers(found, ["depth", *order]).select("edge_idx", "relationship_id", "dir", "depth", F.col("line_no").alias("edge_rank"), "node", "next")
     return Traversal(nodes, found, hit)
 
 

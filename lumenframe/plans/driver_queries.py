@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import color, geometry, text as tx, timing
-from ..operators import audio, edges as eg, equivalence, export, graph, index, intervals as iv, microphones, ocr, relationships, search, timeline, transcript, validate
+from ..operators import audio, edges as eg, equivalence, export, graph, index, intervals as iv, microphones, ocr, package_checks, relationships, search, timeline, transcript, validate
 from ..sources import layers
 from ..sources.catalog import SEMANTIC, SUPPORT
 
@@ -1118,3 +1118,59 @@ def first_record_wins(spark, d):
     owner = o.filter("k % 2 = 0").select("k").distinct().select("k", F.lit(-1).cast("long").alias("line_no"), F.concat(F.lit("seg_"), "k").alias("id")).unionByName(later)
     r = export.resolve(o, "k", owner, "k", ["id"], "ref", "line_no")
     return r.select(F.col("o_orderkey").alias("i"), "ref.found", F.col("ref.id").alias("target"))
+
+
+_CHECKED = package_checks.Registry(observation_types=("caption",), color_buckets=("red", "blue", "green"), color_spaces=("oklch",), sampling_bases=("grid",), bucket_registry_version="1")
+
+
+def _json_lines(df: DataFrame, entry: str, number: str, value: Column) -> DataFrame:
+    """Lines of one layer, as reading them gives."""
+    v = F.try_parse_json(value)
+    return df.select(F.lit("p").alias("package"), F.lit(entry).alias("entry"), F.col(number).alias("line_no"), v.alias("v"), v.isNull().alias("malformed"))
+
+
+@query("""
+WITH p AS (SELECT p_partkey AS k, p_partkey % 11 / 10.0::DOUBLE AS r, CASE WHEN p_partkey % 3 = 0 THEN 1.0 - p_partkey % 11 / 10.0::DOUBLE ELSE 0.5 END AS b FROM part),
+t AS (SELECT *, CASE WHEN r BETWEEN 0 AND 1 THEN r ELSE 0 END + CASE WHEN b BETWEEN 0 AND 1 THEN b ELSE 0 END AS total FROM p),
+f AS (SELECT k, 'ERR_COLOR_INVALID_BUCKET_ID' AS code FROM t WHERE k % 5 = 0 UNION ALL SELECT k, 'ERR_COLOR_INVALID_PERCENTAGE_TOTAL' FROM t WHERE abs(total - 1) > 1e-6
+  UNION ALL SELECT k, 'ERR_COLOR_INVALID_PERCENTAGE_TOTAL' FROM t WHERE abs(1 - total) > 1e-6 UNION ALL SELECT k, 'ERR_COLOR_INVALID_COLOR_SPACE' FROM t WHERE k % 7 = 0
+  UNION ALL SELECT k, 'ERR_COLOR_INVALID_DOMINANT_BUCKET' FROM t WHERE b - r > 1e-6 UNION ALL SELECT k, 'ERR_COLOR_INVALID_PERCENTAGE_BOUNDS' FROM t WHERE b < 0)
+SELECT '/colors/color_observations.jsonl:' || k AS path, code FROM f
+""")
+def color_record_findings(spark, d):
+    k = F.col("p_partkey")
+    r = (k % 11 / 10.0).cast("double")
+    b = F.when(k % 3 == 0, F.lit(1.0) - r).otherwise(F.lit(0.5))
+    other = F.when(k % 5 == 0, F.lit("mauve")).otherwise(F.lit("blue"))
+    body = F.concat(F.lit('{"bucket_coverage":{"red":'), r.cast("string"), F.lit(',"'), other, F.lit('":'), b.cast("string"), F.lit('},"coverage_total":1.0,"dominant_bucket":"red","color_space":"'), F.when(k % 7 == 0, "rgb").otherwise("oklch"), F.lit('"}'))
+    lines = _json_lines(table(spark, d, "part"), "colors/color_observations.jsonl", "p_partkey", body)
+    return package_checks.color_findings(lines, _CHECKED).select("path", "code")
+
+
+@query("""
+WITH w AS (SELECT event_id AS k, user_id AS u, event_id * 1000 AS s, event_id * 1000 + CASE WHEN event_id % 17 = 0 THEN 0 ELSE 100000 END AS e, event_id % 13 = 0 AS odd FROM events),
+r AS (SELECT *, max(e) OVER (PARTITION BY u ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM w),
+f AS (SELECT k, 'ERR_MEDIA_INVALID_LOUDNESS_TIMING' AS code FROM r WHERE e <= s UNION ALL SELECT k, 'ERR_MEDIA_INVALID_LOUDNESS_TIMING' FROM r WHERE s < reach UNION ALL SELECT k, 'ERR_MEDIA_INVALID_LOUDNESS_VALUE' FROM r WHERE odd)
+SELECT '/media/audio/loudness.jsonl:' || k AS path, code FROM f
+""")
+def loudness_record_findings(spark, d):
+    k = F.col("event_id")
+    body = F.concat(F.lit('{"target_id":"'), F.col("user_id"), F.lit('","start_us":'), k * 1000, F.lit(',"end_us":'), k * 1000 + F.when(k % 17 == 0, 0).otherwise(100_000), F.lit(',"momentary_lufs":'), F.when(k % 13 == 0, '"loud"').otherwise("-20.5"), F.lit(',"shortterm_lufs":null,"true_peak_dbtp":-1}'))
+    lines = _json_lines(table(spark, d, "events"), "media/audio/loudness.jsonl", "event_id", body)
+    none = spark.createDataFrame([], "package string, entry string, content binary")
+    return package_checks.loudness_findings(none, lines, _CHECKED).select("path", "code")
+
+
+@query("""
+WITH n AS (SELECT l_orderkey * 10 + l_linenumber AS k, l_partkey % 30 AS f FROM lineitem), g AS (SELECT n_nationkey AS f FROM nation)
+SELECT k AS line_no, 'f' || n.f AS ref, g.f IS NOT NULL AS found, CASE WHEN g.f IS NOT NULL THEN CAST(n.f * 3 AS VARCHAR) END AS frame_index FROM n LEFT JOIN g USING (f)
+""")
+def record_references(spark, d):
+    n = table(spark, d, "nation").withColumn("n_nationkey", F.col("n_nationkey").cast("long"))
+    frames = _json_lines(n, "timeline/frames.jsonl", "n_nationkey", F.concat(F.lit('{"id":"f'), F.col("n_nationkey"), F.lit('","frame_index":'), F.col("n_nationkey") * 3, F.lit(',"pts_us":1}')))
+    again = frames.withColumn("line_no", F.col("line_no") + 1000).withColumn("v", F.parse_json(F.concat(F.lit('{"id":"f'), F.col("line_no") - 1000, F.lit('","frame_index":-1}'))))  # a later record of the id
+    li = table(spark, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("k"), F.concat(F.lit('{"frame_id":"f'), F.col("l_partkey") % 30, F.lit('"}')).alias("body"))
+    lines = frames.unionByName(again).unionByName(_json_lines(li, "spatial/regions.jsonl", "k", F.col("body")))
+    files = spark.createDataFrame([], "package string, entry string, file string")
+    blocks = spark.createDataFrame([], "package string, block_file string, block_offset long, block_ordinal int, decoded_file string, decoded_offset long, decoded_length long")
+    return export.resolve_records(lines, files, blocks).select("line_no", "ref", "found", "frame_index")

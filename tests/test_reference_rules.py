@@ -367,3 +367,125 @@ def test_health_of_an_empty_graph(spark):
     objects = spark.createDataFrame([("a",), ("a",), (None,)], "id string")
     got = graph.health(edges, objects).first().asDict()
     assert got == {"total_edges": 0, "support_edges": 0, "semantic_edges": 0, "unknown_edges": 0, "total_nodes": 0, "unresolved_endpoints": 0, "orphan_objects": 1, "total_objects": 1}
+
+
+# --- scenes and recognised text -----------------------------------------------------------------------------------------
+def test_scenes_by_a_walk(spark):
+    r = random.Random(10)
+    names = ("blue", "gray", "green", "red")
+    data, want = [], []
+    for k in range(40):
+        covers = []
+        for _ in range(r.randint(1, 14)):
+            if covers and r.random() < 0.5:
+                covers.append(dict(covers[-1]))
+                continue
+            parts = [r.choice([0, 0, 1, 2, 5]) for _ in names]
+            total = sum(parts) or 1
+            covers.append({n: p / total for n, p in zip(names, parts) if p or r.random() < 0.3})
+        data += [(k, i, i * 100, c) for i, c in enumerate(covers)]
+        runs = []
+        top = lambda c: min(names, key=lambda n: (-c.get(n, 0.0), n))
+        diverse = lambda c: sum(c.get(n, 0.0) >= 0.05 for n in names if n != "gray")
+        for i, c in enumerate(covers):
+            p = covers[i - 1] if i else None
+            new = p is None or top(c) != top(p) or sum(abs(c.get(n, 0.0) - p.get(n, 0.0)) for n in names) > 0.5 or abs(c.get(top(p), 0.0) - p.get(top(p), 0.0)) > 0.35 or abs(diverse(c) - diverse(p)) >= 2
+            runs = runs + [[i]] if new else runs[:-1] + [runs[-1] + [i]]
+        merged = []
+        for run in runs:  # a short run joins the scene before it
+            if merged and len(run) < 3:
+                merged[-1] += run
+            else:
+                merged.append(list(run))
+        if len(merged) > 1 and len(merged[0]) < 3:  # the first joins the one after it
+            merged[1] = merged[0] + merged[1]
+            merged.pop(0)
+        want += [(k, n, m[0] * 100, m[-1] * 100, len(m)) for n, m in enumerate(merged)]
+    df = spark.createDataFrame(data, "k int, i int, at long, bucket_coverage map<string,double>").repartition(3)
+    got = timeline.scenes(df, "k", "i", "at", 3, buckets=names).select("k", "scene", "start_us", "end_us", "frames")
+    assert rows(got) == sorted(want)
+
+
+def test_observations_by_a_walk(spark):
+    r = random.Random(11)
+    key = lambda t: "".join(c for c in t.lower() if c.isascii() and c.isalnum())
+
+    def digits_read(t):  # whole texts are single runs here
+        if any(c.isdigit() for c in t) and not any(c.isalpha() and c not in "OoIlSB" for c in t):
+            return ("S" if t.startswith("S") else "") + t[t.startswith("S") :].translate(str.maketrans("OoIlSB", "001158"))
+        return t
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, before = [i] + [0] * len(b), row
+            for j, y in enumerate(b, 1):
+                row[j] = min(before[j] + 1, row[j - 1] + 1, before[j - 1] + (x != y))
+        return row[-1]
+
+    def alike(a, b):
+        if a == b:
+            return True
+        digits = lambda t: [c for c in t if c.isdigit()]
+        short, long = (a, b) if len(a) <= len(b) else (b, a)
+        if digits(a) != digits(b):
+            return False
+        for front in range(3):
+            for back in range(3):
+                piece = short[front : len(short) - back]
+                if len(short) > front + back and 2 * len(piece) >= len(long) and piece in long:
+                    return True
+        return not long or 1 - distance(short, long) / len(long) >= 0.8
+
+    def iou(a, b):
+        w, h = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
+        return w * h / ((a[2] - a[0]) * (a[3] - a[1]) + (b[2] - b[0]) * (b[3] - b[1]) - w * h) if w > 0 and h > 0 else 0.0
+
+    texts = ["Openinghours", "Openinghour", "0peninghours", "penin", "Total100", "Total1O0", "Total200", "1O0", "100", "IOO", "x", "Exit", "Exlt"]
+    data, want = [], []
+    for package in range(12):
+        items = []
+        for i in range(r.randint(1, 25)):
+            x, y = r.choice([0.0, 2.0, 60.0]), r.choice([0.0, 1.0])
+            items.append((i, r.choice(texts), [x, y, x + 20, y + 10], r.randint(0, 12) * 1_000_000, r.randint(0, 30), round(r.random(), 2), r.random() < 0.3))
+        data += [(package, *t) for t in items]
+        live = [t for t in items if len(key(t[1])) >= 2]
+        groups: dict = {}
+        place = {}
+        for t in live:
+            for p in groups.setdefault(key(t[1]), []):
+                if any(iou(t[2], o[2]) > 0.3 for o in p):
+                    p.append(t)
+                    place[t[0]] = p[0][0]
+                    break
+            else:
+                groups[key(t[1])].append([t])
+                place[t[0]] = t[0]
+        top = {p: p for p in place.values()}
+
+        def find(p):
+            while top[p] != p:
+                p = top[p]
+            return p
+
+        for a in live:
+            for b in live:
+                if abs(a[3] - b[3]) <= 5_000_000 and iou(a[2], b[2]) > 0.3 and alike(key(digits_read(a[1])), key(digits_read(b[1]))):
+                    x, y = find(place[a[0]]), find(place[b[0]])
+                    top[max(x, y)] = min(x, y)
+        for root in sorted({find(p) for p in top}):
+            own = [t for t in live if find(place[t[0]]) == root]
+            read = [t[5] for t in own if not t[6]]
+            readings = max(1, len(read))
+            mean = sum(read) / len(read) if read else sum(t[5] for t in own) / len(own)
+            if readings == 1 and mean < 0.5:
+                continue
+            count = {}
+            for t in own:
+                count[key(t[1])] = count.get(key(t[1]), 0) + 1
+            best = min(count, key=lambda k: (-count[k], -len(k), k))
+            raw = min((t for t in own if key(t[1]) == best), key=lambda t: (-len(t[1]), t[0]))[1]
+            want.append((package, root, raw, min(t[3] for t in own), max(t[3] for t in own), len(own), readings, round(min(1.0, mean + 0.1 * (readings - 1)) if readings > 1 else mean, 9)))
+    df = spark.createDataFrame(data, "package_id int, line_no long, raw_text string, box array<double>, at_us long, frame long, confidence double, reused boolean").repartition(3)
+    got = ocr.reconcile(df, 10).select("package_id", "root", "raw_text", "start_us", "end_us", "detections", "readings", F.round("confidence", 9).alias("c"))
+    assert rows(got) == sorted(want)
