@@ -125,16 +125,100 @@ def decode_speakers(words: DataFrame, speakers: int, key: str = "stream") -> Dat
     return words.groupBy(key).applyInPandas(one, f"{key} {kind}, word_no long, decoded int")
 
 
-def smooth_islands(words: DataFrame, key: list[str], most_words: int = 2) -> DataFrame:
-    """Runs of at most `most_words` words between two runs of one other speaker become that speaker's."""
-    order = Window.partitionBy(*key).orderBy("word_no")
-    new = F.coalesce((F.lag("speaker_id").over(order) != F.col("speaker_id")), F.lit(True)).cast("int")
-    runs = words.withColumn("_new", new).withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    size = runs.groupBy(*key, "_run").agg(F.count("*").alias("_n"), F.first("speaker_id").alias("_s"))
-    near = Window.partitionBy(*key).orderBy("_run")
-    size = size.withColumn("_p", F.lag("_s").over(near)).withColumn("_q", F.lead("_s").over(near))
-    fix = size.filter((F.col("_n") <= most_words) & (F.col("_p") == F.col("_q"))).select(*key, "_run", F.col("_p").alias("_to"))
-    return runs.join(fix, [*key, "_run"], "left").withColumn("speaker_id", F.coalesce("_to", "speaker_id")).drop("_new", "_run", "_to")
+#: Fixed values of the repairs: words of an island, words and delay of a late change, words of a punctuated island and its
+#: least overlap with a segment, and the overlap by which a segment decides among three or more speakers.
+ISLAND_WORDS, LATE_WORDS, LATE_US, CLAUSE_WORDS, CLAUSE_SHARE, LOCK_SHARE = 2, 3, 250_000, 3, 0.50, 0.60
+CLAUSE_ENDS = (".", "?", "!", ",", ";", ":")
+
+
+def _run_end(speaker: list[int], i: int) -> int:
+    """The place after the run of equal speakers that begins at i."""
+    j = i + 1
+    while j < len(speaker) and speaker[j] == speaker[i]:
+        j += 1
+    return j
+
+
+def join_islands(speaker: list[int], start: list[int], end: list[int]) -> None:
+    """Runs of at most ISLAND_WORDS words between two runs of one other speaker become that speaker's, if the next word
+    follows without a gap. Runs are looked at from the first to the last, each as the ones before it have left it."""
+    i = 0
+    while i < len(speaker):
+        j = _run_end(speaker, i)
+        if 0 < i and j < len(speaker) and j - i <= ISLAND_WORDS and start[j] - end[j - 1] <= GAP_US and speaker[i - 1] == speaker[j] != speaker[i]:
+            speaker[i:j] = [speaker[j]] * (j - i)
+        i = j
+
+
+def advance_handoffs(speaker: list[int], start: list[int], end: list[int], segments: list[tuple[int, int]]) -> None:
+    """Where a segment's speaker takes over a few words late, the words since its start become that speaker's.
+
+    segments: (start, speaker) in order. The first word whose middle lies within LATE_US after the start of a segment of
+    another speaker than the one before it, and that is not that speaker's yet, begins the change, if the speaker's own
+    words begin within LATE_WORDS words after it and no gap lies between."""
+    middle = np.array([a + (b - a) // 2 for a, b in zip(start, end)], np.int64)
+    for (_, before), (begin, now) in zip(segments, segments[1:]):
+        if now < 0 or before == now:
+            continue
+        near = np.flatnonzero((middle >= begin) & (middle <= begin + LATE_US))
+        if not near.size or speaker[near[0]] == now:
+            continue
+        first = int(near[0])
+        for i in range(first + 1, min(len(speaker), first + LATE_WORDS + 2)):
+            if start[i] - end[i - 1] > GAP_US:
+                break
+            if speaker[i] == now:
+                speaker[first:i] = [now] * (i - first)
+                break
+
+
+def return_clauses(speaker: list[int], text: list[str], best: list[int], share: list[float], supported: list[bool]) -> None:
+    """Runs of at most CLAUSE_WORDS words, one of them with a clause's end, go to the one other speaker whose segments cover
+    CLAUSE_SHARE of each of their words, unless a word's speaker is supported by its voice."""
+    i = 0
+    while i < len(speaker):
+        j = _run_end(speaker, i)
+        other = {best[k] for k in range(i, j)}
+        fits = len(other) == 1 and min(other) >= 0 and min(other) != speaker[i] and not any(supported[i:j]) and min(share[i:j]) >= CLAUSE_SHARE
+        if j - i <= CLAUSE_WORDS and fits and any(t.endswith(CLAUSE_ENDS) for t in text[i:j]):
+            speaker[i:j] = [best[i]] * (j - i)
+        i = j
+
+
+def repair_speakers(words: DataFrame, segments: DataFrame, key: str = "stream", steps: tuple[str, ...] = ("islands", "handoffs", "clauses", "locks")) -> DataFrame:
+    """words with speaker repaired, in the order of steps: `join_islands`, `advance_handoffs`, `return_clauses`, and locks,
+    by which in streams of three or more speakers the one whose segments cover LOCK_SHARE of a word has it.
+
+    words: key, word_no, text, start_us, end_us, speaker (a number, -1: unknown), supported (by voice; may be missing).
+    segments: key, seg_no, speaker, start_us, end_us. What covers a word is found by a join; the repairs are a fold over one
+    stream's words, so a worker holds one recording."""
+    kind = words.schema[key].dataType.simpleString()
+    rest = [c for c in words.columns if c not in (key, "word_no", "speaker")]
+    voiced = F.coalesce(F.col("supported"), F.lit(False)) if "supported" in words.columns else F.lit(False)
+    cover = overlap_per_speaker(words, segments.filter("speaker >= 0").withColumnRenamed("speaker", "speaker_id"), [key])
+    top = cover.groupBy(key, "word_no").agg(F.max(F.struct("overlap_us", F.negative("speaker_id").alias("m"), "share")).alias("t"))
+    slim = words.join(top, [key, "word_no"], "left").select(
+        key, "word_no", F.coalesce("text", F.lit("")).alias("text"), "start_us", "end_us", "speaker", voiced.alias("supported"),
+        F.coalesce(-F.col("t.m"), F.lit(-1)).alias("best"), F.coalesce("t.share", F.lit(0.0)).alias("share"),
+    )
+
+    def one(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        w, g = a.sort_values("word_no"), b.sort_values("seg_no")
+        speaker, start, end = ([int(x) for x in w[c]] for c in ("speaker", "start_us", "end_us"))
+        best, share, supported = [int(x) for x in w["best"]], [float(x) for x in w["share"]], [bool(x) for x in w["supported"]]
+        for step in steps:
+            if step == "islands":
+                join_islands(speaker, start, end)
+            elif step == "handoffs":
+                advance_handoffs(speaker, start, end, [(int(s), int(n)) for s, n in zip(g["start_us"], g["speaker"])])
+            elif step == "clauses":
+                return_clauses(speaker, w["text"].tolist(), best, share, supported)
+            elif len(g) and int(g["speaker"].max()) >= 2:
+                speaker = [n if s >= LOCK_SHARE and n >= 0 and not v else x for x, n, s, v in zip(speaker, best, share, supported)]
+        return pd.DataFrame({key: w[key].to_numpy(), "word_no": w["word_no"].to_numpy(), "speaker": speaker})
+
+    fixed = slim.groupBy(key).cogroup(segments.select(key, "seg_no", "speaker", "start_us").groupBy(key)).applyInPandas(one, f"{key} {kind}, word_no long, speaker int")
+    return words.select(key, "word_no", *rest).join(fixed, [key, "word_no"])
 
 
 #: Fixed value: consecutive tokens that two chunks must share to be joined at them.

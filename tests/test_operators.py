@@ -207,8 +207,6 @@ def test_utterances_and_chunks(spark):
     assert {got[i] for i in range(1, 13)} == {"B"} and got[0] == "A" and got[13] == "A"
     none = transcript.expand_sustained_speakers(df, segs.filter("k = 'other'"), ["k"])
     assert rows(none.select("word_no", "speaker_id"), "word_no") == [(x[1], x[5]) for x in w]  # no segments: words stay
-    isl = spark.createDataFrame([("s", i, s) for i, s in enumerate("AAABAAABBBA")], "k string, word_no long, speaker_id string")
-    assert "".join(r.speaker_id for r in transcript.smooth_islands(isl, ["k"]).orderBy("word_no").collect()) == "AAAAAAABBBA"
 
 
 def test_voices():

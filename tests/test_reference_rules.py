@@ -489,3 +489,81 @@ def test_observations_by_a_walk(spark):
     df = spark.createDataFrame(data, "package_id int, line_no long, raw_text string, box array<double>, at_us long, frame long, confidence double, reused boolean").repartition(3)
     got = ocr.reconcile(df, 10).select("package_id", "root", "raw_text", "start_us", "end_us", "detections", "readings", F.round("confidence", 9).alias("c"))
     assert rows(got) == sorted(want)
+
+
+def walk_repairs(words, segments):
+    """words: (text, start, end, speaker, supported); segments: (start, end, speaker). One rule after the other."""
+    now = [w[3] for w in words]
+    cover = []
+    for _, s, e, _, _ in words:
+        us = {}
+        for a, b, n in segments:
+            if n >= 0 and e > s and min(e, b) > max(s, a):
+                us[n] = us.get(n, 0) + min(e, b) - max(s, a)
+        best = min(us, key=lambda n: (-us[n], n)) if us else -1
+        cover.append((best, us[best] / (e - s) if us else 0.0))
+    i = 0
+    while i < len(now):
+        j = i
+        while j + 1 < len(now) and now[j + 1] == now[i]:
+            j += 1
+        if i and j + 1 < len(now) and j - i < 2 and words[j + 1][1] - words[j][2] <= 750_000 and now[i - 1] == now[j + 1] and now[i] != now[i - 1]:
+            for k in range(i, j + 1):
+                now[k] = now[i - 1]
+        i = j + 1
+    for k in range(1, len(segments)):
+        begin, n = segments[k][0], segments[k][2]
+        if n == segments[k - 1][2] or n < 0:
+            continue
+        late = [i for i, w in enumerate(words) if 0 <= w[1] + (w[2] - w[1]) // 2 - begin <= 250_000]
+        if not late or now[late[0]] == n:
+            continue
+        for i in range(late[0] + 1, min(len(words), late[0] + 5)):
+            if words[i][1] - words[i - 1][2] > 750_000:
+                break
+            if now[i] == n:
+                for x in range(late[0], i):
+                    now[x] = n
+                break
+    i = 0
+    while i < len(now):
+        j = i
+        while j + 1 < len(now) and now[j + 1] == now[i]:
+            j += 1
+        run = range(i, j + 1)
+        if len(run) <= 3 and any(words[k][0][-1:] in (".", "?", "!", ",", ";", ":") and words[k][0] for k in run):
+            if all(not words[k][4] and cover[k][0] >= 0 and cover[k][1] >= 0.5 and cover[k][0] != now[k] and cover[k][0] == cover[i][0] for k in run):
+                for k in run:
+                    now[k] = cover[i][0]
+        i = j + 1
+    if segments and max(n for _, _, n in segments) >= 2:
+        now = [c[0] if c[0] >= 0 and c[1] >= 0.6 and not w[4] else x for x, c, w in zip(now, cover, words)]
+    return now
+
+
+def test_repairs_by_a_walk(spark):
+    r = random.Random(13)
+    words, segs, want = [], [], []
+    for stream in range(120):
+        at, own = 0, []
+        few = r.choice([1, 2, 3])
+        for _ in range(r.randint(1, 40)):
+            n = r.choice([100_000, 200_000, 300_000, 0])
+            own.append((r.choice(["a", "b.", "c,", "", "d"]), at, at + n, own[-1][3] if own and r.random() < 0.6 else r.randint(-1, few), r.random() < 0.1))
+            at += n + r.choice([0, 0, 50_000, 800_000])
+        turn, seg = 0, []
+        while turn < at and r.random() > 0.02:
+            n = r.choice([150_000, 400_000, 900_000])
+            seg.append((turn, turn + n, r.randint(-1 if r.random() < 0.1 else 0, few)))
+            turn += n - r.choice([0, 0, 60_000])
+        words += [(stream, i, *w) for i, w in enumerate(own)]
+        segs += [(stream, i, s, e, n) for i, (s, e, n) in enumerate(seg)]
+        want += [(stream, i, n) for i, n in enumerate(walk_repairs(own, seg))]
+    w = spark.createDataFrame(words, "stream int, word_no long, text string, start_us long, end_us long, speaker int, supported boolean").repartition(3)
+    g = spark.createDataFrame(segs, "stream int, seg_no long, start_us long, end_us long, speaker int")
+    got = transcript.repair_speakers(w, g)
+    assert got.columns == ["stream", "word_no", "text", "start_us", "end_us", "supported", "speaker"]
+    assert rows(got.select("stream", "word_no", "speaker")) == sorted(want)
+    alternating = [0, 1, 0, 1, 0]
+    transcript.join_islands(alternating, [0, 1, 2, 3, 4], [1, 2, 3, 4, 5])
+    assert alternating == [0] * 5
