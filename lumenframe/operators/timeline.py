@@ -72,14 +72,85 @@ def scenes(frames: DataFrame, key: str, order: str, at: str, least: int = 1, **o
     return joined.groupBy(key, "scene").agg(F.min("start_us").alias("start_us"), F.max("end_us").alias("end_us"), F.sum("frames").alias("frames"), F.min_by("dominant", "run").alias("dominant"))
 
 
-def shot_spans(shots: DataFrame, key: list[str], start: str, end: str) -> DataFrame:
-    """Neighbouring shots meet halfway between one's last and the next one's first frame; times never run backwards."""
-    w = Window.partitionBy(*key).orderBy(start, end)
-    mid = lambda a, b: F.expr(f"div({a} + {b}, 2)")
-    df = shots.withColumn("_p", F.lag(end).over(w)).withColumn("_q", F.lead(start).over(w))
-    df = df.withColumn("from_us", F.coalesce(mid("_p", start), F.col(start))).withColumn("to_us", F.coalesce(mid(end, "_q"), F.col(end)))
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("from_us", F.max("from_us").over(upto)).withColumn("to_us", F.greatest("from_us", F.max("to_us").over(upto))).drop("_p", "_q")
+def shot_spans(shots: DataFrame, durations: DataFrame, key: list[str], order: str = "shot_no", first: str = "first_us", last: str = "last_us") -> DataFrame:
+    """shots (key, shot_no, times of the first and last frame) with from_us and to_us: shots meet halfway between one's last
+    and the next one's first frame, the first begins at 0 and the last ends with the recording (key, duration_us).
+
+    Borders never run backwards; they lie a microsecond apart where the recording is long enough for that."""
+    w = Window.partitionBy(*key).orderBy(order)
+    all_ = Window.partitionBy(*key)
+    n, i = F.count("*").over(all_), F.row_number().over(w)
+    df = shots.join(durations.select(*key, F.col("duration_us").cast("long").alias("_d")), key).withColumn("_i", i).withColumn("_n", n)
+    df = df.withColumn("_step", F.when(F.col("_d") >= F.col("_n"), 1).otherwise(0))
+    # Borders by their number: 0 before the first shot, then one at the end of each.
+    df = df.withColumn("_q", F.lead(first).over(w))
+    df = df.withColumn("_b", F.when(F.col("_i") == F.col("_n"), F.col("_d")).otherwise(F.expr(f"div({last} + _q, 2)")))
+    number = F.col("_i") * F.col("_step")
+    # Each border at least a step after all before it (and after border 0, at 0) ...
+    df = df.withColumn("_b", number + F.greatest(F.lit(0), F.max(F.col("_b") - number).over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    # ... and, counted back from the end of the recording, at least a step before all after it.
+    df = df.withColumn("_b", F.when(F.col("_i") == F.col("_n"), F.col("_d")).otherwise(F.col("_b")))
+    df = df.withColumn("to_us", number + F.min(F.col("_b") - number).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    zero = F.least(F.lit(0), F.min(F.col("_b") - number).over(all_))
+    return df.withColumn("from_us", F.coalesce(F.lag("to_us").over(w), zero)).drop("_d", "_i", "_n", "_step", "_q", "_b")
+
+
+def scene_spans(scenes: DataFrame, shots: DataFrame, key: list[str]) -> DataFrame:
+    """scenes (key, scene_id, start_us, end_us, frame_ids) with shot_ids, from_us and to_us: a scene has the shots (key,
+    shot_no, shot_id, frame_ids, from_us, to_us) that share a frame with it, in order, and reaches from the first one's
+    beginning to the last one's end; without a shot it keeps its own times."""
+    s = scenes.select(*key, "scene_id", F.explode("frame_ids").alias("_f"))
+    t = shots.select(*key, "shot_no", "shot_id", "from_us", "to_us", F.explode("frame_ids").alias("_f"))
+    own = s.join(t, [*key, "_f"]).select(*key, "scene_id", F.struct("shot_no", "shot_id", "from_us", "to_us").alias("_s")).distinct()
+    of = own.groupBy(*key, "scene_id").agg(F.sort_array(F.collect_list("_s")).alias("_s"))
+    ends = scenes.join(of, [*key, "scene_id"], "left")
+    first, last = F.get("_s", F.lit(0))["from_us"], F.try_element_at("_s", F.lit(-1))["to_us"]
+    ids = F.coalesce(F.transform("_s", lambda x: x["shot_id"]), F.array().cast("array<string>"))
+    return ends.withColumn("shot_ids", ids).withColumn("from_us", F.coalesce(first, "start_us")).withColumn("to_us", F.coalesce(last, "end_us")).drop("_s")
+
+
+def color_targets(frames: DataFrame, ranges: DataFrame, key: list[str]) -> DataFrame:
+    """(key, target_type, target_id, start_us, end_us, frame_ids, sampling_basis, part, place): what colours are observed of.
+
+    Every frame (key, frame_id, at_us, keyframe) is a target by itself, in order of id; then come scenes and then shots
+    (key, target_type, target_no, target_id, start_us, end_us, frame_ids), each sampled on its keyframes, or on all of its
+    frames where none is one. A frame that a range names but that does not exist is an error to be found by
+    `missing_frames`, and is not sampled."""
+    one = frames.select(
+        *key, F.lit("frame").alias("target_type"), F.col("frame_id").alias("target_id"), F.col("at_us").alias("start_us"), F.col("at_us").alias("end_us"),
+        F.array("frame_id").alias("frame_ids"), F.lit("full_frame").alias("sampling_basis"), F.lit(0).alias("part"), F.struct(F.lit(0).cast("long").alias("n"), F.col("frame_id").alias("id")).alias("place"),
+    )
+    named = ranges.select(*key, "target_type", "target_no", "target_id", "start_us", "end_us", F.posexplode("frame_ids").alias("_p", "frame_id")).join(frames.select(*key, "frame_id", "keyframe"), [*key, "frame_id"])
+    seen = named.groupBy(*key, "target_type", "target_no", "target_id", "start_us", "end_us").agg(F.sort_array(F.collect_list(F.struct("_p", "frame_id", "keyframe"))).alias("_f"))
+    of = lambda fs: F.transform(fs, lambda f: f["frame_id"])
+    marked = of(F.filter("_f", lambda f: f["keyframe"]))
+    many = seen.select(
+        *key, "target_type", "target_id", "start_us", "end_us", F.when(F.size(marked) > 0, marked).otherwise(of(F.col("_f"))).alias("frame_ids"), F.lit("keyframe_full_frame").alias("sampling_basis"),
+        F.when(F.col("target_type") == "scene", 1).otherwise(2).alias("part"), F.struct(F.col("target_no").cast("long").alias("n"), F.col("target_id").alias("id")).alias("place"),
+    )
+    return one.unionByName(many)
+
+
+def missing_frames(frames: DataFrame, ranges: DataFrame, key: list[str]) -> DataFrame:
+    """(key, target_type, target_id, frame_id): frames that ranges name and that do not exist."""
+    return ranges.select(*key, "target_type", "target_id", F.explode("frame_ids").alias("frame_id")).join(frames.select(*key, "frame_id"), [*key, "frame_id"], "left_anti").select(*key, "target_type", "target_id", "frame_id").distinct()
+
+
+def color_records(targets: DataFrame, pixels: DataFrame, key: list[str], buckets: tuple[str, ...] = BUCKETS) -> DataFrame:
+    """targets with color_observation_id, bucket_coverage, dominant_bucket and coverage_total from the pixels' buckets (key,
+    frame_id, bucket, n) of all their sampled frames; numbered per key in the order of the targets. Targets without pixels
+    are left out."""
+    each = targets.select(*key, "target_type", "target_id", F.explode("frame_ids").alias("frame_id")).join(pixels, [*key, "frame_id"])
+    n = each.groupBy(*key, "target_type", "target_id", "bucket").agg(F.sum("n").alias("n"))
+    of = n.groupBy(*key, "target_type", "target_id").agg(
+        F.sum("n").alias("_all"), F.map_from_entries(F.collect_list(F.struct("bucket", "n"))).alias("_n"), F.min_by("bucket", F.struct(-F.col("n"), F.col("bucket"))).alias("dominant_bucket")
+    ).filter("_all > 0")
+    names = F.array(*[F.lit(b) for b in buckets])
+    share = F.map_from_arrays(names, F.transform(names, lambda b: F.coalesce(F.try_element_at("_n", b), F.lit(0)) / F.col("_all")))
+    out = targets.join(of, [*key, "target_type", "target_id"]).withColumn("bucket_coverage", share)
+    out = out.withColumn("coverage_total", F.aggregate(F.map_values("bucket_coverage"), F.lit(0.0), lambda s, x: s + x))
+    number = F.row_number().over(Window.partitionBy(*key).orderBy("part", "place"))
+    return out.withColumn("color_observation_id", F.format_string("color_obs_%06d", number)).drop("_all", "_n", "part", "place")
 
 
 #: The sampling of a recording's pictures, in microseconds and samples.

@@ -597,16 +597,60 @@ def scene_segments(spark, d):
     return timeline.scenes(s, "user_id", "day", "day", 2, buckets=kinds)
 
 
+_SHOTS = """s AS (SELECT user_id, event_id AS i, event_id * 37 % 5000 + event_id // 3 AS f, event_id * 37 % 5000 + event_id // 3 + 40 AS l FROM events),
+n AS (SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY user_id) AS n, lead(f) OVER w AS q FROM s WINDOW w AS (PARTITION BY user_id ORDER BY i)),
+d AS (SELECT *, n * (20 + user_id % 50) AS d, CASE WHEN user_id % 50 >= 0 THEN 1 ELSE 0 END AS step FROM n),
+b AS (SELECT *, CASE WHEN k = n THEN d ELSE (l + q) // 2 END AS b FROM d),
+x AS (SELECT *, CASE WHEN k = n THEN d ELSE k + greatest(0, max(b - k) OVER (PARTITION BY user_id ORDER BY i ROWS UNBOUNDED PRECEDING)) END AS c FROM b),
+y AS (SELECT *, k + min(c - k) OVER (PARTITION BY user_id ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS t FROM x),
+z AS (SELECT user_id, i, coalesce(lag(t) OVER (PARTITION BY user_id ORDER BY i), 0) AS from_us, t AS to_us FROM y)"""
+
+
+def _shots(spark, d) -> DataFrame:
+    i = F.col("event_id")
+    first = i * 37 % 5000 + F.floor(i / 3)
+    s = events(spark, d).select("user_id", i.alias("shot_no"), first.alias("first_us"), (first + 40).alias("last_us"), F.concat(F.lit("shot_"), i).alias("shot_id"), F.array(F.concat(F.lit("f"), i), F.concat(F.lit("f"), i + 1)).alias("frame_ids"))
+    return timeline.shot_spans(s, s.groupBy("user_id").agg((F.count("*") * (20 + F.col("user_id") % 50)).alias("duration_us")), ["user_id"])
+
+
+@query(f"WITH {_SHOTS} SELECT user_id, i AS shot_no, CAST(from_us AS BIGINT) AS from_us, CAST(to_us AS BIGINT) AS to_us FROM z")
+def shot_spans(spark, d):
+    return _shots(spark, d).select("user_id", "shot_no", "from_us", "to_us")
+
+
+@query(f"""
+WITH {_SHOTS}, c AS (SELECT user_id, event_id // 500 AS scene, event_id // 500 * 500 AS a FROM events GROUP BY ALL),
+m AS (SELECT c.user_id, c.scene, z.* EXCLUDE (user_id) FROM c JOIN z ON z.user_id = c.user_id AND (z.i IN (a, a + 3, a + 250) OR z.i + 1 IN (a, a + 3, a + 250)))
+SELECT c.user_id, 'scene_' || c.scene AS scene_id, coalesce(string_agg('shot_' || m.i, ',' ORDER BY m.i), '') AS shots, CAST(coalesce(arg_min(m.from_us, m.i), -1) AS BIGINT) AS from_us, CAST(coalesce(arg_max(m.to_us, m.i), -2) AS BIGINT) AS to_us
+FROM c LEFT JOIN m USING (user_id, scene) GROUP BY c.user_id, c.scene
+""")
+def scene_spans(spark, d):
+    a = F.floor(F.col("event_id") / 500)
+    scenes = events(spark, d).select("user_id", a.alias("n")).distinct().select("user_id", F.concat(F.lit("scene_"), "n").alias("scene_id"), F.lit(-1).cast("long").alias("start_us"), F.lit(-2).cast("long").alias("end_us"),
+        F.array(*[F.concat(F.lit("f"), F.col("n") * 500 + k) for k in (0, 3, 250)]).alias("frame_ids"))
+    return timeline.scene_spans(scenes, _shots(spark, d), ["user_id"]).select("user_id", "scene_id", F.array_join("shot_ids", ",").alias("shots"), "from_us", "to_us")
+
+
 @query("""
-WITH s AS (SELECT user_id, epoch_us(ts) AS s, epoch_us(ts) + 1000 AS e, event_id FROM events),
-w AS (SELECT *, lag(e) OVER k AS p, lead(s) OVER k AS q FROM s WINDOW k AS (PARTITION BY user_id ORDER BY s, e)),
-f AS (SELECT *, coalesce((p + s) // 2, s) AS f, coalesce((e + q) // 2, e) AS t FROM w),
-m AS (SELECT *, max(f) OVER (PARTITION BY user_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS mf, max(t) OVER (PARTITION BY user_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS mt FROM f)
-SELECT user_id, s, mf AS from_us, greatest(mf, mt) AS to_us FROM m
+WITH f AS (SELECT user_id, event_id AS i, 'f' || event_id AS id, event_id % 3 = 0 AS kf FROM events),
+r AS (SELECT user_id, CASE WHEN i % 2 = 0 THEN 'scene' ELSE 'shot' END AS ty, i // 100 AS n, list(i ORDER BY i) AS fs FROM f GROUP BY ALL),
+e AS (SELECT r.user_id, ty, n, f.* EXCLUDE (user_id) FROM r, unnest(fs) u(x), f WHERE f.i = u.x),
+k AS (SELECT *, bool_or(kf) OVER (PARTITION BY user_id, ty, n) AS any_kf FROM e),
+t AS (SELECT user_id, 'frame' AS ty, id, 0 AS part, 0 AS n, i AS frame FROM f UNION ALL SELECT user_id, ty, ty || '_' || n, CASE ty WHEN 'scene' THEN 1 ELSE 2 END, n, i FROM k WHERE kf OR NOT any_kf),
+p AS (SELECT t.*, b.b, CASE b.b WHEN 'red' THEN frame % 4 WHEN 'blue' THEN frame % 3 ELSE 1 END AS c FROM t, (VALUES ('red'), ('blue'), ('gray')) b(b)),
+s AS (SELECT user_id, ty, id, part, n, b, sum(c) AS c FROM p GROUP BY ALL), w AS (SELECT *, sum(c) OVER (PARTITION BY user_id, ty, id) AS total, row_number() OVER (PARTITION BY user_id, ty, id ORDER BY c DESC, b) AS k FROM s WHERE c > 0)
+SELECT user_id, ty AS target_type, id AS target_id, b AS dominant_bucket, round(c / total, 9) AS share, printf('color_obs_%06d', row_number() OVER (PARTITION BY user_id ORDER BY part, n, id)) AS color_observation_id FROM w WHERE k = 1
 """)
-def shot_spans(spark, d):
-    s = events(spark, d).select("user_id", F.col("at_us").alias("s"), (F.col("at_us") + 1000).alias("e"))
-    return timeline.shot_spans(s, ["user_id"], "s", "e").select("user_id", "s", "from_us", "to_us")
+def color_records(spark, d):
+    i = F.col("event_id")
+    f = events(spark, d).select("user_id", i.alias("i"), F.concat(F.lit("f"), i).alias("frame_id"), (i % 3 == 0).alias("keyframe"), "at_us")
+    kind = F.when(F.col("i") % 2 == 0, "scene").otherwise("shot")
+    r = f.groupBy("user_id", kind.alias("target_type"), F.floor(F.col("i") / 100).alias("target_no")).agg(F.sort_array(F.collect_list("i")).alias("l"))
+    r = r.select("user_id", "target_type", "target_no", F.concat("target_type", F.lit("_"), "target_no").alias("target_id"), F.lit(0).cast("long").alias("start_us"), F.lit(1).cast("long").alias("end_us"), F.transform("l", lambda x: F.concat(F.lit("f"), x)).alias("frame_ids"))
+    counts = F.explode(F.array(*[F.struct(F.lit(b).alias("bucket"), n.cast("long").alias("n")) for b, n in (("red", F.col("i") % 4), ("blue", F.col("i") % 3), ("gray", F.lit(1)))]))
+    pixels = f.select("user_id", "frame_id", counts.alias("c")).select("user_id", "frame_id", "c.bucket", "c.n").filter("n > 0")
+    out = timeline.color_records(timeline.color_targets(f, r, ["user_id"]), pixels, ["user_id"], ("red", "blue", "gray"))
+    return out.select("user_id", "target_type", "target_id", "dominant_bucket", F.round(F.element_at("bucket_coverage", F.col("dominant_bucket")), 9).alias("share"), "color_observation_id")
 
 
 @query("""

@@ -567,3 +567,41 @@ def test_repairs_by_a_walk(spark):
     alternating = [0, 1, 0, 1, 0]
     transcript.join_islands(alternating, [0, 1, 2, 3, 4], [1, 2, 3, 4, 5])
     assert alternating == [0] * 5
+
+
+def test_shot_borders_by_a_walk(spark):
+    r = random.Random(14)
+    shots, lengths, want = [], [], []
+    for k in range(60):
+        n = r.randint(1, 12)
+        spans = [(a, a + r.randint(0, 30)) for a in (r.randint(0, 200) for _ in range(n))]
+        spans = sorted(spans) if k % 2 else spans
+        d = r.choice([0, 3, 50, 100, 300])
+        shots += [(k, i, *s) for i, s in enumerate(spans)]
+        lengths.append((k, d))
+        border = [0] + [(spans[i - 1][1] + spans[i][0]) // 2 for i in range(1, n)] + [d]
+        step = 1 if d >= n else 0
+        for i in range(1, n + 1):
+            border[i] = max(border[i], border[i - 1] + step)
+        if border[n] > d:
+            border[n] = d
+            for i in range(n, 0, -1):
+                border[i - 1] = min(border[i - 1], border[i] - step)
+        want += [(k, i, border[i], border[i + 1]) for i in range(n)]
+    df = spark.createDataFrame(shots, "k int, shot_no int, first_us long, last_us long").repartition(3)
+    got = timeline.shot_spans(df, spark.createDataFrame(lengths, "k int, duration_us long"), ["k"])
+    assert rows(got.select("k", "shot_no", "from_us", "to_us")) == sorted(want)
+
+
+def test_color_targets(spark):
+    f = spark.createDataFrame([("p", "a", 1, False), ("p", "b", 2, True), ("p", "c", 3, False)], "k string, frame_id string, at_us long, keyframe boolean")
+    g = spark.createDataFrame([("p", "shot", 0, "s1", 0, 9, ["c", "b", "a"]), ("p", "scene", 0, "z1", 0, 9, ["c", "a"]), ("p", "shot", 1, "s2", 0, 9, ["zz"])], "k string, target_type string, target_no int, target_id string, start_us long, end_us long, frame_ids array<string>")
+    t = timeline.color_targets(f, g, ["k"])
+    assert {x.target_id: (x.frame_ids, x.sampling_basis) for x in t.collect()} == {
+        "a": (["a"], "full_frame"), "b": (["b"], "full_frame"), "c": (["c"], "full_frame"), "s1": (["b"], "keyframe_full_frame"), "z1": (["c", "a"], "keyframe_full_frame"),
+    }
+    assert rows(timeline.missing_frames(f, g, ["k"])) == [("p", "shot", "s2", "zz")]
+    px = spark.createDataFrame([("p", "a", "red", 3), ("p", "b", "blue", 1), ("p", "c", "blue", 3)], "k string, frame_id string, bucket string, n long")
+    got = timeline.color_records(t, px, ["k"], ("blue", "red")).orderBy("color_observation_id").collect()
+    assert [(x.color_observation_id[-1], x.target_id, x.dominant_bucket) for x in got] == [("1", "a", "red"), ("2", "b", "blue"), ("3", "c", "blue"), ("4", "z1", "blue"), ("5", "s1", "blue")]
+    assert got[3].bucket_coverage == {"blue": 0.5, "red": 0.5} and got[3].coverage_total == 1.0
