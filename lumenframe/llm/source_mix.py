@@ -95,7 +95,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     base = plain(docs).select(F.col(place(docs, id_col)).alias("_id"), F.col(place(docs, text_col)).alias("_text"), F.col(place(docs, source_col)).cast("string").alias("source"))
     base = with_row_ids(base, "_id", "_text")
-    order = F.xxhash64(F.lit(seed), F.col("_id"), F.col("_text"))
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("_id").cast("string"), F.lit("")), F.lit("|"), F.coalesce("_text", F.lit(""))).cast("binary"))
+    order = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
     sized = written(base.select("_rid", "_id", "source", n_words("_text").alias("size"), order.alias("h")), "sizes")
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share)
     upto = Window.partitionBy(F.lit(1)).orderBy("sr").rowsBetween(Window.unboundedPreceding, 0)  # one row a source

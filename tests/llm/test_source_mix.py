@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 import re
@@ -21,13 +22,13 @@ def targets(sizes, weights=(5, 2, 1)):
         full |= set(over)
 
 
-def brute_taken(spark, df, sizes, want):
+def brute_taken(df, sizes, want):
     """Words of each document in the first floor(target + 1/2) words of its source's shuffled words, gone through twice."""
     subs = max(16, math.isqrt(df.count()))
-    rows = df.selectExpr("doc_id", "text", "source", "xxhash64(7, doc_id, text) as h").collect()
+    rows = [(r, int(hashlib.md5(f"7|{r.doc_id}|{r.text or ''}".encode()).hexdigest()[:15], 16)) for r in df.collect()]
     out = {}
     for source in sizes:
-        mine = sorted((r for r in rows if r.source == source), key=lambda r: (r.h % subs, r.h, r.doc_id))
+        mine = [r for r, h in sorted(((r, h) for r, h in rows if r.source == source), key=lambda x: (x[1] % subs, x[1], x[0].doc_id))]
         stream = [r.doc_id for r in mine for _ in re.findall(r"[^\x20\x09-\x0D]+", r.text or "")]
         for r in mine:
             out[r.doc_id] = 0
@@ -75,7 +76,7 @@ def test_mix(spark, seed, block):
         assert got[i].target == pytest.approx(want[s])
     for s in sizes:  # also for sources of a few words among large ones
         assert taken[s] == math.floor(want[s] + 0.5), s
-    assert {i: x.taken for i, x in got.items()} == brute_taken(spark, df, sizes, want)
+    assert {i: x.taken for i, x in got.items()} == brute_taken(df, sizes, want)
     again = {x.doc_id: x.taken for x in m.mix_sources(df.repartition(3), block=block).collect()}
     assert again == {i: x.taken for i, x in got.items()}
 
