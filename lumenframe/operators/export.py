@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.catalog import REFERENCE_RULES
+from .index import table_digest
 from .lineage import settled
 
 
@@ -87,9 +88,25 @@ def write_jsonl(rows: DataFrame, path: str, order: list[str], columns: list[str]
     rows.sort(*order).select(F.to_json(F.struct(*names)).alias("value")).write.mode("error").text(path)
 
 
-def write_index(tables: dict[str, DataFrame], path: str) -> None:
+def index_manifest(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, rows, digest) of the given tables; the digest does not depend on the order of rows."""
+    out = None
+    for name, df in tables.items():
+        one = table_digest(df, name)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def write_index(tables: dict[str, DataFrame], path: str) -> DataFrame:
+    """Write tables, and last of all their manifest (manifest.parquet), which is read back and returned: an index without
+    one is not complete."""
+    where = path.rstrip("/")
     for name, df in tables.items():
-        df.write.mode("error").parquet(f"{path.rstrip('/')}/{name}.parquet")
+        df.write.mode("error").parquet(f"{where}/{name}.parquet")
+    spark = next(iter(tables.values())).sparkSession
+    held = {name: spark.read.parquet(f"{where}/{name}.parquet") for name in tables}
+    index_manifest(held).write.mode("error").parquet(f"{where}/manifest.parquet")
+    return spark.read.parquet(f"{where}/manifest.parquet")
 
 
 def counts_manifest(tables: dict[str, DataFrame]) -> DataFrame:

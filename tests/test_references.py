@@ -1,6 +1,6 @@
 import json
 
-from lumenframe.operators import export
+from lumenframe.operators import export, package_checks
 from lumenframe.sources import layers
 
 
@@ -40,3 +40,15 @@ def test_references_of_records(spark, tmp_path):
     assert (first.frame_index, first.pts_us) == ("7", "70")
     crop = {r.ref: r.file for r in rows if r.member == "evidence_crop_refs"}
     assert crop == {"c1": "layers/a.png", "c2": None, "c9": None}
+
+
+def test_index_and_its_manifest(spark, tmp_path):
+    a = spark.createDataFrame([(1, "x"), (2, None), (2, None)], "i int, s string")
+    b = spark.createDataFrame([], "i int")
+    said = export.write_index({"a": a, "b": b}, str(tmp_path / "index"))
+    assert sorted((r.table, r.rows) for r in said.collect()) == [("a", 3), ("b", 0)]
+    held = export.index_manifest({n: spark.read.parquet(str(tmp_path / "index" / f"{n}.parquet")).repartition(3) for n in ("a", "b")})
+    with_package = lambda df: df.selectExpr("'p' as package", "*")
+    assert package_checks.index_findings(with_package(said), with_package(held)).count() == 0
+    changed = export.index_manifest({"a": a.distinct(), "b": b})
+    assert [(r.code, r.path) for r in package_checks.index_findings(with_package(said), with_package(changed)).collect()] == [("ERR_CORE_INDEX_LOGICAL_MISMATCH", "/index/a")]
