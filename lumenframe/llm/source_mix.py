@@ -72,7 +72,7 @@ def _schedule(sources: DataFrame, slots: int, block: int) -> DataFrame:
     cell = max(1, -(-slots // CELLS))
     chunk = max(16, math.isqrt(1 << bits))
     point = (
-        spark.range(1 << bits).select(F.col("id").alias("slot"), reversed_bits(F.col("id"), bits).alias("u")).filter(F.col("u") < slots)
+        spark.range(0, 1 << bits, 1, max(spark.sparkContext.defaultParallelism, 1 << max(0, bits - 20))).select(F.col("id").alias("slot"), reversed_bits(F.col("id"), bits).alias("u")).filter(F.col("u") < slots)
         .withColumn("cell", F.floor(F.col("u") / cell)).withColumn("chunk", F.floor(F.col("slot") / chunk))
     )
     share = sources.filter("hi > lo").select("sr", "lo", "hi").withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") / cell), F.floor((F.col("hi") - 1) / cell))))
