@@ -162,6 +162,59 @@ def test_paths_end_where_rows_are_alone():
             assert feature[node] == -1 and path[node] >= int(np.log2(node + 1))
 
 
+def plain_threshold(score, good):
+    """The threshold by trying each score."""
+    best, at = -1.0, sorted(set(score))
+    for i, c in enumerate(at):
+        kept = sum(s <= c for s, y in zip(score, good) if y) / sum(good)
+        caught = sum(s > c for s, y in zip(score, good) if not y) / (len(good) - sum(good))
+        if kept >= 0.99 and kept + caught >= best - 1e-12:
+            best, threshold = kept + caught, c + (at[i + 1] - c) / 2 if i + 1 < len(at) else 1.0
+    return threshold
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_calibration_by_ranges_of_scores(spark, seed):
+    r = random.Random(seed)
+    good = [r.random() < 0.7 for _ in range(600)]
+    score = [round(r.betavariate(2, 5) if y else r.betavariate(4, 3), r.choice([2, 6])) for y in good]
+    df = spark.createDataFrame([(s, int(y), int(not y)) for s, y in zip(score, good)], "score double, good long, bad long")
+    assert rule_forest.calibrate(df) == pytest.approx(plain_threshold(score, good), abs=1e-12)
+    assert rule_forest.calibrate(df.filter("good = 1")) == rule_forest.calibrate(df.limit(0)) == 1.0
+
+
+def test_forest_from_all_labelled_rows(spark):
+    """What leaves hold and the threshold come from each labelled row outside the fold, however many there are."""
+    r = random.Random(31)
+    vocab = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 9))) for _ in range(300)]
+    rows = []
+    for i in range(26_000):
+        good = r.random() < 0.9
+        rows.append((i, " ".join(w + "#" * (r.random() < (0.2 if good else 0.5)) for w in r.choices(vocab, k=12)), int(good)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(4)
+    forest = rule_forest.train_rules(df.select("doc_id", "text"), df.select("doc_id", "quality"))
+    own = [(t, y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 5]
+    c = text_stats.counts([t.encode() for t, _ in own])
+    fine = ~rule_forest._failed(c)
+    x, good = rule_forest.rule_statistics(c)[fine], np.array([y for _, y in own])[fine] == 1
+    assert len(x) > 20_000
+    for t, node in enumerate(forest.leaves(x)):
+        held = np.bincount(node, minlength=forest.path.shape[1]) * (256 / len(x))
+        for i in np.unique(node).tolist():
+            low = int(held[i])
+            rest = [rule_forest._average_path(n) for n in (low, low + 1)]
+            assert forest.path[t, i] == pytest.approx(int(np.log2(i + 1)) + rest[0] + (held[i] - low) * (rest[1] - rest[0]))
+    score = np.round(forest.score(x), 12)
+    kept = lambda at: (score[good] <= at).mean()
+    caught = lambda at: (score[~good] > at).mean()
+    assert kept(forest.threshold) >= 0.99
+    best = max(kept(s) + caught(s) for s in np.unique(score) if kept(s) >= 0.99)
+    assert kept(forest.threshold) + caught(forest.threshold) == pytest.approx(best, abs=1e-12)
+    got = rule_forest.trained_verdicts(df.select("doc_id", "text"), df.select("doc_id", "quality")).filter("not base_failed").toPandas().set_index("doc_id")
+    want = [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    assert np.allclose(got.anomaly.reindex(want).dropna().to_numpy(), forest.score(x), atol=1e-9)
+
+
 def test_names_of_any_kind(spark):
     docs, labels, _ = labelled(spark, 60)
     odd = docs.selectExpr("cast(doc_id as string) as doc_id", "text", "1 as `a.b`", "2 as x").toDF("doc_id", "text", "a.b", "TEXT")
