@@ -11,6 +11,9 @@ from ..functions.geometry import box_iou, cosine_similarity
 
 #: Scene thresholds.
 L1_CHANGE, DOMINANT_JUMP, DIVERSITY_CHANGE, DIVERSITY_COVERAGE = 0.5, 0.35, 2, 0.05
+#: More than the rounding of a sum of a few dozen shares, and less than the least step of a distance between shares of up
+#: to 7 million samples (1 / (2 n m)): a distance of just L1_CHANGE is no change, in whatever order it is summed.
+L1_ROUNDING = 1e-14
 NEUTRAL = ("gray", "black", "white")
 
 
@@ -39,7 +42,7 @@ def scene_boundaries(frames: DataFrame, key: list[str], order: str, coverage: st
     df = df.withColumn("_c", before).withColumn("_d", F.lag("dominant").over(w)).withColumn("_v", F.lag("_div").over(w))
     l1 = sum((F.abs(get(cov, b) - get(F.col("_c"), b)) for b in buckets), F.lit(0.0))
     jump = F.abs(F.coalesce(F.try_element_at(cov, F.col("_d")), F.lit(0.0)) - F.coalesce(F.try_element_at(F.col("_c"), F.col("_d")), F.lit(0.0)))
-    change = (F.col("dominant") != F.col("_d")) | (l1 > L1_CHANGE) | (jump > DOMINANT_JUMP) | (F.abs(F.col("_div") - F.col("_v")) >= DIVERSITY_CHANGE)
+    change = (F.col("dominant") != F.col("_d")) | (l1 - L1_CHANGE > L1_ROUNDING) | (jump > DOMINANT_JUMP) | (F.abs(F.col("_div") - F.col("_v")) >= DIVERSITY_CHANGE)
     return df.withColumn("boundary", F.col("_c").isNull() | change).drop("_c", "_d", "_v", "_div")
 
 
