@@ -295,6 +295,8 @@ def reconcile_chunks(words: DataFrame, chunks: DataFrame, key: str = "stream") -
 
 #: The least similarity at which clusters join, and the least drop of similarity at which joining stops early.
 FLOOR, GAP = 0.14, 0.10
+#: Up to so many observations sums of similarities are held for all pairs (200 MB).
+PAIRS_HELD = 5000
 
 
 def cluster_observations(x: np.ndarray, start: list | None = None, cannot: set[tuple[int, int]] = frozenset()) -> list[int]:
@@ -303,37 +305,88 @@ def cluster_observations(x: np.ndarray, start: list | None = None, cannot: set[t
     The two clusters of greatest mean similarity join, the first of equals, as long as it is FLOOR or more and no pair of
     them is in `cannot`. If similarity drops by GAP or more from one joining to the next, the joinings after the greatest
     drop are undone. Vectors without a component beyond 1e-6 have no similarity to any other. Clusters are numbered by
-    their earliest `start` (by their first member where none is given)."""
+    their earliest `start` (by their first member where none is given).
+
+    Each cluster knows the best of those after it. As a joining makes no mean greater than both that it comes from, a lost
+    best still bounds its row, which is looked through again only when that bound is the greatest. Beyond PAIRS_HELD
+    observations nothing is held for pairs: the sum of similarities of two clusters is the product of the sums of their unit
+    vectors (the same but for rounding)."""
     n = len(x)
-    signal = np.abs(x).max(1) > 1e-6 if n else np.zeros(0, bool)
-    unit = np.where(signal[:, None], x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12), 0.0) if n else x
-    total, pairs = unit @ unit.T if n else np.zeros((0, 0)), np.outer(signal, signal).astype(float)
-    barred = np.zeros((n, n), bool)
+    ids = np.flatnonzero(np.abs(x).max(1) > 1e-6) if n else np.zeros(0, int)
+    sums = x[ids] / np.maximum(np.linalg.norm(x[ids], axis=1, keepdims=True), 1e-12) if n else np.zeros((0, 0))
+    size, live = np.ones(len(ids)), np.ones(len(ids), bool)
+    barred: dict[int, set[int]] = {}
     for a, b in cannot:
-        barred[a, b] = barred[b, a] = True
-    later = np.triu(np.ones((n, n), bool), 1)  # each pair of clusters once, the earlier one as the row
+        barred.setdefault(a, set()).add(b)
+        barred.setdefault(b, set()).add(a)
+    best, at, stale = np.full(len(ids), -2.0), np.zeros(len(ids), int), np.zeros(len(ids), bool)
+    total = sums @ sums.T if len(ids) <= PAIRS_HELD else None
+
+    def row(i: int) -> np.ndarray:
+        return sums @ sums[i] if total is None else total[i]
+
+    def means(i: int, rows: np.ndarray) -> np.ndarray:
+        """Mean similarity of cluster i to clusters, -2 where they may not join."""
+        out = np.where(live, rows / (size * size[i]), -2.0)
+        shut = [k for k in np.searchsorted(ids, sorted(barred.get(int(ids[i]), ()))) if k < len(ids)] if barred else []
+        out[[k for k in shut if int(ids[k]) in barred[int(ids[i])]]] = -2.0
+        return out
+
+    def look(i: int, mean: np.ndarray) -> None:
+        best[i], stale[i] = -2.0, False
+        if i + 1 < len(mean):
+            at[i] = i + 1 + int(mean[i + 1 :].argmax())
+            best[i] = mean[at[i]]
+
+    for begin in range(0, len(ids), 256):
+        for i, rows in enumerate(sums[begin : begin + 256] @ sums.T if total is None else total[begin : begin + 256], begin):
+            look(i, means(i, rows))
     joined: list[tuple[int, int, float]] = []
-    while True:
-        mean = np.where(later & ~barred & (pairs > 0), total / np.maximum(pairs, 1.0), -2.0)
-        at = int(mean.argmax()) if n else 0
-        if not n or mean.flat[at] < FLOOR:
+    while len(ids):
+        a = int(best.argmax())
+        if best[a] < FLOOR:
             break
-        a, b = divmod(at, n)
-        joined.append((a, b, float(mean.flat[at])))
-        for m in (total, pairs):
-            m[a] += m[b]
-            m[:, a] += m[:, b]
-        barred[a] |= barred[b]
-        barred[:, a] |= barred[:, b]
-        later[b] = later[:, b] = False
+        if stale[a]:
+            look(a, means(a, row(a)))
+            continue
+        b = int(at[a])
+        joined.append((int(ids[a]), int(ids[b]), float(best[a])))
+        if total is None:
+            sums[a] += sums[b]
+        else:
+            total[a] += total[b]
+            total[:, a] += total[:, b]
+        size[a] += size[b]
+        live[b], best[b], stale[b] = False, -2.0, False
+        gone = barred.pop(int(ids[b]), set())
+        for k in gone:
+            barred[k].discard(int(ids[b]))
+            barred[k].add(int(ids[a]))
+        if gone:
+            barred.setdefault(int(ids[a]), set()).update(gone)
+        mean = means(a, row(a))
+        stale |= live & ((at == a) | (at == b))
+        up = np.flatnonzero(live[:a] & ((mean[:a] > best[:a]) | ((mean[:a] == best[:a]) & (a <= at[:a]))))
+        best[up], at[up], stale[up] = mean[up], a, False
+        look(a, mean)
+        if live.sum() * 2 < len(ids):  # those that are gone cost no more products
+            place = np.cumsum(live) - 1
+            stale |= ~live[at]
+            sums, size, best, at, stale, ids = sums[live], size[live], best[live], place[at[live]], stale[live], ids[live]
+            total = None if total is None else total[np.ix_(live, live)]
+            live = np.ones(len(ids), bool)
     if len(joined) > 1:
         drop = -np.diff([s for _, _, s in joined])
         if drop.max() >= GAP:
             joined = joined[: int(drop.argmax()) + 1]
     into = list(range(n))
     for a, b, _ in joined:
-        into = [a if i == b else i for i in into]
-    first = {c: min((start[i] if start is not None else i, i) for i in range(n) if into[i] == c) for c in set(into)}
+        into[b] = a
+    first: dict[int, tuple] = {}
+    for i in range(n):  # a cluster joins one before it
+        into[i] = into[into[i]]
+        mine = (start[i] if start is not None else i, i)
+        first[into[i]] = min(first.get(into[i], mine), mine)
     rank = {c: k for k, c in enumerate(sorted(first, key=first.get))}
     return [rank[c] for c in into]
 
@@ -366,7 +419,7 @@ def speaker_count(x: np.ndarray, cannot: set[tuple[int, int]] = frozenset()) ->
 def cluster_streams(observations: DataFrame, key: str = "stream") -> DataFrame:
     """(key, obs_no, cluster) for each stream's voice observations (key, obs_no, embedding; start_us, if there is one).
 
-    A stream is one group: its similarity matrix must fit a worker, which holds for the observations of one recording."""
+    A stream is one group: a worker holds its vectors and one sum for each, and nothing for pairs."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         p = pdf.sort_values("obs_no")
