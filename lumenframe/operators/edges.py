@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.geometry import box_iou, center, center_distance
 from ..sources.blocks import rle_decode
 from .export import with_line_numbers
-from .intervals import first_match, overlap_join, point_join
+from .intervals import by_size, first_match, overlap_join, point_join
 
 #: Thresholds of the spatial rules.
 NEAR, MASK_IOU, CONTAINMENT, STATIONARY, MOVES_WITH = 0.15, 0.1, 0.8, 0.02, 0.05
@@ -36,12 +36,12 @@ def _ids(df: DataFrame, column: str) -> DataFrame:
 
 def _owned(df: DataFrame, column: str, owner: DataFrame, owner_id: str) -> DataFrame:
     """Rows whose reference exists; the others are dangling and counted by `dangling`."""
-    return df.join(_ids(owner, owner_id), F.col(column) == F.col("_id"), "left_semi")
+    return df.join(by_size(_ids(owner, owner_id)), F.col(column) == F.col("_id"), "left_semi")
 
 
 def dangling(df: DataFrame, column: str, owner: DataFrame, owner_id: str) -> DataFrame:
     """Rows with a reference that does not exist."""
-    return df.filter(F.coalesce(F.col(column), F.lit("")) != "").join(_ids(owner, owner_id), F.col(column) == F.col("_id"), "left_anti")
+    return df.filter(F.coalesce(F.col(column), F.lit("")) != "").join(by_size(_ids(owner, owner_id)), F.col(column) == F.col("_id"), "left_anti")
 
 
 def reference_edges(builder: int, rows: DataFrame, source: str, target: str, owner: DataFrame, owner_id: str, prefix: str, kind: str, start: str, end: str, confidence: str | None = None) -> DataFrame:
@@ -75,7 +75,7 @@ def by_target_kind(builder: int, rows: DataFrame, source: str, kind_col: str, ta
         ids = _ids(df, column).withColumn("_kind", F.lit(name))
         known = ids if known is None else known.unionByName(ids)
     listed = F.col(kind_col).isin(*owners)
-    found = rows.join(known, (F.col(kind_col) == F.col("_kind")) & (F.col(target) == F.col("_id")), "left")
+    found = rows.join(by_size(known), (F.col(kind_col) == F.col("_kind")) & (F.col(target) == F.col("_id")), "left")
     return found.filter(~F.coalesce(listed, F.lit(False)) | F.col("_id").isNotNull()).filter(F.coalesce(target, F.lit("")) != "").select(
         *_edge(builder, prefix, kind, F.col(source), F.col(target), F.coalesce("start_us", F.lit(0)), F.coalesce("end_us", F.lit(0)), [F.col("line_no")])
     )
@@ -93,7 +93,7 @@ def near_regions(builder: int, regions: DataFrame) -> DataFrame:
     steps = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))]))
     b = a.select("frame_id", *[F.col(c).alias(f"o_{c}") for c in ("id", "line_no", "pts_us", "x0", "y0", "x1", "y1")], F.col("cx").alias("o_cx"), F.col("cy").alias("o_cy"), steps.alias("s"))
     b = b.select("frame_id", *[c for c in b.columns if c.startswith("o_") and c not in ("o_cx", "o_cy")], (F.col("o_cx") + F.col("s.i")).alias("cx"), (F.col("o_cy") + F.col("s.j")).alias("cy"), (F.col("s.i") + F.abs("s.j") == 0).alias("same"))
-    pair = a.join(b, ["frame_id", "cx", "cy"]).filter((~F.col("same") | (F.col("line_no") < F.col("o_line_no"))) & (F.col("id") != F.col("o_id")) & (F.col("line_no") != F.col("o_line_no")))
+    pair = a.join(b.hint("merge"), ["frame_id", "cx", "cy"]).filter((~F.col("same") | (F.col("line_no") < F.col("o_line_no"))) & (F.col("id") != F.col("o_id")) & (F.col("line_no") != F.col("o_line_no")))
     apart = (F.least("x1", "o_x1") <= F.greatest("x0", "o_x0")) | (F.least("y1", "o_y1") <= F.greatest("y0", "o_y0"))
     middle = lambda p, q: (F.col(p) + F.col(q)) / 2
     dx, dy = middle("x0", "x1") - middle("o_x0", "o_x1"), middle("y0", "y1") - middle("o_y0", "o_y1")
@@ -169,7 +169,7 @@ def motion(builder: int, regions: DataFrame, entities: DataFrame) -> DataFrame:
     near = F.explode(F.array(*[F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
     a = moving.withColumn("c", near).drop("cx", "cy").select("*", "c.cx", "c.cy")
     gap = F.sqrt((F.col("dx") - F.col("b_dx")) ** 2 + (F.col("dy") - F.col("b_dy")) ** 2)
-    pairs = a.join(b, ["cx", "cy"]).filter(F.col("entity_id") < F.col("b_entity_id")).filter(gap <= MOVES_WITH)
+    pairs = a.join(b.hint("merge"), ["cx", "cy"]).filter(F.col("entity_id") < F.col("b_entity_id")).filter(gap <= MOVES_WITH)
     return still.unionByName(
         pairs.select(*_edge(builder, "rel_moves_with_", "moves_with", F.col("entity_id"), F.col("b_entity_id"), F.least("first", "b_first"), F.greatest("last", "b_last"), [F.lit(1)], name=F.concat(F.lit("1"), F.col("entity_id"), F.lit("\0"), F.col("b_entity_id"))))
     )
@@ -224,7 +224,7 @@ def depth_relations(depths: DataFrame, polarity: str = "reference") -> DataFrame
     a = depths.filter("depth is not null")
     b = a.select("frame_id", F.col("region_id").alias("other"), F.col("line_no").alias("line2"), F.col("depth").alias("depth2"))
     nearer = (F.col("depth") < F.col("depth2")) if polarity == "reference" else (F.col("depth") > F.col("depth2"))
-    pair = a.join(b, "frame_id").filter("line_no < line2 and depth <> depth2")
+    pair = a.join(b.hint("merge"), "frame_id").filter("line_no < line2 and depth <> depth2")
     front = pair.select("frame_id", F.when(nearer, F.col("region_id")).otherwise(F.col("other")).alias("f"), F.when(nearer, F.col("other")).otherwise(F.col("region_id")).alias("b"))
     e = F.explode(F.array(F.struct(F.col("f").alias("source_id"), F.col("b").alias("target_id"), F.lit("foreground_relative_to").alias("type")), F.struct(F.col("b").alias("source_id"), F.col("f").alias("target_id"), F.lit("background_relative_to").alias("type"))))
     return front.select("frame_id", e.alias("e")).select("frame_id", "e.*")

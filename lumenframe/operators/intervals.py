@@ -26,14 +26,26 @@ def in_window(start: Column, end: Column, at_us: int | None = None, start_us: in
     return F.when(start == end, (start >= ws) & (start < we)).otherwise((start < we) & (end > ws))
 
 
+#: Rows up to which the smaller side of a join is sent to all executors by way of the driver.
+FEW = 20_000
+
+
+def by_size(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """df as one side of an equality join: broadcast where it has few rows, else never, whatever Spark makes of the size of
+    its files, which may be a hundredth of that of its rows in the driver's memory."""
+    if rows is None:
+        rows = df.limit(FEW + 1).count()
+    return df.hint("broadcast" if rows <= FEW else "merge")
+
+
 def _level(length: Column, width: int) -> Column:
     """How often `width` is doubled until it is a length; a span touches two bins of its own level, three at most."""
     return F.greatest(F.lit(0), F.ceil(F.log2(length / F.lit(width)))).cast("int")
 
 
-def _levels(spans: DataFrame, length: Column, width: int) -> list[int]:
-    """The levels that occur: 64 numbers at most."""
-    return sorted(r[0] for r in spans.select(_level(length, width)).distinct().collect())
+def _levels(spans: DataFrame, length: Column, width: int) -> dict[int, int]:
+    """The levels that occur, 64 numbers at most, and how many spans each has."""
+    return dict(sorted(map(tuple, spans.groupBy(_level(length, width)).count().collect())))
 
 
 def _bins(df: DataFrame, start: str, last: Column, own: Column, other: list[int], width: int, name: str) -> DataFrame:
@@ -54,12 +66,12 @@ def overlap_join(left: DataFrame, right: DataFrame, width: int, on: list[str] |
     left, right = left.filter(F.col(l[0]) < F.col(l[1])), right.filter(F.col(r[0]) < F.col(r[1]))
     lengths = [F.col(x[1]) - F.col(x[0]) for x in (l, r)]
     found = [_levels(d, n, width) for d, n in zip((left, right), lengths)]
-    a = _bins(left, l[0], F.col(l[1]) - 1, _level(lengths[0], width), found[1], width, "_bin").withColumnRenamed("_bin_own", "_l_own")
-    b = _bins(right, r[0], F.col(r[1]) - 1, _level(lengths[1], width), found[0], width, "_bin").withColumnRenamed("_bin_own", "_r_own")
+    a = _bins(left, l[0], F.col(l[1]) - 1, _level(lengths[0], width), list(found[1]), width, "_bin").withColumnRenamed("_bin_own", "_l_own")
+    b = _bins(right, r[0], F.col(r[1]) - 1, _level(lengths[1], width), list(found[0]), width, "_bin").withColumnRenamed("_bin_own", "_r_own")
     start = F.greatest(F.col(l[0]), F.col(r[0]))
     here = F.floor(start / (F.lit(width) * F.pow(F.lit(2.0), F.col("_bin.m")))) == F.col("_bin.b")
     return (
-        a.join(b, ["_bin", *(on or [])]).filter((F.col("_bin.m") == F.greatest("_l_own", "_r_own")) & (F.col(l[0]) < F.col(r[1])) & (F.col(r[0]) < F.col(l[1])) & here)
+        a.join(by_size(b, sum(found[1].values())), ["_bin", *(on or [])]).filter((F.col("_bin.m") == F.greatest("_l_own", "_r_own")) & (F.col(l[0]) < F.col(r[1])) & (F.col(r[0]) < F.col(l[1])) & here)
         .drop("_bin", "_l_own", "_r_own")
     )
 
@@ -68,10 +80,11 @@ def point_join(points: DataFrame, spans: DataFrame, width: int, point: str, span
     """Points with the spans that hold them (start <= point < end), as an equality join on time bins of the spans' levels."""
     spans = spans.filter(F.col(span[0]) < F.col(span[1]))
     length = F.col(span[1]) - F.col(span[0])
-    levels = _levels(spans, length, width) or [0]
+    found = _levels(spans, length, width)
+    levels = list(found) or [0]
     a = points.withColumn("_bin", F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.floor(F.col(point) / F.lit(width * 2.0**m)).cast("long").alias("b")) for m in levels])))
     b = _bins(spans, span[0], F.col(span[1]) - 1, _level(length, width), [], width, "_bin").drop("_bin_own")
-    return a.join(b, ["_bin", *(on or [])]).filter((F.col(span[0]) <= F.col(point)) & (F.col(point) < F.col(span[1]))).drop("_bin")
+    return a.join(by_size(b, sum(found.values())), ["_bin", *(on or [])]).filter((F.col(span[0]) <= F.col(point)) & (F.col(point) < F.col(span[1]))).drop("_bin")
 
 
 def first_match(points: DataFrame, spans: DataFrame, width: int, point: str, span: tuple[str, str], key: list[str], order: str, on: list[str] | None = None) -> DataFrame:

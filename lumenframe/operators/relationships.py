@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..sources.layers import int_field, number_field, string_field
 from . import edges as eg
 from .export import with_line_numbers
+from .intervals import by_size
 
 #: Typed views of layers, as the entry and its fields with their types.
 VIEWS = {
@@ -80,7 +81,7 @@ def build_all(layers: dict[str, DataFrame]) -> DataFrame:
     ref = eg.reference_edges
     regions = t["regions"].filter("id <> ''")
     at = instant(regions)
-    own_ids = lambda df: df.select("id").distinct()
+    own_ids = lambda df: by_size(df.select("id").distinct())
 
     def owned(owner: DataFrame, column: str, prefix: str, kind: str) -> DataFrame:
         """owner -> region for regions whose owner exists."""
@@ -88,7 +89,7 @@ def build_all(layers: dict[str, DataFrame]) -> DataFrame:
         return rows.select(*eg._edge(8, prefix, kind, F.col(column), F.col("id"), F.col("start_us"), F.col("end_us"), [F.col("line_no"), F.lit(0 if column == "entity_id" else 1)]))
 
     mask_time = regions.groupBy(F.col("id").alias("region_id")).agg(F.max_by("pts_us", "line_no").alias("pts_us"))
-    masks = instant(t["masks"].filter("id <> '' and region_id <> ''").join(mask_time, "region_id"))
+    masks = instant(t["masks"].filter("id <> '' and region_id <> ''").join(mask_time.hint("merge"), "region_id"))
     text_ids = t["text_regions"].select(F.col("text_region_id").alias("id")).unionByName(t["text_observations"].select(F.col("text_observation_id").alias("id")))
     known = own_ids(t["entities"])
     seen = regions.join(known, regions.entity_id == known.id, "left_semi")
