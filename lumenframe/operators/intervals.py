@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -87,10 +91,63 @@ def point_join(points: DataFrame, spans: DataFrame, width: int, point: str, span
     return a.join(by_size(b, sum(found.values())), ["_bin", *(on or [])]).filter((F.col(span[0]) <= F.col(point)) & (F.col(point) < F.col(span[1]))).drop("_bin")
 
 
+def _sweep(groups: int):
+    """A function of Arrow batches, sorted by `groups` columns, _t and spans before points, that gives each point (_p) with
+    the span (_q) of the least order that holds it. Of a group's spans only those are kept that no earlier one outlasts, so
+    their ends rise with their order, and the first that has not ended is the one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, orders, ends, at, carry = None, [], [], [], None
+        for batch in batches:
+            mine = batch.column("_q")
+            pool = mine if carry is None else pa.concat_arrays([carry, mine])
+            shift = len(pool) - len(mine)
+            hits, spans = [], []
+            columns = [batch.column(i).to_pylist() for i in range(groups)]
+            for i, (g, t, e, o) in enumerate(zip(zip(*columns), *[batch.column(c).to_pylist() for c in ("_t", "_e", "_o")])):
+                if g != group:
+                    group, orders, ends, at = g, [], [], []
+                if e is None:
+                    gone = bisect_right(ends, t)
+                    if gone:
+                        del orders[:gone], ends[:gone], at[:gone]
+                    if ends:
+                        hits.append(i)
+                        spans.append(at[0])
+                    continue
+                rank = (o is not None, o)
+                k = bisect_right(orders, rank)
+                if k and ends[k - 1] >= e:
+                    continue
+                last = bisect_right(ends, e, k)  # later ones that end no later
+                orders[k:last], ends[k:last], at[k:last] = [rank], [e], [shift + i]
+            if hits:
+                yield pa.RecordBatch.from_arrays([batch.column("_p").take(pa.array(hits)), pool.take(pa.array(spans))], ["_p", "_q"])
+            carry, at = pool.take(pa.array(at, pa.int64())), list(range(len(at)))
+
+    return run
+
+
 def first_match(points: DataFrame, spans: DataFrame, width: int, point: str, span: tuple[str, str], key: list[str], order: str, on: list[str] | None = None) -> DataFrame:
-    """Each point with the first span, by `order`, that holds it; points are told apart by `key`."""
+    """Each point with the first span, by `order`, that holds it; points are told apart by `key`.
+
+    Points and spans of a time bin are gone through together in the order of time, so the work does not grow with how many
+    spans hold a point, and a bin of any size is a stream."""
+    on = on or []
+    spans = spans.filter(F.col(span[0]) < F.col(span[1]))
+    length = F.col(span[1]) - F.col(span[0])
+    levels = list(_levels(spans, length, width)) or [0]
+    p, q = F.struct(*points.columns).alias("_p"), F.struct(*[c for c in spans.columns if c not in on]).alias("_q")
+    bins = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.floor(F.col(point) / F.lit(width * 2.0**m)).cast("long").alias("b")) for m in levels])).alias("_bin")
+    a = points.filter(F.col(point).isNotNull()).select(*on, F.col(point).alias("_t"), p, bins).select(*on, "_bin.m", "_bin.b", "_t", "_p")
+    b = _bins(spans, span[0], F.col(span[1]) - 1, _level(length, width), [], width, "_bin").select(*on, "_bin.m", "_bin.b", F.col(span[0]).alias("_t"), F.col(span[1]).alias("_e"), F.col(order).alias("_o"), q)
+    for c in on:
+        a, b = a.filter(F.col(c).isNotNull()), b.filter(F.col(c).isNotNull())
+    group = [*on, "m", "b"]
+    both = b.unionByName(a, allowMissingColumns=True).select(*group, "_t", "_e", "_o", "_p", "_q").repartition(*group).sortWithinPartitions(*group, "_t", F.col("_e").isNull())
+    held = both.mapInArrow(_sweep(len(group)), both.select("_p", "_q").schema).select(*[F.col(f"_p.`{c}`") for c in [*on, *[c for c in points.columns if c not in on]]], "_q.*")
     w = Window.partitionBy(*key).orderBy(order)
-    return point_join(points, spans, width, point, span, on).withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    return held.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
 def merge_spans(df: DataFrame, key: list[str], start: str, end: str, gap: int = 0) -> DataFrame:
