@@ -84,13 +84,16 @@ def by_target_kind(builder: int, rows: DataFrame, source: str, kind_col: str, ta
 def near_regions(builder: int, regions: DataFrame) -> DataFrame:
     """Regions of one frame that do not overlap, with centres at most NEAR apart; each pair once, in file order.
 
-    Centres lie in cells as wide as NEAR; a cell meets itself and four of its neighbours, so that each pair of cells meets
-    once and a crowded frame is many small keys."""
+    Centres lie in cells three times as wide as NEAR. A cell meets itself and four of its neighbours, so that each pair of
+    cells meets once and a crowded frame is many keys; only regions within NEAR of a neighbour are sent to it."""
     x0, y0, x1, y1 = (F.get("box_norm", F.lit(i)) for i in range(4))
     a = regions.filter("frame_id <> '' and id <> '' and size(box_norm) >= 4").select("frame_id", "id", "line_no", "pts_us", x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"))
-    cell = lambda low, high: F.floor((F.col(low) + F.col(high)) / (2 * NEAR * (1 + 1e-9))).cast("int")
+    reach = NEAR * (1 + 1e-9)
+    cell = lambda low, high, by=0.0: F.floor(((F.col(low) + F.col(high)) / 2 + by) / (3 * reach)).cast("int")
     a = a.withColumn("cx", cell("x0", "x1")).withColumn("cy", cell("y0", "y1"))
-    steps = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))]))
+    right, above, below = cell("x0", "x1", reach) > F.col("cx"), cell("y0", "y1", reach) > F.col("cy"), cell("y0", "y1", -reach) < F.col("cy")
+    near = ((0, 0, F.lit(True)), (0, 1, above), (1, -1, right & below), (1, 0, right), (1, 1, right & above))
+    steps = F.explode(F.array_compact(F.array(*[F.when(there, F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"))) for i, j, there in near])))
     b = a.select("frame_id", *[F.col(c).alias(f"o_{c}") for c in ("id", "line_no", "pts_us", "x0", "y0", "x1", "y1")], F.col("cx").alias("o_cx"), F.col("cy").alias("o_cy"), steps.alias("s"))
     b = b.select("frame_id", *[c for c in b.columns if c.startswith("o_") and c not in ("o_cx", "o_cy")], (F.col("o_cx") + F.col("s.i")).alias("cx"), (F.col("o_cy") + F.col("s.j")).alias("cy"), (F.col("s.i") + F.abs("s.j") == 0).alias("same"))
     pair = a.join(b.hint("merge"), ["frame_id", "cx", "cy"]).filter((~F.col("same") | (F.col("line_no") < F.col("o_line_no"))) & (F.col("id") != F.col("o_id")) & (F.col("line_no") != F.col("o_line_no")))
