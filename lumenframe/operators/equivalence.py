@@ -84,12 +84,55 @@ def vectors_equal(a: Column, b: Column) -> Column:
     return cosine_similarity(a, b) >= TOLERANCES["cosine"]
 
 
+def _before(counts: DataFrame, key: list[str], value: str, name: str) -> DataFrame:
+    """counts (key, value, _n), one row a value, with `name`, how many of the key's rows have a smaller value, nulls being
+    least: ranges of the values are counted, then gone through each by itself."""
+    parts = settled(counts.repartitionByRange(*key, value).withColumn("_p", F.spark_partition_id()))
+    w = Window.partitionBy(*key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    above = parts.groupBy(*key, "_p").agg(F.sum("_n").alias("_c")).withColumn("_b", F.coalesce(F.sum("_c").over(w), F.lit(0))).drop("_c")
+    own = Window.partitionBy(*key, "_p").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    counted = parts.withColumn("_r", F.coalesce(F.sum("_n").over(own), F.lit(0)))
+    same = counted["_p"] == above["_p"]
+    for k in key:
+        same = same & counted[k].eqNullSafe(above[k])
+    return counted.join(above.hint("broadcast"), same).select(*[counted[c] for c in counts.columns], (F.col("_r") + F.col("_b")).alias(name))  # a row a range
+
+
 def depth_metrics(pairs: DataFrame, key: list[str], a: str, b: str) -> DataFrame:
-    """(key, mae, p99, spearman) of two depth values a row: nearest-rank 99th percentile, ranks averaged over ties."""
-    diff = F.abs(F.col(a) - F.col(b))
-    rank = lambda c: (F.rank().over(Window.partitionBy(*key).orderBy(c)) + (F.count("*").over(Window.partitionBy(*key, c)) - 1) / 2)
-    r = pairs.withColumn("_ra", rank(a)).withColumn("_rb", rank(b))
-    return r.groupBy(*key).agg(F.avg(diff).alias("mae"), F.expr(f"percentile_disc(0.99) within group (order by abs({a} - {b}))").alias("p99"), F.corr("_ra", "_rb").alias("spearman"))
+    """(key, mae, p99, spearman) of two depth values a row: nearest-rank 99th percentile, ranks averaged over ties.
+
+    Equal pairs are counted first; ranks come from counts by ranges of values, and ranks' means are known, so no task holds
+    a key's rows."""
+    n = settled(pairs.groupBy(*key, F.col(a).alias("_x"), F.col(b).alias("_y")).agg(F.count("*").alias("_n")))
+    n = n.withColumn("_d", F.abs(F.col("_x") - F.col("_y")))
+    by = lambda df, c: df.groupBy(*key, c).agg(F.sum("_n").alias("_n"))
+
+    def joined(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+        """Equal keys, null being equal to null."""
+        r = right.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(columns)], *[c for c in right.columns if c not in columns])
+        on = F.lit(True)
+        for i, c in enumerate(columns):
+            on = on & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+        return left.join(r, on).drop(*[f"_k{i}" for i in range(len(columns))])
+
+    def ranked(c: str, name: str) -> DataFrame:
+        return _before(by(n, c), key, c, name).withColumn(name, F.col(name) + (F.col("_n") + 1) / 2).drop("_n")
+
+    r = joined(joined(n, ranked("_x", "_ra"), [*key, "_x"]), ranked("_y", "_rb"), [*key, "_y"])
+    all_ = n.groupBy(*key).agg(F.sum("_n").alias("_all"), F.sum(F.when(F.col("_d").isNotNull(), F.col("_n"))).alias("_some"))
+    r = joined(r, all_, key)
+    da, db = F.col("_ra") - (F.col("_all") + 1) / 2, F.col("_rb") - (F.col("_all") + 1) / 2
+    total = lambda c: F.sum(c * F.col("_n"))
+    spread = F.sqrt(total(da * da)) * F.sqrt(total(db * db))
+    stat = r.groupBy(*key).agg((total(F.col("_d")) / F.max("_some")).alias("mae"), (total(da * db) / F.nullif(spread, F.lit(0.0))).alias("spearman"))
+    d = joined(_before(by(n.filter("_d is not null"), "_d"), key, "_d", "_at"), all_, key)
+    want = F.greatest(F.ceil(F.col("_some") * 0.99), F.lit(1))
+    p99 = d.filter((F.col("_at") < want) & (want <= F.col("_at") + F.col("_n"))).select(*key, F.col("_d").alias("p99"))
+    p = p99.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], "p99")
+    on = F.lit(True)
+    for i, k in enumerate(key):
+        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return stat.join(p, on, "left").select(*key, "mae", "p99", "spearman")
 
 
 def entry_sets(a: DataFrame, b: DataFrame) -> DataFrame:
