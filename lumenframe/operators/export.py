@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.catalog import REFERENCE_RULES
 from .index import table_digest
+from .intervals import by_size
 from .lineage import settled
 
 
@@ -22,6 +23,14 @@ def resolve(rows: DataFrame, column: str, owner: DataFrame, key: str, fields: li
     return hit.withColumn(name, F.struct(F.col("_k").isNotNull().alias("found"), *[F.col(f"_o.{f}").alias(f) for f in fields])).drop("_k", "_o")
 
 
+def _joined(rows: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+    """rows with the columns of table where it has them; rows without a whole key stay where they are."""
+    whole = F.lit(True)
+    for c in on:
+        whole = whole & F.col(c).isNotNull()
+    return rows.filter(whole).join(table, on, "left").unionByName(rows.filter(~whole), allowMissingColumns=True)
+
+
 def resolve_list(rows: DataFrame, row_key: str, column: str, owner: DataFrame, key: str, fields: list[str], name: str, order: str | None = None) -> DataFrame:
     """Add an array of struct(ref, found, ...fields) for a list of references, in the list's order."""
     each = rows.select(row_key, F.posexplode(column).alias("_p", "_ref"))
@@ -42,31 +51,41 @@ def resolve_records(lines: DataFrame, files: DataFrame, blocks: DataFrame) -> Da
     texts in it; what is not there has found false."""
     spark = lines.sparkSession
     good = lines.filter(~F.col("malformed"))
-    rules = spark.createDataFrame([(*r,) for r in REFERENCE_RULES], "entry string, member string, kind string")  # 15 rows
     value = F.try_variant_get("v", F.concat(F.lit("$."), F.col("member")), "variant")
     shape = F.schema_of_variant(value)
     one = F.when((shape == "STRING") & ~F.col("kind").endswith("_list"), F.array(F.try_variant_get(value, "$", "string")))
     many = F.when(shape.isin("ARRAY<STRING>", "ARRAY<VOID>") & F.col("kind").endswith("_list"), F.try_variant_get(value, "$", "array<string>"))
     many = F.when(F.forall(many, lambda x: x.isNotNull()), many)
     offset = F.when(F.schema_of_variant(F.try_variant_get("v", "$.block_offset", "variant")) == "BIGINT", F.try_variant_get("v", "$.block_offset", "bigint"))
-    refs = good.join(F.broadcast(rules), "entry").select("package", "entry", "line_no", "member", "kind", offset.alias("block_offset"), F.posexplode(F.coalesce(one, many)).alias("position", "ref"))
-    refs = refs.withColumn("position", F.when(F.col("kind").endswith("_list"), F.col("position"))).withColumn("block_offset", F.when(F.col("kind") == "block", F.col("block_offset")))
+
+    def of_kind(name: str) -> DataFrame:
+        """References of the rules of a kind, from the entries that those name."""
+        rules = [(*r,) for r in REFERENCE_RULES if r[2].startswith(name)]
+        named = good.filter(F.col("entry").isin(*sorted({r[0] for r in rules}))).join(F.broadcast(spark.createDataFrame(rules, "entry string, member string, kind string")), "entry")
+        refs = named.select("package", "entry", "line_no", "member", "kind", offset.alias("block_offset"), F.posexplode(F.coalesce(one, many)).alias("position", "ref"))
+        return refs.withColumn("position", F.when(F.col("kind").endswith("_list"), F.col("position"))).withColumn("block_offset", F.when(F.col("kind") == "block", F.col("block_offset")))
 
     def records(entry: str, key: str, *fields: str) -> DataFrame:
         text = lambda f: F.when(F.schema_of_variant(F.try_variant_get("v", f"$.{f}", "variant")) == "STRING", F.try_variant_get("v", f"$.{f}", "string"))
         df = good.filter(F.col("entry") == entry).select("package", "line_no", text(key).alias("ref"), *[F.to_json(F.try_variant_get("v", f"$.{f}", "variant")).alias(f) if f != "crop_file_path" else text(f).alias(f) for f in fields])
         return df.filter("ref is not null").groupBy("package", "ref").agg(F.min_by(F.struct(*fields), "line_no").alias("r"))
 
-    frames = records("timeline/frames.jsonl", "id", "frame_index", "pts_us").select("package", F.col("ref").alias("f_ref"), F.col("r.frame_index").alias("frame_index"), F.col("r.pts_us").alias("pts_us"), F.lit(True).alias("is_frame"))
-    crops = records("text/evidence_crops.jsonl", "crop_id", "crop_file_path").select("package", F.col("ref").alias("c_ref"), F.col("r.crop_file_path").alias("crop_path"), F.lit(True).alias("is_crop"))
+    frames = settled(records("timeline/frames.jsonl", "id", "frame_index", "pts_us").select("package", "ref", "r.frame_index", "r.pts_us", F.lit(True).alias("found")))
+    crops = records("text/evidence_crops.jsonl", "crop_id", "crop_file_path").select("package", "ref", F.col("r.crop_file_path").alias("path"), F.lit(True).alias("found"))
     held = files.select("package", F.col("entry").alias("path"), "file").dropDuplicates(["package", "path"])
-    key = lambda prefix: F.when(F.col("kind").startswith(prefix), F.col("ref"))
-    out = refs.withColumn("f_ref", key("frame")).withColumn("c_ref", key("crop")).withColumn("block_file", key("block"))
-    out = out.join(frames, ["package", "f_ref"], "left").join(crops, ["package", "c_ref"], "left")
-    out = out.withColumn("path", F.coalesce(key("entry_path"), F.col("crop_path"))).join(held, ["package", "path"], "left").join(blocks, ["package", "block_file", "block_offset"], "left")
-    found = F.when(F.col("kind").startswith("frame"), F.col("is_frame")).when(F.col("kind").startswith("crop"), F.col("is_crop")).when(F.col("kind") == "entry_path", F.col("file").isNotNull()).otherwise(F.col("block_ordinal").isNotNull())
-    return out.select(
-        "package", "entry", "line_no", "member", "position", "ref", F.coalesce(found, F.lit(False)).alias("found"), "frame_index", "pts_us", "file", "block_offset", "block_ordinal", "decoded_file", "decoded_offset", "decoded_length"
+    crops = settled(_joined(crops, held, ["package", "path"]).drop("path"))
+    # Each kind meets its own table only, so that no reference without a key travels with all others of its kind.
+    out = [
+        of_kind("frame").join(by_size(frames), ["package", "ref"], "left"),
+        of_kind("crop").join(by_size(crops), ["package", "ref"], "left"),
+        of_kind("entry_path").join(held.select("package", F.col("path").alias("ref"), "file"), ["package", "ref"], "left").withColumn("found", F.col("file").isNotNull()),
+        _joined(of_kind("block"), blocks.withColumnRenamed("block_file", "ref"), ["package", "ref", "block_offset"]).withColumn("found", F.col("block_ordinal").isNotNull()),
+    ]
+    every = out[0]
+    for part in out[1:]:
+        every = every.unionByName(part, allowMissingColumns=True)
+    return every.select(
+        "package", "entry", "line_no", "member", "position", "ref", F.coalesce("found", F.lit(False)).alias("found"), "frame_index", "pts_us", "file", "block_offset", "block_ordinal", "decoded_file", "decoded_offset", "decoded_length"
     )
 
 
