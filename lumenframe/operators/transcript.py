@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -247,7 +249,8 @@ def join_chunk(done: list[dict], chunk: int, words: list[dict], overlap_end: int
         while tail and done[tail - 1]["chunk"] == chunk - 1:
             tail -= 1
         early = [w for w in words if w["start_us"] < overlap_end]
-        anchor = longest_common_run([token_key(w["token"]) for w in done[tail:]], [token_key(w["token"]) for w in early])
+        if min(len(done) - tail, len(early)) >= ANCHOR_TOKENS:  # else no run is an anchor
+            anchor = longest_common_run([token_key(w["token"]) for w in done[tail:]], [token_key(w["token"]) for w in early])
     mine, theirs, length = anchor
     keep = len(done)
     if length >= ANCHOR_TOKENS:
@@ -282,13 +285,12 @@ def reconcile_chunks(words: DataFrame, chunks: DataFrame, key: str = "stream") -
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         done: list[dict] = []
-        for chunk, rows in pdf.sort_values(["chunk", "word_no"]).groupby("chunk", sort=True):
-            fresh = [{"token": t or "", "start_us": int(s), "end_us": int(e), "chunk": int(chunk)} for t, s, e in zip(rows["token"], rows["start_us"], rows["end_us"])]
-            join_chunk(done, int(chunk), fresh, int(rows["overlap_end"].iloc[0]))
-        out = pd.DataFrame(done, columns=["token", "start_us", "end_us", "chunk"])
-        out.insert(0, "position", range(len(out)))
-        out.insert(0, key, pdf[key].iloc[0])
-        return out
+        p = pdf.sort_values(["chunk", "word_no"])
+        for chunk, rows in groupby(zip(*(p[c].tolist() for c in ("chunk", "token", "start_us", "end_us", "overlap_end"))), lambda r: r[0]):
+            rows = list(rows)
+            join_chunk(done, chunk, [{"token": t or "", "start_us": s, "end_us": e, "chunk": chunk} for _, t, s, e, _ in rows], rows[0][4])
+        out = {c: [w[c] for w in done] for c in ("token", "start_us", "end_us", "chunk")}
+        return pd.DataFrame({key: [pdf[key].iloc[0]] * len(done), "position": range(len(done)), **out})
 
     return slim.groupBy(key).applyInPandas(one, f"{key} {kind}, position long, token string, start_us long, end_us long, chunk long")
 
