@@ -129,7 +129,8 @@ def record_findings(lines: DataFrame, entry: str, code: str, rules: list[tuple[C
     rows = lines.filter(F.col("entry") == entry)
     bad = rows.filter("malformed").groupBy("package").agg(F.min("line_no").alias("line_no"))
     flags = F.array(*[F.when(F.coalesce(b, F.lit(False)), F.struct(F.lit(c).alias("code"), F.lit(m).alias("message"))) for b, c, m in rules])
-    one = rows.filter(~F.col("malformed")).join(bad.select("package"), "package", "left_anti").select("package", "line_no", F.explode(F.array_compact(flags)).alias("f"))
+    # A row a package with a malformed line; records of a package stay where they are.
+    one = rows.filter(~F.col("malformed")).join(F.broadcast(bad.select("package")), "package", "left_anti").select("package", "line_no", F.explode(F.array_compact(flags)).alias("f"))
     broken = found(bad, F.lit(code), F.lit(f"/{entry}"), F.concat(F.lit("line "), F.col("line_no"), F.lit(" is not JSON")))
     return found(one, F.col("f.code"), F.concat(F.lit(f"/{entry}:"), F.col("line_no")), F.col("f.message")).unionByName(broken)
 
@@ -262,12 +263,14 @@ def text_findings(entries: DataFrame, lines: DataFrame, registry: Registry) -> D
 def color_findings(lines: DataFrame, registry: Registry) -> DataFrame:
     entry, v = "colors/color_observations.jsonl", F.col("v")
     cover = F.when(kind(member(v, "bucket_coverage")).startswith("OBJECT"), F.try_variant_get(member(v, "bucket_coverage"), "$", "map<string,variant>"))
-    shares = F.map_values(cover)
     good = lambda x: F.coalesce(is_number(x) & number(x).between(0, 1), F.lit(False))
-    total = F.aggregate(F.filter(shares, good), F.lit(0.0), lambda s, x: s + number(x))
-    said, top = member(v, "coverage_total"), text(member(v, "dominant_bucket"))
-    of = F.try_element_at(cover, top)
-    most = F.array_max(F.transform(F.filter(shares, is_number), number))
+    # What several rules look at is made once.
+    lines = lines.filter(F.col("entry") == entry).withColumn("_cover", cover).withColumn("_said", member(v, "coverage_total")).withColumn("_top", text(member(v, "dominant_bucket")))
+    cover, said, top = F.col("_cover"), F.col("_said"), F.col("_top")
+    lines = lines.withColumn("_shares", F.map_values(cover)).withColumn("_of", F.try_element_at(cover, top))
+    shares, of = F.col("_shares"), F.col("_of")
+    lines = lines.withColumn("_total", F.aggregate(F.filter(shares, good), F.lit(0.0), lambda s, x: s + number(x))).withColumn("_most", F.array_max(F.transform(F.filter(shares, is_number), number)))
+    total, most = F.col("_total"), F.col("_most")
     listed = lambda name, names: ~text(member(v, name)).isin(*names) if names else text(member(v, name)).isNotNull()
     code = "ERR_COLOR_INVALID_OBSERVATION_RECORD"
     return record_findings(lines, entry, code, [

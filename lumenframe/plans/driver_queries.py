@@ -1185,7 +1185,10 @@ def color_record_findings(spark, d):
     b = F.when(k % 3 == 0, F.lit(1.0) - r).otherwise(F.lit(0.5))
     other = F.when(k % 5 == 0, F.lit("mauve")).otherwise(F.lit("blue"))
     body = F.concat(F.lit('{"bucket_coverage":{"red":'), r.cast("string"), F.lit(',"'), other, F.lit('":'), b.cast("string"), F.lit('},"coverage_total":1.0,"dominant_bucket":"red","color_space":"'), F.when(k % 7 == 0, "rgb").otherwise("oklch"), F.lit('"}'))
-    lines = _json_lines(table(spark, d, "part"), "colors/color_observations.jsonl", "p_partkey", body)
+    # A few megabytes of keys make a hundred times as much JSON: the file's own parts are too few tasks.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    part = table(spark, d, "part").select("p_partkey").repartition(tasks, "p_partkey")
+    lines = _json_lines(part, "colors/color_observations.jsonl", "p_partkey", body)
     return package_checks.color_findings(lines, _CHECKED).select("path", "code")
 
 
